@@ -1,0 +1 @@
+"""Empty on purpose: every job here is a batch job, and there is no stream to read."""

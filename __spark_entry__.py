@@ -48,6 +48,10 @@ def _features(spark, sf_dir):
     )
 
 
+def _kept_features(spark, sf_dir):
+    return stage.keep(_features(spark, sf_dir), "features")
+
+
 # Sources and sinks
 
 
@@ -291,13 +295,13 @@ def split_random_70_30(spark, sf_dir):
 
 
 def string_index(spark, sf_dir):
-    features = stage.keep(_features(spark, sf_dir), "features")
-    indexed = encoding.category_indexer().fit(features).transform(features)
+    features = _kept_features(spark, sf_dir)
+    indexed = encoding.fit_category_indexer(features).transform(features)
     pairs = [
         F.struct(
             F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"{c}Index").alias("index")
         )
-        for c in encoding.INDEXED
+        for c in encoding.CATEGORIES
     ]
     return (
         indexed.select(F.inline(F.array(*pairs)))
@@ -317,8 +321,8 @@ def _bucketized(column):
 
 
 def _assembled(spark, sf_dir):
-    features = stage.keep(_features(spark, sf_dir), "features")
-    encoded = encoding.category_indexer().fit(features).transform(features)
+    features = _kept_features(spark, sf_dir)
+    encoded = encoding.fit_category_indexer(features).transform(features)
     return encoding.assembler().transform(encoding.bucketizer().transform(encoded))
 
 
@@ -357,21 +361,19 @@ def auc_hard_labels(spark, sf_dir):
 
 
 def tree_evaluation(spark, sf_dir):
-    return training.train_and_evaluate(_features(spark, sf_dir), "tree")[1]
+    return training.train_and_evaluate(_kept_features(spark, sf_dir), "tree")[1]
 
 
 def logistic_evaluation(spark, sf_dir):
-    return training.train_and_evaluate(_features(spark, sf_dir), "logistic")[1]
+    return training.train_and_evaluate(_kept_features(spark, sf_dir), "logistic")[1]
 
 
 def model_report(spark, sf_dir):
-    evaluation = training.train_and_evaluate(_features(spark, sf_dir), "logistic")[1]
-    return metrics.report_lines(evaluation).orderBy("line_no")
+    return metrics.report_lines(logistic_evaluation(spark, sf_dir)).orderBy("line_no")
 
 
 def tree_description(spark, sf_dir):
-    marked = training.split_features(_features(spark, sf_dir))
-    fitted = training.fit_model(marked.filter(F.col("set") == "Train"), "tree")
+    fitted, _ = training.train_and_evaluate(_kept_features(spark, sf_dir), "tree")
     return training.tree_description(spark, fitted)
 
 

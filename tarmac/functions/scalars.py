@@ -13,20 +13,19 @@ def time_slot(hhmm):
     Every hour outside 0-17 is Evening, also 24 and negative ones.
     """
     head = F.substring(hhmm, 1, 2)
-    hour = F.when(F.length(F.trim(head)) == 2, head.try_cast("int"))
+    hour = head.try_cast("int")
+    no_hour = F.raise_error(
+        F.concat(F.lit("no hour in departure time: "), F.coalesce(hhmm, F.lit("null")))
+    )
+    # Few, ordered tests: each one parses the hour again.
     return (
-        F.when(hour.between(0, 5), F.lit(NIGHT))
-        .when(hour.between(6, 11), F.lit(MORNING))
-        .when(hour.between(12, 17), F.lit(AFTERNOON))
-        .when(hour.isNotNull(), F.lit(EVENING))
-        .otherwise(
-            F.raise_error(
-                F.concat(
-                    F.lit("no hour in departure time: "),
-                    F.coalesce(hhmm, F.lit("null")),
-                )
-            )
-        )
+        F.when(F.length(F.trim(head)) != 2, no_hour)
+        .when(hour > 17, F.lit(EVENING))
+        .when(hour > 11, F.lit(AFTERNOON))
+        .when(hour > 5, F.lit(MORNING))
+        .when(hour >= 0, F.lit(NIGHT))
+        .when(hour < 0, F.lit(EVENING))
+        .otherwise(no_hour)
     )
 
 

@@ -1,9 +1,9 @@
-"""Model inputs: indexed categories, buckets, assembled and normalized vectors."""
+"""Model inputs: buckets, indexed categories, assembled and normalized vectors."""
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     Bucketizer,
     Normalizer,
-    StringIndexer,
     StringIndexerModel,
     VectorAssembler,
 )
@@ -16,29 +16,14 @@ from tarmac.constants import (
     TAXI_OUT_SPLITS,
 )
 
-INDEXED = ("Airline", "TimeSlot", "OriginState", "DestinationState", "OriginAirport")
+CATEGORIES = ("Airline", "TimeSlot", "OriginState", "DestinationState", "OriginAirport")
 BUCKETS = {
     "Distance": DISTANCE_SPLITS,
     "AverageAirlineDelay": AVERAGE_DELAY_SPLITS,
     "AverageTaxiOut": TAXI_OUT_SPLITS,
 }
-
-
-def category_indexer():
-    """Index categories by falling frequency, ties by name; unseen ones get a spare index."""
-    return StringIndexer(
-        inputCols=list(INDEXED),
-        outputCols=[f"{c}Index" for c in INDEXED],
-        stringOrderType="frequencyDesc",
-        handleInvalid="keep",
-    )
-
-
-def label_indexer():
-    """Index of the label; 1 always means late, whichever label is more frequent."""
-    return StringIndexerModel.from_labels(
-        ["0.0", "1.0"], inputCol="Delay", outputCol="DelayIndex", handleInvalid="error"
-    )
+# Names of categories a fitted encoder may hold; it lives on the driver and in each task.
+MAX_CATEGORIES = 100_000
 
 
 def bucketizer(*columns):
@@ -63,6 +48,80 @@ def check_bucket_bounds(features):
         raise ValueError(f"rows outside the bucket bounds, per column: {outside}")
 
 
+def compact(features, *keep_columns):
+    """Features in buckets, equal rows as one row with their number as ``weight``.
+
+    All model inputs are categories or small whole numbers, so the table shrinks from
+    one row per flight to one per combination, and each later pass of a training reads
+    the small table. Partial counts before the shuffle take care of frequent rows.
+    """
+    inputs = {c.removesuffix("Index") for c in FEATURE_ORDER}
+    bucketed = bucketizer().transform(features)
+    return bucketed.groupBy(*keep_columns, *sorted(inputs), "Delay").agg(
+        F.count("*").alias("weight")
+    )
+
+
+def spread(rows, least_rows):
+    """Compact rows with their weight split over more rows, if they are fewer than asked.
+
+    A tree takes no more bins than it sees rows. Weights stay whole, so sums stay exact.
+    """
+    if rows.limit(least_rows).count() >= least_rows:
+        return rows
+    parts = F.least(F.col("weight"), F.lit(least_rows))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")
+    others = [c for c in rows.columns if c != "weight"]
+    share = F.expr("weight div parts") + (F.col("part") < F.col("weight") % F.col("parts")).cast("long")
+    return rows.withColumn("parts", parts).select("*", part).select(*others, share.alias("weight"))
+
+
+def category_counts(table, weight=None):
+    """Rows per column and category; ``weight`` names a column of repeat counts."""
+    pairs = [
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in CATEGORIES
+    ]
+    times = F.lit(1) if weight is None else F.col(weight)
+    return (
+        table.select(F.inline(F.array(*pairs)), times.alias("times"))
+        .filter("value IS NOT NULL")
+        .groupBy("column", "value")
+        .agg(F.sum("times").alias("n"))
+    )
+
+
+def fit_category_indexer(table, weight=None):
+    """Index categories by falling frequency, ties by name; unseen ones get a spare index."""
+    rows = (
+        category_counts(table, weight)
+        .orderBy(F.desc("n"), "value")
+        .select("column", "value")
+        .limit(MAX_CATEGORIES + 1)
+        .collect()
+    )
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories to index")
+    labels = {c: [] for c in CATEGORIES}
+    for row in rows:
+        labels[row["column"]].append(row["value"])
+    # One model per column: the many-column constructor pads the shorter lists with nulls.
+    return PipelineModel(
+        [
+            StringIndexerModel.from_labels(
+                labels[c], inputCol=c, outputCol=f"{c}Index", handleInvalid="keep"
+            )
+            for c in CATEGORIES
+        ]
+    )
+
+
+def label_indexer():
+    """Index of the label; 1 always means late, whichever label is more frequent."""
+    return StringIndexerModel.from_labels(
+        ["0.0", "1.0"], inputCol="Delay", outputCol="DelayIndex", handleInvalid="error"
+    )
+
+
 def assembler():
     return VectorAssembler(inputCols=list(FEATURE_ORDER), outputCol="features")
 

@@ -11,7 +11,7 @@ from tarmac.functions.scalars import (
     strict_int,
     time_slot,
 )
-from tarmac.operators.joins import BROADCAST_LIMIT, lookup_join
+from tarmac.operators.joins import BROADCAST_LIMIT, broadcast_if_small, lookup_join
 from tarmac.schemas import FEATURES
 
 
@@ -27,12 +27,11 @@ def _airports_as(airports, prefix):
 
 def enrich_origin_destination(flights, airports, limit=BROADCAST_LIMIT):
     """Flights with name, place and state of both airports."""
+    (airports,) = broadcast_if_small(airports, limit=limit)
     for prefix in ("ORIGIN", "DESTINATION"):
-        flights = lookup_join(
-            flights,
+        flights = flights.join(
             _airports_as(airports, prefix),
             F.col(f"{prefix}_AIRPORT") == F.col(f"{prefix}_IATA_CODE"),
-            limit,
         )
     return flights
 
@@ -123,23 +122,19 @@ def feature_table(
         F.col("DESTINATION_AIRPORT").alias("destination"),
         delay_label(strict_int(F.col("ARRIVAL_DELAY"))).alias("Delay"),
     )
-    with_airline = lookup_join(
-        facts,
+    by_airline, by_origin, by_destination = broadcast_if_small(
         _airline_profile(airlines, airline_statistic),
-        F.col("Airline") == F.col("airline_code"),
-        limit,
-    )
-    with_origin = lookup_join(
-        with_airline,
         _origin_profile(airports, airport_statistic),
-        (F.col("OriginAirport") == F.col("Origin_code"))
-        & (F.col("TimeSlot") == F.col("origin_slot")),
-        limit,
-    )
-    with_destination = lookup_join(
-        with_origin,
         _areas(airports, "Destination").drop("Destination_name"),
-        F.col("destination") == F.col("Destination_code"),
-        limit,
+        limit=limit,
+    )
+    return (
+        facts.join(by_airline, F.col("Airline") == F.col("airline_code"))
+        .join(
+            by_origin,
+            (F.col("OriginAirport") == F.col("Origin_code"))
+            & (F.col("TimeSlot") == F.col("origin_slot")),
+        )
+        .join(by_destination, F.col("destination") == F.col("Destination_code"))
+        .select(*FEATURES.names)
     )
-    return with_destination.select(*FEATURES.names)

@@ -12,23 +12,26 @@ from tarmac.functions.scalars import strict_double, time_slot
 from tarmac.operators.ranking import with_rank
 
 
+def _with_average(state):
+    return state.withColumn("average", F.try_divide(F.col("total"), F.col("n")))
+
+
 def average_state(fact, keys, measure):
     """Sum and count of a measure per key, with the average they give.
 
     Unlike an average, sum and count of separate inputs can be merged.
     """
-    return fact.groupBy(*keys).agg(
-        F.sum(measure).alias("total"),
-        F.count(measure).alias("n"),
-        F.avg(measure).alias("average"),
+    return _with_average(
+        fact.groupBy(*keys).agg(F.sum(measure).alias("total"), F.count(measure).alias("n"))
     )
 
 
 def merge_states(states, keys):
     """One state from several that cover disjoint inputs."""
     union = reduce(lambda a, b: a.unionByName(b), states)
-    merged = union.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    return merged.withColumn("average", F.try_divide(F.col("total"), F.col("n")))
+    return _with_average(
+        union.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    )
 
 
 def _delays(clean):

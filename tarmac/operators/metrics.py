@@ -3,13 +3,19 @@
 from pyspark.sql import functions as F
 
 
-def confusion_counts(predictions, prediction="prediction", label="DelayIndex", by=()):
+def confusion_counts(predictions, prediction="prediction", label="DelayIndex", by=(), weight=None):
+    """Rows per kind of hit and miss; ``weight`` names a column of repeat counts."""
     hit, late = F.col(prediction) == 1, F.col(label) == 1
+    times = F.lit(1) if weight is None else F.col(weight)
+
+    def count(condition):
+        return F.coalesce(F.sum(F.when(condition, times)), F.lit(0)).cast("long")
+
     return predictions.groupBy(*by).agg(
-        F.count_if(hit & late).alias("tp"),
-        F.count_if(hit & ~late).alias("fp"),
-        F.count_if(~hit & late).alias("fn"),
-        F.count_if(~hit & ~late).alias("tn"),
+        count(hit & late).alias("tp"),
+        count(hit & ~late).alias("fp"),
+        count(~hit & late).alias("fn"),
+        count(~hit & ~late).alias("tn"),
     )
 
 
@@ -27,10 +33,12 @@ def area_under_roc(tp, fp, fn, tn):
     )
 
 
-def confusion_metrics(predictions, prediction="prediction", label="DelayIndex", by=()):
+def confusion_metrics(
+    predictions, prediction="prediction", label="DelayIndex", by=(), weight=None
+):
     """Counts with accuracy, precision, recall and auc; a ratio over nothing is null."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return confusion_counts(predictions, prediction, label, by).select(
+    return confusion_counts(predictions, prediction, label, by, weight).select(
         *by,
         "tp",
         "fp",

@@ -1,6 +1,6 @@
 """Training and evaluation of the delay classifiers."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
@@ -8,10 +8,12 @@ from tarmac.constants import LOGISTIC_MAX_ITER, TREE_MAX_DEPTH, TREE_MIN_BINS
 from tarmac.operators.encoding import (
     assembler,
     bucketizer,
-    category_indexer,
     check_bucket_bounds,
+    compact,
+    fit_category_indexer,
     label_indexer,
     normalizer,
+    spread,
 )
 from tarmac.operators.metrics import confusion_metrics, report_lines
 from tarmac.operators.sampling import hash_split, random_split
@@ -22,57 +24,75 @@ from tarmac.sources.stage import keep
 MODELS = ("tree", "logistic")
 
 
-def split_features(features, by_content=True):
-    """Features with their Train or Test mark, written once so both sets stay fixed."""
-    return keep(hash_split(features) if by_content else random_split(features), "split-features")
+def _tree(bins):
+    return DecisionTreeClassifier(
+        featuresCol="features",
+        labelCol="DelayIndex",
+        weightCol="weight",
+        maxDepth=TREE_MAX_DEPTH,
+        maxBins=bins,
+    )
+
+
+def _logistic():
+    return LogisticRegression(
+        featuresCol="normalized_features",
+        labelCol="DelayIndex",
+        weightCol="weight",
+        maxIter=LOGISTIC_MAX_ITER,
+    )
+
+
+def split_and_compact(features, by_content=True):
+    """Train and Test rows in model form, written once so that both sets stay fixed."""
+    marked = hash_split(features) if by_content else random_split(features)
+    return keep(compact(marked, "set"), "training-rows")
 
 
 def fit_model(train, model):
-    """Fit the encoders and the classifier on the training rows.
+    """Fit the encoders and the classifier on compact training rows.
+
+    A tree is the same as on single rows, as it sees only sums of weights. A regression
+    has the same optimum, but scales its inputs by a deviation that weights change
+    slightly, so its last digits may differ.
 
-    The category counts come from the fitted encoder, as the tree needs at least as
-    many bins as the largest category has values, the spare one included.
+    The tree needs at least as many bins as the largest category has values, the spare
+    one for unseen values included.
     """
     if model not in MODELS:
         raise ValueError(f"model must be one of {MODELS}, not {model!r}")
-    check_bucket_bounds(train)
-    categories = category_indexer().fit(train)
-    encoders = [categories, label_indexer(), bucketizer(), assembler()]
+    categories = fit_category_indexer(train, "weight")
+    encoders = [*categories.stages, label_indexer(), assembler()]
     if model == "tree":
-        largest = max(len(labels) for labels in categories.labelsArray) + 1
-        classifier = [
-            DecisionTreeClassifier(
-                featuresCol="features",
-                labelCol="DelayIndex",
-                maxDepth=TREE_MAX_DEPTH,
-                maxBins=max(TREE_MIN_BINS, largest),
-            )
-        ]
+        largest = max(len(indexer.labels) for indexer in categories.stages) + 1
+        bins = max(TREE_MIN_BINS, largest)
+        classifier = _tree(bins)
+        train = spread(train, bins)
     else:
-        classifier = [
-            normalizer(),
-            LogisticRegression(
-                featuresCol="normalized_features",
-                labelCol="DelayIndex",
-                maxIter=LOGISTIC_MAX_ITER,
-            ),
-        ]
-    return Pipeline(stages=encoders + classifier).fit(train)
-
-
-def evaluate(fitted, marked):
-    """Accuracy, precision, recall and auc per set, by one pass over all rows."""
-    predictions = fitted.transform(marked).select("set", "prediction", "DelayIndex")
-    return confusion_metrics(predictions, by=["set"]).select(
+        encoders.append(normalizer())
+        classifier = _logistic()
+    encoded = PipelineModel(encoders).transform(train)
+    return PipelineModel([*encoders, classifier.fit(encoded)])
+
+
+def evaluate(fitted, rows):
+    """Accuracy, precision, recall and auc per set, by one pass over the compact rows."""
+    return confusion_metrics(fitted.transform(rows), by=["set"], weight="weight").select(
         "set", "accuracy", "precision", "recall", "auc"
     )
 
 
 def train_and_evaluate(features, model, by_content=True):
-    """The fitted pipeline and its evaluation on both sets."""
-    marked = split_features(features, by_content)
-    fitted = fit_model(marked.filter(F.col("set") == "Train"), model)
-    return fitted, evaluate(fitted, marked)
+    """The fitted pipeline, from feature rows to predictions, and its evaluation.
+
+    The features are read twice: to check the bucket bounds, and to split and compact.
+    """
+    if model not in MODELS:
+        raise ValueError(f"model must be one of {MODELS}, not {model!r}")
+    check_bucket_bounds(features)
+    rows = split_and_compact(features, by_content)
+    fitted = fit_model(rows.filter(F.col("set") == "Train"), model)
+    return PipelineModel([bucketizer(), *fitted.stages]), evaluate(fitted, rows)
 
 
 def tree_description(spark, fitted):

@@ -1,4 +1,4 @@
-"""CSV readers. Fields may be quoted and hold commas; a blank field reads as null."""
+"""CSV readers. Fields may be quoted and hold commas; a blank one reads as null."""
 
 from pyspark.sql import functions as F
 

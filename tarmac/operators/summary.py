@@ -8,6 +8,13 @@ def first_rows(table, rows=5):
     return table.limit(rows)
 
 
+def print_overview(table, rows=5):
+    """Schema, first rows and descriptive statistics on the console."""
+    table.printSchema()
+    first_rows(table, rows).show(truncate=False)
+    describe_columns(table).show(len(table.columns), truncate=False)
+
+
 def describe_columns(table):
     """One row per column: count, mean, stddev and extremes, by one pass over the table.
 

@@ -34,5 +34,5 @@ def run_preprocessing(spark, raw, clean, file_format="parquet", flight_files=Non
     flights, airlines, airports = read_raw(spark, raw)
     write = write_csv if file_format == "csv" else write_parquet
     write(clean_flights(flights), f"{clean}/flights", files=flight_files)
-    write(clean_airlines(airlines), f"{clean}/airlines", files=1)
-    write(clean_airports(airports), f"{clean}/airports", files=1)
+    write(clean_airlines(airlines), f"{clean}/airlines")
+    write(clean_airports(airports), f"{clean}/airports")

@@ -2,6 +2,7 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import functions as F
 
 from tarmac.constants import LOGISTIC_MAX_ITER, TREE_MAX_DEPTH, TREE_MIN_BINS
@@ -49,35 +50,31 @@ def split_and_compact(features, by_content=True):
     return keep(compact(marked, "set"), "training-rows")
 
 
-def fit_model(train, model):
-    """Fit the encoders and the classifier on compact training rows.
+def fit_encoders(train, model):
+    """The stages from compact rows to the model's input vector."""
+    stages = [*fit_category_indexer(train, "weight").stages, label_indexer(), assembler()]
+    return stages if model == "tree" else [*stages, normalizer()]
 
-    A tree is the same as on single rows, as it sees only sums of weights. A regression
-    has the same optimum, but scales its inputs by a deviation that weights change
-    slightly, so its last digits may differ.
 
-    The tree needs at least as many bins as the largest category has values, the spare
-    one for unseen values included.
+def fit_classifier(train, encoders, model):
+    """Fit the classifier on encoded compact rows.
+
+    A tree is the same as on single rows, as it sees only sums of weights. It needs at
+    least as many bins as the largest category has values, the spare one included.
+
+    A regression has the same optimum as on single rows, but scales its inputs by a
+    deviation that weights change slightly, so its last digits may differ.
     """
-    if model not in MODELS:
-        raise ValueError(f"model must be one of {MODELS}, not {model!r}")
-    categories = fit_category_indexer(train, "weight")
-    encoders = [*categories.stages, label_indexer(), assembler()]
-    if model == "tree":
-        largest = max(len(indexer.labels) for indexer in categories.stages) + 1
-        bins = max(TREE_MIN_BINS, largest)
-        classifier = _tree(bins)
-        train = spread(train, bins)
-    else:
-        encoders.append(normalizer())
-        classifier = _logistic()
-    encoded = PipelineModel(encoders).transform(train)
-    return PipelineModel([*encoders, classifier.fit(encoded)])
-
-
-def evaluate(fitted, rows):
-    """Accuracy, precision, recall and auc per set, by one pass over the compact rows."""
-    return confusion_metrics(fitted.transform(rows), by=["set"], weight="weight").select(
+    if model != "tree":
+        return _logistic().fit(train)
+    largest = max(len(s.labels) for s in encoders if isinstance(s, StringIndexerModel)) + 1
+    bins = max(TREE_MIN_BINS, largest)
+    return _tree(bins).fit(spread(train, bins))
+
+
+def evaluate(classifier, encoded):
+    """Accuracy, precision, recall and auc per set, by one pass over the encoded rows."""
+    return confusion_metrics(classifier.transform(encoded), by=["set"], weight="weight").select(
         "set", "accuracy", "precision", "recall", "auc"
     )
 
@@ -86,13 +83,22 @@ def train_and_evaluate(features, model, by_content=True):
     """The fitted pipeline, from feature rows to predictions, and its evaluation.
 
     The features are read twice: to check the bucket bounds, and to split and compact.
+    The compact rows are encoded once and written, for all passes of the training and
+    for the evaluation.
     """
     if model not in MODELS:
         raise ValueError(f"model must be one of {MODELS}, not {model!r}")
     check_bucket_bounds(features)
     rows = split_and_compact(features, by_content)
-    fitted = fit_model(rows.filter(F.col("set") == "Train"), model)
-    return PipelineModel([bucketizer(), *fitted.stages]), evaluate(fitted, rows)
+    encoders = fit_encoders(rows.filter(F.col("set") == "Train"), model)
+    vector = encoders[-1].getOutputCol()
+    encoded = keep(
+        PipelineModel(encoders).transform(rows).select("set", vector, "DelayIndex", "weight"),
+        "encoded-rows",
+    )
+    classifier = fit_classifier(encoded.filter(F.col("set") == "Train"), encoders, model)
+    fitted = PipelineModel([bucketizer(), *encoders, classifier])
+    return fitted, evaluate(classifier, encoded)
 
 
 def tree_description(spark, fitted):

@@ -22,7 +22,8 @@ def flights_raw(spark, folder):
     """The flight facts, all columns text.
 
     Orders meet their customers first, so the line items, the large side, are
-    shuffled once and only by order.
+    shuffled once and only by order. Neither side is bounded, hence the merge join: it
+    spills, and AQE splits an order that holds many lines.
     """
     orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     customers = _table(spark, folder, "customer").select("c_custkey", "c_nationkey")
@@ -30,7 +31,7 @@ def flights_raw(spark, folder):
         "o_orderkey", "c_nationkey"
     )
     lines = _table(spark, folder, "lineitem")
-    joined = lines.join(nations, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = lines.hint("merge").join(nations, F.col("l_orderkey") == F.col("o_orderkey"))
 
     minute = ((F.col("l_orderkey") * 37 + F.col("l_linenumber") * 211) % 1440).cast("int")
     morning = minute.between(360, 719)

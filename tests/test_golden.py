@@ -181,6 +181,12 @@ def test_describe_columns(flights):
     assert described["AIRLINE"].min_text == "AA" and described["AIRLINE"].mean is None
 
 
+def test_overview(flights, capsys):
+    summary.print_overview(flights)
+    shown = capsys.readouterr().out
+    assert "|-- ORIGIN_AIRPORT: string" in shown and "max_text" in shown
+
+
 def test_first_rows(flights):
     assert summary.first_rows(flights).count() == 5
 

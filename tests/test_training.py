@@ -1,6 +1,6 @@
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
@@ -55,9 +55,8 @@ def test_logistic_metrics_are_ratios(features):
 
 
 def test_compact_tree_equals_the_tree_on_single_rows(features):
-    rows_ = training.split_and_compact(features)
-    compact_train = rows_.filter("set = 'Train'")
-    fitted = training.fit_model(compact_train, "tree")
+    compact_train = training.split_and_compact(features).filter("set = 'Train'")
+    fitted, _ = training.train_and_evaluate(features, "tree")
     train = sampling.hash_split(features).filter("set = 'Train'")
     assert compact_train.agg(F.sum("weight")).first()[0] == train.count()
     assert compact_train.count() < train.count()
@@ -90,17 +89,29 @@ def test_few_combinations_still_fill_the_bins(spark, features):
     assert wide.agg(F.sum("weight"), F.min("weight")).first()[0] == 600
     assert wide.columns == compact.columns
     assert encoding.spread(wide, 322) is wide
-    marked = compact.withColumn("set", F.lit("Train"))
-    assert training.fit_model(marked, "tree").stages[-1].depth >= 0
+    fitted, _ = training.train_and_evaluate(few, "tree", by_content=False)
+    assert fitted.stages[-1].depth >= 0
 
 
 def test_fitted_pipeline_predicts_feature_rows(features):
     fitted, evaluation = training.train_and_evaluate(features, "tree")
-    marked = sampling.hash_split(features)
-    by_row = metrics.confusion_metrics(fitted.transform(marked), by=["set"])
+    by_row = metrics.confusion_metrics(
+        fitted.transform(sampling.hash_split(features)), by=["set"]
+    )
     assert rows(by_row.select(*evaluation.columns)) == rows(evaluation)
 
 
+def test_compact_regression_agrees_with_single_rows(features):
+    fitted, _ = training.train_and_evaluate(features, "logistic")
+    train = sampling.hash_split(features).filter("set = 'Train'")
+    encoded = PipelineModel(fitted.stages[:-1]).transform(train)
+    plain = LogisticRegression(
+        featuresCol="normalized_features", labelCol="DelayIndex", maxIter=10
+    ).fit(encoded)
+    accuracy = lambda m, t: m.transform(t).filter("prediction = DelayIndex").count()
+    assert abs(accuracy(plain, encoded) - accuracy(fitted.stages[-1], encoded)) <= train.count() / 100
+
+
 def test_confusion_counts_cover_every_row(features):
     fitted, _ = training.train_and_evaluate(features, "tree")
     counts = metrics.confusion_counts(fitted.transform(features)).first()

@@ -27,6 +27,7 @@ def _parser():
     sample = job("sample", "features", "output")
     sample.add_argument("--seed", type=int)
     sample.add_argument("--by-content", action="store_true")
+    sample.add_argument("--files", type=int)
     train = job("train", "features", "output")
     train.add_argument("model", choices=MODELS)
     train.add_argument("--random-split", action="store_true")
@@ -45,7 +46,7 @@ def main(arguments=None):
     elif a.job == "features":
         run_feature_job(spark, a.raw, a.statistics, a.output, a.format)
     elif a.job == "sample":
-        run_sampling(spark, a.features, a.output, a.format, a.seed, a.by_content)
+        run_sampling(spark, a.features, a.output, a.format, a.seed, a.by_content, a.files)
     else:
         run_training(spark, a.features, a.output, a.model, a.format, not a.random_split)
 

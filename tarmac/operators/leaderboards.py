@@ -54,51 +54,73 @@ def airport_slot_taxi_state(clean):
     return average_state(_taxi_times(clean), ["ORIGIN_AIRPORT", "time_slot"], "TAXI_OUT")
 
 
+def named_averages(fact, dimension, key, measure, code, name, by=(), average="average"):
+    """Average of a measure per name a dimension gives to the key, and per ``by`` column.
+
+    The result calls the name as the dimension does, in lower case.
+    """
+    averages = fact.groupBy(key, *by).agg(F.avg(measure).alias(average))
+    names = dimension.select(F.col(code).alias("_code"), F.col(name).alias("_name"))
+    return averages.join(names, F.col(key) == F.col("_code")).select(
+        F.col("_name").alias(name.lower()), *by, average
+    )
+
+
 def airline_delay_statistic(clean, airlines):
     """Average arrival delay per airline name."""
-    averages = _delays(clean).groupBy("AIRLINE").agg(F.avg("ARRIVAL_DELAY").alias("average_delay"))
-    names = airlines.select("IATA_CODE", F.col("AIRLINE").alias("airline_name"))
-    return averages.join(names, F.col("AIRLINE") == F.col("IATA_CODE")).select(
-        F.col("airline_name").alias("airline"), "average_delay"
+    return named_averages(
+        _delays(clean),
+        airlines,
+        key="AIRLINE",
+        measure="ARRIVAL_DELAY",
+        code="IATA_CODE",
+        name="AIRLINE",
+        average="average_delay",
     )
 
 
 def airport_slot_taxi_statistic(clean, airports):
     """Average taxi-out time per airport name and time slot."""
-    averages = (
-        _taxi_times(clean)
-        .groupBy("ORIGIN_AIRPORT", "time_slot")
-        .agg(F.avg("TAXI_OUT").alias("average_taxi_out"))
-    )
-    names = airports.select("IATA_CODE", F.col("AIRPORT").alias("airport"))
-    return averages.join(names, F.col("ORIGIN_AIRPORT") == F.col("IATA_CODE")).select(
-        "airport", "time_slot", "average_taxi_out"
+    return named_averages(
+        _taxi_times(clean),
+        airports,
+        key="ORIGIN_AIRPORT",
+        measure="TAXI_OUT",
+        code="IATA_CODE",
+        name="AIRPORT",
+        by=["time_slot"],
+        average="average_taxi_out",
     )
 
 
+def average_leaderboard(averages, average, *ties, within=()):
+    """Averages ranked from the highest down, equal ones by the ``ties`` columns."""
+    order = [F.desc(average), *[F.asc(c) for c in ties]]
+    return with_rank(averages, order, within).orderBy(*within, "rank")
+
+
 def airline_delay_leaderboard(clean, airlines):
     """Airlines from the latest to the most punctual, ties by name."""
-    return with_rank(
-        airline_delay_statistic(clean, airlines),
-        [F.desc("average_delay"), F.asc("airline")],
-    ).orderBy("rank")
+    return average_leaderboard(
+        airline_delay_statistic(clean, airlines), "average_delay", "airline"
+    )
 
 
 def airport_slot_taxi_leaderboard(clean, airports):
     """Airports and slots from the longest to the shortest taxi-out, ties by name, slot."""
-    return with_rank(
-        airport_slot_taxi_statistic(clean, airports),
-        [F.desc("average_taxi_out"), F.asc("airport"), F.asc("time_slot")],
-    ).orderBy("rank")
+    return average_leaderboard(
+        airport_slot_taxi_statistic(clean, airports), "average_taxi_out", "airport", "time_slot"
+    )
 
 
 def airport_rank_within_slot(clean, airports):
     """Airports ranked by taxi-out time inside each time slot."""
-    return with_rank(
+    return average_leaderboard(
         airport_slot_taxi_statistic(clean, airports),
-        [F.desc("average_taxi_out"), F.asc("airport")],
+        "average_taxi_out",
+        "airport",
         within=["time_slot"],
-    ).orderBy("time_slot", "rank")
+    )
 
 
 AIRLINE_DELAY_SQL = """

@@ -9,7 +9,7 @@ from tarmac.plans.preprocessing import read_raw
 from tarmac.schemas import FEATURES
 from tarmac.sources.csv_tables import read_positional_csv
 from tarmac.sources.sinks import write_csv, write_parquet
-from tarmac.sources.stage import keep
+from tarmac.sources.stage import keep_all
 
 
 def build_features(flights, airlines, airports):
@@ -19,10 +19,11 @@ def build_features(flights, airlines, airports):
     so the columns in use are kept as a stage. The statistics are kept too: they are
     small, and the size checks before the joins then cost next to nothing.
     """
-    flights = keep(feature_flights(flights), "flights")
-    airports = keep(airports, "airports")
-    airline_statistic = keep(airline_delay_statistic(flights, airlines), "airline-statistic")
-    airport_statistic = keep(airport_slot_taxi_statistic(flights, airports), "airport-statistic")
+    flights, airports = keep_all(flights=feature_flights(flights), airports=airports)
+    airline_statistic, airport_statistic = keep_all(
+        airline_statistic=airline_delay_statistic(flights, airlines),
+        airport_statistic=airport_slot_taxi_statistic(flights, airports),
+    )
     return feature_table(flights, airlines, airports, airline_statistic, airport_statistic)
 
 
@@ -43,9 +44,11 @@ def read_features(spark, path, file_format="parquet"):
     return spark.read.schema(FEATURES).parquet(path)
 
 
-def run_sampling(spark, features, output, file_format="parquet", seed=None, by_content=False):
+def run_sampling(
+    spark, features, output, file_format="parquet", seed=None, by_content=False, files=None
+):
     """Write a 20 % sample, drawn row by row or by content."""
     table = read_features(spark, features, file_format)
     sample = hash_sample(table) if by_content else bernoulli_sample(table, seed=seed)
     write = write_csv if file_format == "csv" else write_parquet
-    write(sample, output)
+    write(sample, output, files=files)

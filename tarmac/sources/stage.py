@@ -6,6 +6,9 @@ sizes and column pruning, none of which a cache does.
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 
 
 def stage_root(spark):
@@ -35,3 +38,14 @@ def keep(table, name, compression="snappy"):
     path = new_stage_path(spark, name)
     table.write.option("compression", compression).parquet(path)
     return spark.read.schema(table.schema).parquet(path)
+
+
+def keep_all(**tables):
+    """Write independent tables at the same time and return the written copies.
+
+    The jobs share the executors, so a short one runs beside the tail of a long one.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    with ThreadPoolExecutor(len(tables)) as pool:
+        write = inheritable_thread_target(spark)(lambda item: keep(item[1], item[0]))
+        return tuple(pool.map(write, tables.items()))

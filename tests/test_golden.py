@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from tarmac.operators import cleaning, encoding, enrichment, leaderboards, summary
 from tarmac.plans.features import build_features
-from tests.conftest import AIRLINES, FLIGHTS, rows
+from tarmac.sources import binding
+from tests.conftest import AIRLINES, DATA, FLIGHTS, rows
 
 
 def kept(number):
@@ -191,6 +192,29 @@ def test_first_rows(flights):
     assert summary.first_rows(flights).count() == 5
 
 
+def test_any_fact_and_dimension(spark):
+    """The operators know flights only by their default columns."""
+    nations = spark.read.parquet(f"{DATA}/nation.parquet")
+    suppliers = spark.read.parquet(f"{DATA}/supplier.parquet")
+    averages = leaderboards.named_averages(
+        suppliers, nations, "s_nationkey", "s_acctbal", "n_nationkey", "n_name"
+    )
+    board = leaderboards.average_leaderboard(averages, "average", "n_name").collect()
+    assert board[0].average == max(r.average for r in board)
+    assert [r["rank"] for r in board] == list(range(1, len(board) + 1))
+
+
+def test_text_state_and_frame_versions_agree(spark):
+    clean = cleaning.clean_flights(binding.flights_raw(spark, DATA))
+    airlines = binding.airlines_raw(spark, DATA)
+    frame = rows(leaderboards.airline_delay_statistic(clean, airlines))
+    assert frame == rows(leaderboards.airline_delay_sql(clean, airlines))
+    state = leaderboards.airline_delay_state(clean).select("AIRLINE", "average")
+    names = airlines.withColumnRenamed("AIRLINE", "name")
+    by_state = state.join(names, F.col("AIRLINE") == F.col("IATA_CODE")).select("name", "average")
+    assert frame == rows(by_state)
+
+
 def test_layout_does_not_matter(flights, airlines, airports):
     results = []
     for partitions in (1, 7):

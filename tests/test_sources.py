@@ -122,6 +122,17 @@ def test_stage_is_written_below_the_checkpoint_folder(spark, odd):
     assert "parquet" in kept._jdf.queryExecution().executedPlan().toString().lower()
 
 
+def test_tables_kept_together(odd):
+    first, second = stage.keep_all(first=odd, second=odd.limit(2))
+    assert rows(first) == rows(odd) and second.count() == 2
+
+
+def test_a_failed_table_fails_the_stage(spark, odd):
+    bad = spark.range(1).select(F.raise_error(F.lit("broken")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        stage.keep_all(good=odd, bad=bad)
+
+
 class _Session:
     def __init__(self, master, folder=None):
         self.conf = {}

@@ -18,7 +18,7 @@ def time_slot(hhmm):
         F.concat(F.lit("no hour in departure time: "), F.coalesce(hhmm, F.lit("null")))
     )
     # Few, ordered tests: each one parses the hour again.
-    return (
+    slot = (
         F.when(F.length(F.trim(head)) != 2, no_hour)
         .when(hour > 17, F.lit(EVENING))
         .when(hour > 11, F.lit(AFTERNOON))
@@ -27,6 +27,8 @@ def time_slot(hhmm):
         .when(hour < 0, F.lit(EVENING))
         .otherwise(no_hour)
     )
+    # Declared as never null, or joins and filters on the slot would work it out twice.
+    return F.coalesce(slot, F.lit(EVENING))
 
 
 def slot_from_ordinal(ordinal):

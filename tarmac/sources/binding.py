@@ -14,10 +14,6 @@ def _table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _padded(number, width):
-    return F.lpad(number.cast("string"), width, "0")
-
-
 def flights_raw(spark, folder):
     """The flight facts, all columns text.
 
@@ -33,65 +29,47 @@ def flights_raw(spark, folder):
     lines = _table(spark, folder, "lineitem")
     joined = lines.hint("merge").join(nations, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    minute = ((F.col("l_orderkey") * 37 + F.col("l_linenumber") * 211) % 1440).cast("int")
-    morning = minute.between(360, 719)
-    evening = minute >= 1080
-    supplier = F.col("l_suppkey") % CODES
-    percent = lambda name: F.round(F.col(name) * 100).cast("int")
-    return joined.select(
-        _padded(F.col("c_nationkey"), 2).alias("AIRLINE"),
-        F.when(F.col("l_linenumber") == 7, _padded(supplier, 5))
-        .otherwise(_padded(supplier, 3))
-        .alias("ORIGIN_AIRPORT"),
-        _padded(F.col("l_partkey") % 10, 3).alias("DESTINATION_AIRPORT"),
-        _padded(F.floor(minute / 60).cast("int") * 100 + minute % 60, 4).alias(
-            "SCHEDULED_DEPARTURE"
-        ),
-        F.month("l_shipdate").cast("string").alias("MONTH"),
-        (F.weekday("l_shipdate") + 1).cast("string").alias("DAY_OF_WEEK"),
-        F.floor(F.col("l_extendedprice") / 30).cast("int").cast("string").alias("DISTANCE"),
-        (5 + percent("l_discount") + percent("l_tax") + F.when(morning, 6).otherwise(0))
-        .cast("string")
-        .alias("TAXI_OUT"),
-        (
-            F.col("l_quantity").cast("int")
-            - 25
-            + F.col("c_nationkey") % 12
-            + F.when(evening, 8).otherwise(0)
-        )
-        .cast("string")
-        .alias("ARRIVAL_DELAY"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), "1")
-        .otherwise("0")
-        .alias("CANCELLED"),
-        F.when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 1), "1")
-        .otherwise("0")
-        .alias("DIVERTED"),
+    minute = "cast((l_orderkey * 37 + l_linenumber * 211) % 1440 AS int) AS minute"
+    return joined.selectExpr("*", minute).selectExpr(
+        "lpad(cast(c_nationkey AS string), 2, '0') AS AIRLINE",
+        f"lpad(cast(l_suppkey % {CODES} AS string), if(l_linenumber = 7, 5, 3), '0')"
+        " AS ORIGIN_AIRPORT",
+        "lpad(cast(l_partkey % 10 AS string), 3, '0') AS DESTINATION_AIRPORT",
+        "lpad(cast(minute div 60 * 100 + minute % 60 AS string), 4, '0') AS SCHEDULED_DEPARTURE",
+        "cast(month(l_shipdate) AS string) AS MONTH",
+        "cast(weekday(l_shipdate) + 1 AS string) AS DAY_OF_WEEK",
+        "cast(floor(l_extendedprice / 30) AS string) AS DISTANCE",
+        "cast(5 + cast(round(l_discount * 100) AS int) + cast(round(l_tax * 100) AS int)"
+        " + if(minute BETWEEN 360 AND 719, 6, 0) AS string) AS TAXI_OUT",
+        "cast(cast(l_quantity AS int) - 25 + c_nationkey % 12 + if(minute >= 1080, 8, 0)"
+        " AS string) AS ARRIVAL_DELAY",
+        "if(l_returnflag = 'R' AND l_linestatus = 'F', '1', '0') AS CANCELLED",
+        "if(l_returnflag = 'A' AND l_linenumber = 1, '1', '0') AS DIVERTED",
     )
 
 
 def airports_raw(spark, folder):
     """One airport per code, described by its first supplier; some lack coordinates."""
     nations = _table(spark, folder, "nation").select("n_nationkey", "n_name")
-    suppliers = _table(spark, folder, "supplier").select(
-        "s_suppkey", "s_name", "s_nationkey", (F.col("s_suppkey") % CODES).alias("code")
+    suppliers = _table(spark, folder, "supplier").selectExpr(
+        "s_suppkey", "s_name", "s_nationkey", f"s_suppkey % {CODES} AS code"
     )
     # At most one row per code, so at most CODES rows: safe to broadcast.
     firsts = suppliers.groupBy("code").agg(F.min("s_suppkey").alias("first_key"))
     first = suppliers.drop("code").join(
         F.broadcast(firsts), F.col("s_suppkey") == F.col("first_key")
     )
-    located = F.col("code") % 10 != 9
-    return first.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        _padded(F.col("code"), 3).alias("IATA_CODE"),
-        F.col("s_name").alias("AIRPORT"),
-        F.when(located, (F.col("code") * 13 % 110 - 60).cast("string")).alias("LATITUDE"),
-        F.when(located, (F.col("code") * 17 % 95 - 160).cast("string")).alias("LONGITUDE"),
-        F.col("n_name").alias("STATE"),
+    return first.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+        "lpad(cast(code AS string), 3, '0') AS IATA_CODE",
+        "s_name AS AIRPORT",
+        "if(code % 10 != 9, cast(code * 13 % 110 - 60 AS string), null) AS LATITUDE",
+        "if(code % 10 != 9, cast(code * 17 % 95 - 160 AS string), null) AS LONGITUDE",
+        "n_name AS STATE",
     )
 
 
 def airlines_raw(spark, folder):
-    return _table(spark, folder, "nation").select(
-        _padded(F.col("n_nationkey"), 2).alias("IATA_CODE"), F.col("n_name").alias("AIRLINE")
+    """One airline per nation."""
+    return _table(spark, folder, "nation").selectExpr(
+        "lpad(cast(n_nationkey AS string), 2, '0') AS IATA_CODE", "n_name AS AIRLINE"
     )

@@ -228,3 +228,34 @@ def test_layout_does_not_matter(flights, airlines, airports):
             )
         )
     assert results[0] == results[1]
+
+
+def test_only_flown_flights_need_a_departure(spark, flights, airlines, airports, tmp_path):
+    """A bad time on a dropped flight must not fail the job, wherever the plan puts the test."""
+    broken = flights.withColumn(
+        "SCHEDULED_DEPARTURE",
+        F.when(F.col("CANCELLED") == "1", "??").otherwise(F.col("SCHEDULED_DEPARTURE")),
+    )
+    broken.write.parquet(str(tmp_path / "flights"))
+    for table in (broken, spark.read.parquet(str(tmp_path / "flights"))):
+        clean = cleaning.clean_flights(table)
+        airline_statistic = leaderboards.airline_delay_statistic(clean, airlines)
+        airport_statistic = leaderboards.airport_slot_taxi_statistic(clean, airports)
+        for limit in (0, 1 << 26):
+            features = enrichment.feature_table(
+                cleaning.feature_flights(table), airlines, airports,
+                airline_statistic, airport_statistic, limit,
+            )
+            assert features.count() == 6
+            assert len(rows(features)) == 6
+        assert len(rows(airport_statistic)) == 5
+
+
+def test_bad_numbers_on_dropped_flights_do_not_matter(flights, airlines, airports):
+    broken = flights.withColumns(
+        {
+            c: F.when(F.col("CANCELLED") == "1", "??").otherwise(F.col(c))
+            for c in ("MONTH", "DISTANCE", "ARRIVAL_DELAY", "TAXI_OUT")
+        }
+    )
+    assert build_features(broken, airlines, airports).count() == 6

@@ -1,11 +1,19 @@
-"""Every registered query against its SQL."""
+"""Every registered query against its SQL, and free of operators that do not scale."""
 
 import pytest
 
 import __spark_entry__ as registry
-from tests.conftest import DATA
+from tests.conftest import DATA, plan
 from tools.compare import compare, connect
 
+SLOW = (
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+    "ArrowEvalPython",
+    "BatchEvalPython",
+    "MapInPandas",
+)
+
 
 @pytest.fixture(scope="module")
 def connection():
@@ -14,7 +22,11 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, connection, name):
-    assert compare(spark, connection, DATA, name) is None
+    table = registry.queries()[name](spark, DATA)
+    assert compare(connection, table, name) is None
+    text = plan(table)
+    for bad in SLOW:
+        assert bad not in text
 
 
 def test_only_draws_and_models_lack_sql():

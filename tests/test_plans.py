@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from tarmac import schemas
 from tarmac.operators import cleaning, leaderboards
 from tarmac.sources import binding
+from tarmac.sources.csv_tables import read_header_csv
+from tarmac.sources.sinks import write_csv
 from tests.conftest import DATA, plan
 
 
@@ -52,3 +55,15 @@ def test_the_slot_is_worked_out_once(spark, flights, airports):
         leaderboards.airport_slot_taxi_statistic(cleaning.clean_flights(flights), airports)
     )
     assert "isnotnull(CASE" not in text and "isnotnull(coalesce(CASE" not in text
+
+
+def test_filters_and_columns_reach_a_csv_scan(spark, conf, flights, tmp_path):
+    conf("spark.sql.maxMetadataStringLength", "1000")
+    path = str(tmp_path / "flights.csv")
+    write_csv(flights, path, header=True)
+    raw = read_header_csv(spark, path, schemas.RAW_FLIGHTS.names)
+    text = plan(leaderboards.airline_delay_state(cleaning.clean_flights(raw)))
+    assert "EqualTo(CANCELLED,0)" in text and "EqualTo(DIVERTED,0)" in text
+    schema = text[text.index("ReadSchema"):].split(">")[0]
+    for unused in ("TAXI_OUT", "DISTANCE", "SCHEDULED_DEPARTURE"):
+        assert unused not in schema

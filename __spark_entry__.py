@@ -377,7 +377,7 @@ def tree_description(spark, sf_dir):
     return training.tree_description(spark, fitted)
 
 
-_QUERIES = {
+OWN_QUERIES = {
     "flights_raw": flights_raw,
     "csv_header_scan": csv_header_scan,
     "csv_positional_scan": csv_positional_scan,
@@ -427,15 +427,24 @@ _QUERIES = {
 }
 
 
+try:
+    from tarmac.llm.queries import ORACLE_SQL as _LLM_SQL
+    from tarmac.llm.queries import QUERIES as _LLM_QUERIES
+except ImportError as error:
+    if (error.name or "").partition(".llm")[0] not in ("tarmac", "corpus_pipeline"):
+        raise
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Airlines ranked by average arrival delay."""
     return airline_delay_leaderboard(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**OWN_QUERIES, **_LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for every query but the random draws and the fitted models."""
-    return oracle_queries.oracle_sql()
+    return {**oracle_queries.oracle_sql(), **_LLM_SQL}

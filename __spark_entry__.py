@@ -140,6 +140,14 @@ def airline_delay_state(spark, sf_dir):
     return leaderboards.airline_delay_state(_clean(spark, sf_dir))
 
 
+def airline_delay_merged_state(spark, sf_dir):
+    flights = binding.flights_raw(spark, sf_dir)
+    first = F.col("MONTH").cast("int") <= 6
+    halves = [flights.where(half) for half in (first, ~first)]
+    states = [leaderboards.airline_delay_state(cleaning.clean_flights(half)) for half in halves]
+    return leaderboards.merge_states(states, ["AIRLINE"])
+
+
 def airport_slot_taxi_leaderboard(spark, sf_dir):
     return leaderboards.airport_slot_taxi_leaderboard(
         _clean(spark, sf_dir), binding.airports_raw(spark, sf_dir)
@@ -239,6 +247,20 @@ def time_slot_sql_function(spark, sf_dir):
     )
 
 
+def area_sql_functions(spark, sf_dir):
+    register_sql_functions(spark)
+    return spark.sql(
+        """
+        SELECT IATA_CODE,
+               cast(extractLatitudeArea(stringToDouble(LATITUDE)) AS INT) AS latitude_area,
+               cast(extractLongitudeArea(stringToDouble(LONGITUDE)) AS INT) AS longitude_area,
+               intToDouble(stringToInt(IATA_CODE)) AS code
+        FROM {airports}
+        """,
+        airports=binding.airports_raw(spark, sf_dir),
+    )
+
+
 def delay_label(spark, sf_dir):
     delay = scalars.strict_int(F.col("ARRIVAL_DELAY"))
     return (
@@ -392,6 +414,7 @@ OWN_QUERIES = {
     "airline_delay_leaderboard": airline_delay_leaderboard,
     "airline_delay_sql": airline_delay_sql,
     "airline_delay_state": airline_delay_state,
+    "airline_delay_merged_state": airline_delay_merged_state,
     "airport_slot_taxi_leaderboard": airport_slot_taxi_leaderboard,
     "airport_slot_taxi_state": airport_slot_taxi_state,
     "airport_rank_within_slot": airport_rank_within_slot,
@@ -404,6 +427,7 @@ OWN_QUERIES = {
     "time_slot_scalar": time_slot_scalar,
     "time_slot_ordinal": time_slot_ordinal,
     "time_slot_sql_function": time_slot_sql_function,
+    "area_sql_functions": area_sql_functions,
     "delay_label": delay_label,
     "latitude_area": latitude_area,
     "longitude_area": longitude_area,

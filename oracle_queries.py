@@ -1,19 +1,29 @@
 """The registered queries as plain SQL, to check the Spark results against."""
 
+_NUMBERS = (
+    "Month DayOfWeek Distance OriginLatitudeArea OriginLongitudeArea DestinationLatitudeArea "
+    "DestinationLongitudeArea AverageAirlineDelay Delay AverageTaxiOut"
+).split()
+_TEXTS = "Airline TimeSlot OriginState DestinationState OriginAirport".split()
+
 _VIEWS = {
     "flights_raw": """
-        SELECT lpad(cast(c_nationkey AS varchar), 2, '0') AS AIRLINE,
+        SELECT CASE WHEN l_orderkey % 101 = 0 THEN 'ZZ'
+                    ELSE lpad(cast(c_nationkey AS varchar), 2, '0') END AS AIRLINE,
                CASE WHEN l_linenumber = 7
                     THEN lpad(cast(l_suppkey % 1000 AS varchar), 5, '0')
                     ELSE lpad(cast(l_suppkey % 1000 AS varchar), 3, '0') END AS ORIGIN_AIRPORT,
                lpad(cast(l_partkey % 10 AS varchar), 3, '0') AS DESTINATION_AIRPORT,
-               lpad(cast(cast(floor(m / 60) AS int) * 100 + m % 60 AS varchar), 4, '0')
-                   AS SCHEDULED_DEPARTURE,
+               CASE WHEN m = 0 THEN '2400'
+                    ELSE lpad(cast(cast(floor(m / 60) AS int) * 100 + m % 60 AS varchar), 4, '0')
+                    END AS SCHEDULED_DEPARTURE,
                cast(month(l_shipdate) AS varchar) AS "MONTH",
                cast(isodow(l_shipdate) AS varchar) AS DAY_OF_WEEK,
                cast(cast(floor(l_extendedprice / 30) AS int) AS varchar) AS DISTANCE,
+               CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE
                cast(5 + cast(round(l_discount * 100) AS int) + cast(round(l_tax * 100) AS int)
-                    + CASE WHEN m BETWEEN 360 AND 719 THEN 6 ELSE 0 END AS varchar) AS TAXI_OUT,
+                    + CASE WHEN m BETWEEN 360 AND 719 THEN 6 ELSE 0 END AS varchar) END
+                    AS TAXI_OUT,
                cast(cast(l_quantity AS int) - 25 + c_nationkey % 12
                     + CASE WHEN m >= 1080 THEN 8 ELSE 0 END AS varchar) AS ARRIVAL_DELAY,
                CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN '1' ELSE '0' END
@@ -25,15 +35,17 @@ _VIEWS = {
               JOIN orders ON l_orderkey = o_orderkey
               JOIN customer ON o_custkey = c_custkey)""",
     "airports_raw": """
-        SELECT lpad(cast(code AS varchar), 3, '0') AS IATA_CODE, s_name AS AIRPORT,
+        SELECT lpad(cast(code AS varchar), 3, '0') AS IATA_CODE,
+               CASE WHEN code IN (4, 5) THEN 'Twin Field' WHEN n > 1 THEN name || ' and ' || (n - 1)
+                    ELSE name END AS AIRPORT,
                CASE WHEN code % 10 = 9 THEN NULL
                     ELSE cast(-60 + (code * 13) % 110 AS varchar) END AS LATITUDE,
                CASE WHEN code % 10 = 9 THEN NULL
                     ELSE cast(-160 + (code * 17) % 95 AS varchar) END AS LONGITUDE,
-               n_name AS STATE
-        FROM (SELECT s_suppkey % 1000 AS code, s_name, s_nationkey FROM supplier
-              WHERE s_suppkey IN (SELECT min(s_suppkey) FROM supplier GROUP BY s_suppkey % 1000))
-        JOIN nation ON s_nationkey = n_nationkey""",
+               STATE
+        FROM (SELECT s_suppkey % 1000 AS code, min(s_name) AS name, min(n_name) AS STATE,
+                     count(*) AS n
+              FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)""",
     "airlines_raw": """
         SELECT lpad(cast(n_nationkey AS varchar), 2, '0') AS IATA_CODE, n_name AS AIRLINE
         FROM nation""",
@@ -87,11 +99,14 @@ _VIEWS = {
         JOIN airline_statistic s ON a.AIRLINE = s.airline
         JOIN airport_statistic t ON o.AIRPORT = t.airport AND f.slot = t.time_slot""",
     "hashed": """
-        SELECT *, cast('0x' || substr(md5(concat_ws('|', "Airline", "TimeSlot", "Month",
+        SELECT *, count(*) OVER same AS n, row_number() OVER same_in_turn AS turn, cast('0x' || substr(md5(concat_ws('|', "Airline", "TimeSlot", "Month",
                       "DayOfWeek", cast("Distance" AS bigint), "OriginState",
                       "DestinationState", "OriginAirport", cast("Delay" AS bigint))), 1, 8)
                   AS bigint) % 100 AS pct
-        FROM features""",
+        FROM features
+        WINDOW same AS (PARTITION BY {all}), same_in_turn AS (PARTITION BY {all})""".replace(
+        "{all}", ", ".join(f'"{c}"' for c in _NUMBERS + _TEXTS)
+    ),
     "category_counts": """
         SELECT 'Airline' AS "column", "Airline" AS "value", count(*) AS n FROM features GROUP BY 2
         UNION ALL SELECT 'TimeSlot', "TimeSlot", count(*) FROM features GROUP BY 2
@@ -187,11 +202,6 @@ _FEATURES = """
            "DestinationLongitudeArea", "DestinationState", "OriginAirport",
            "AverageAirlineDelay", "Delay", "AverageTaxiOut" """
 
-_NUMBERS = (
-    "Month DayOfWeek Distance OriginLatitudeArea OriginLongitudeArea DestinationLatitudeArea "
-    "DestinationLongitudeArea AverageAirlineDelay Delay AverageTaxiOut"
-).split()
-_TEXTS = "Airline TimeSlot OriginState DestinationState OriginAirport".split()
 _VECTOR = (
     "AirlineIndex AverageAirlineDelayBucketed OriginStateIndex DestinationStateIndex "
     "TimeSlotIndex Month DayOfWeek DistanceBucketed OriginLatitudeArea OriginLongitudeArea "
@@ -258,6 +268,17 @@ def oracle_sql():
                FROM clean GROUP BY 1""",
             "clean",
         ),
+        "airline_delay_merged_state": _sql(
+            """SELECT AIRLINE, sum(cast(ARRIVAL_DELAY AS double)) AS total,
+                      count(ARRIVAL_DELAY) AS n, avg(cast(ARRIVAL_DELAY AS double)) AS average
+               FROM clean GROUP BY 1""",
+            "clean",
+        ),
+        "area_sql_functions": _sql(
+            """SELECT IATA_CODE, lat_area AS latitude_area, lon_area AS longitude_area,
+                      cast(IATA_CODE AS double) AS code FROM areas""",
+            "areas",
+        ),
         "airport_slot_taxi_leaderboard": _sql(
             """SELECT row_number() OVER (ORDER BY average_taxi_out DESC, airport, time_slot)
                           AS "rank", airport, time_slot, average_taxi_out
@@ -340,9 +361,10 @@ def oracle_sql():
                FROM areas""",
             "areas",
         ),
-        "sample_hash_20": _sql(_FEATURES + "FROM hashed WHERE pct < 20", "hashed"),
+        "sample_hash_20": _sql(_FEATURES + "FROM hashed WHERE turn <= n * 20 // 100 + (pct < n * 20 % 100)::int", "hashed"),
         "split_hash_70_30": _sql(
-            _FEATURES + """, CASE WHEN pct < 70 THEN 'Train' ELSE 'Test' END AS "set"
+            _FEATURES + """, CASE WHEN turn <= n * 70 // 100 + (pct < n * 70 % 100)::int
+                                  THEN 'Train' ELSE 'Test' END AS "set"
             FROM hashed""",
             "hashed",
         ),

@@ -2,7 +2,8 @@
 
 import argparse
 
-from tarmac.plans.features import run_feature_job, run_sampling
+from tarmac.operators.summary import print_overview
+from tarmac.plans.features import read_features, run_feature_job, run_sampling
 from tarmac.plans.leaderboards import run_airline_leaderboard, run_airport_leaderboard
 from tarmac.plans.preprocessing import run_preprocessing
 from tarmac.plans.training import MODELS, run_training
@@ -23,10 +24,11 @@ def _parser():
     job("preprocess", "raw", "clean").add_argument("--flight-files", type=int)
     job("airlines", "clean", "output").add_argument("--files", type=int)
     job("airports", "clean", "output").add_argument("--files", type=int)
-    job("features", "raw", "statistics", "output")
+    features = job("features", "raw", "statistics", "output")
+    features.add_argument("--overview", action="store_true")
     sample = job("sample", "features", "output")
     sample.add_argument("--seed", type=int)
-    sample.add_argument("--by-content", action="store_true")
+    sample.add_argument("--random", action="store_true")
     sample.add_argument("--files", type=int)
     train = job("train", "features", "output")
     train.add_argument("model", choices=MODELS)
@@ -45,8 +47,10 @@ def main(arguments=None):
         run_airport_leaderboard(spark, a.clean, a.output, a.format, a.files)
     elif a.job == "features":
         run_feature_job(spark, a.raw, a.statistics, a.output, a.format)
+        if a.overview:
+            print_overview(read_features(spark, a.output, a.format))
     elif a.job == "sample":
-        run_sampling(spark, a.features, a.output, a.format, a.seed, a.by_content, a.files)
+        run_sampling(spark, a.features, a.output, a.format, a.seed, not a.random, a.files)
     else:
         run_training(spark, a.features, a.output, a.model, a.format, not a.random_split)
 

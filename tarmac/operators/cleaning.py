@@ -3,19 +3,7 @@
 from pyspark.sql import functions as F
 
 from tarmac.functions.scalars import strict_double
-from tarmac.schemas import CLEAN_AIRPORTS, CLEAN_FLIGHTS
-
-FEATURE_FLIGHT_COLUMNS = (
-    "ORIGIN_AIRPORT",
-    "DESTINATION_AIRPORT",
-    "AIRLINE",
-    "SCHEDULED_DEPARTURE",
-    "MONTH",
-    "DAY_OF_WEEK",
-    "DISTANCE",
-    "ARRIVAL_DELAY",
-)
-
+from tarmac.schemas import CLEAN_AIRPORTS, CLEAN_FLIGHTS, RAW_FLIGHTS
 
 def valid_flights(flights):
     """Flights neither cancelled nor diverted, with a three-letter origin code.
@@ -34,8 +22,8 @@ def clean_flights(flights):
 
 
 def feature_flights(flights):
-    """Columns for the feature table, with the taxi-out time its statistics need."""
-    return valid_flights(flights).select(*FEATURE_FLIGHT_COLUMNS, "TAXI_OUT")
+    """Valid flights without the two flags, which are the same for all of them."""
+    return valid_flights(flights).select(*RAW_FLIGHTS.names).drop("CANCELLED", "DIVERTED")
 
 
 def clean_airlines(airlines):

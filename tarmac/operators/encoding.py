@@ -48,17 +48,19 @@ def check_bucket_bounds(features):
         raise ValueError(f"rows outside the bucket bounds, per column: {outside}")
 
 
-def compact(features, *keep_columns):
+def compact(features, *keep_columns, weight=None):
     """Features in buckets, equal rows as one row with their number as ``weight``.
 
     All model inputs are categories or small whole numbers, so the table shrinks from
     one row per flight to one per combination, and each later pass of a training reads
-    the small table. Partial counts before the shuffle take care of frequent rows.
+    the small table. Partial counts before the shuffle take care of frequent rows. ``weight``
+    names a column of repeat counts that the rows have already.
     """
+    number = F.count("*") if weight is None else F.sum(weight)
     inputs = {c.removesuffix("Index") for c in FEATURE_ORDER}
     bucketed = bucketizer().transform(features)
     return bucketed.groupBy(*keep_columns, *sorted(inputs), "Delay").agg(
-        F.count("*").alias("weight")
+        number.alias("weight")
     )
 
 

@@ -124,10 +124,15 @@ def airport_rank_within_slot(clean, airports):
 
 
 AIRLINE_DELAY_SQL = """
-SELECT names.AIRLINE AS airline, delays.average_delay
-FROM (SELECT AIRLINE, avg(ARRIVAL_DELAY) AS average_delay FROM {flights} GROUP BY AIRLINE) delays
-JOIN {airlines} names ON delays.AIRLINE = names.IATA_CODE
-ORDER BY average_delay DESC, airline
+WITH state AS (
+    SELECT AIRLINE AS code, sum(ARRIVAL_DELAY) AS total, count(ARRIVAL_DELAY) AS n
+    FROM {flights}
+    GROUP BY ALL
+)
+SELECT a.AIRLINE AS airline, try_divide(state.total, state.n) AS average_delay
+FROM {airlines} AS a, state
+WHERE a.IATA_CODE = state.code
+ORDER BY 2 DESC, 1
 """
 
 

@@ -29,9 +29,33 @@ def hash_percent(table, key=CONTENT_KEY):
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
 
 
+def shared_out(weight, percent, chance):
+    """``percent`` of ``weight`` equal rows; a fraction of a row is decided by ``chance``, 0..99."""
+    whole = F.floor(weight * percent / 100).cast("long")
+    return whole + (chance < weight * percent - whole * 100).cast("long")
+
+
+def _counted(table, key):
+    """Equal rows as one, with their number ``_n`` and the chance of their content."""
+    counted = table.groupBy(*table.columns).agg(F.count("*").alias("_n"))
+    return counted.withColumn("_chance", hash_percent(counted, key))
+
+
+def _repeated(table, times):
+    """Each row so many times, in runs of bounded length."""
+    run = 4096
+    runs = table.withColumn("_left", times).withColumn(
+        "_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_left") - 1, F.lit(run).cast("long")))
+    )
+    last = F.least(F.col("_left") - F.col("_at"), F.lit(run)).cast("int")
+    return runs.withColumn("_one", F.explode(F.sequence(F.lit(1), last))).drop("_left", "_at", "_one")
+
+
 def hash_sample(table, percent=SAMPLE_PERCENT, key=CONTENT_KEY):
-    """About ``percent`` of the rows, chosen by content; equal rows stay together."""
-    return table.filter(hash_percent(table, key) < percent)
+    """``percent`` of the rows, of equal rows as many of each, the same on every layout."""
+    counted = _counted(table, key)
+    taken = counted.withColumn("_n", shared_out(F.col("_n"), percent, F.col("_chance")))
+    return _repeated(taken.where("_n > 0"), F.col("_n")).select(*table.columns)
 
 
 def bernoulli_sample(table, percent=SAMPLE_PERCENT, seed=None):
@@ -40,9 +64,26 @@ def bernoulli_sample(table, percent=SAMPLE_PERCENT, seed=None):
 
 
 def hash_split(table, train_percent=TRAIN_PERCENT, key=CONTENT_KEY):
-    """The table with a ``set`` column, Train or Test, chosen by content."""
-    train = hash_percent(table, key) < train_percent
-    return table.withColumn("set", F.when(train, "Train").otherwise("Test"))
+    """The table with a ``set`` column, Train or Test, the same on every layout.
+
+    Equal rows are shared out between the sets by ``train_percent``, so none is one-sided.
+    """
+    sets = hash_split_weights(table, train_percent, key)
+    return _repeated(sets, F.col("weight")).select(*table.columns, "set")
+
+
+def hash_split_weights(table, train_percent=TRAIN_PERCENT, key=CONTENT_KEY):
+    """The same split with equal rows of a set as one row and their number as ``weight``."""
+    train = shared_out(F.col("_n"), train_percent, F.col("_chance"))
+    shares = [
+        F.struct(F.lit("Train").alias("set"), train.alias("weight")),
+        F.struct(F.lit("Test").alias("set"), (F.col("_n") - train).alias("weight")),
+    ]
+    return (
+        _counted(table, key)
+        .select(*table.columns, F.inline(F.array(*shares)))
+        .where("weight > 0")
+    )
 
 
 def random_split(table, train_percent=TRAIN_PERCENT, seed=SPLIT_SEED):

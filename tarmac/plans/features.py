@@ -45,7 +45,7 @@ def read_features(spark, path, file_format="parquet"):
 
 
 def run_sampling(
-    spark, features, output, file_format="parquet", seed=None, by_content=False, files=None
+    spark, features, output, file_format="parquet", seed=None, by_content=True, files=None
 ):
     """Write a 20 % sample, drawn row by row or by content."""
     table = read_features(spark, features, file_format)

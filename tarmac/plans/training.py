@@ -17,7 +17,7 @@ from tarmac.operators.encoding import (
     spread,
 )
 from tarmac.operators.metrics import confusion_metrics, report_lines
-from tarmac.operators.sampling import hash_split, random_split
+from tarmac.operators.sampling import hash_split_weights, random_split
 from tarmac.plans.features import read_features
 from tarmac.sources.sinks import write_lines
 from tarmac.sources.stage import keep
@@ -46,8 +46,9 @@ def _logistic():
 
 def split_and_compact(features, by_content=True):
     """Train and Test rows in model form, written once so that both sets stay fixed."""
-    marked = hash_split(features) if by_content else random_split(features)
-    return keep(compact(marked, "set"), "training-rows")
+    if not by_content:
+        return keep(compact(random_split(features), "set"), "training-rows")
+    return keep(compact(hash_split_weights(features), "set", weight="weight"), "training-rows")
 
 
 def fit_encoders(train, model):

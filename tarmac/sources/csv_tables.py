@@ -8,9 +8,12 @@ _FORMAT = {"sep": ",", "quote": '"', "escape": '"'}
 def read_header_csv(spark, path, columns=None):
     """CSV with a header line, every column text; ``columns`` are picked by name.
 
-    Picking by name lets the parser skip the columns that are not used.
+    Picking by name lets the parser skip the columns that are not used. Names come from the first
+    file; a file with other names or another order fails the job.
     """
-    table = spark.read.options(**_FORMAT).csv(path, header=True, inferSchema=False)
+    table = spark.read.options(**_FORMAT).csv(
+        path, header=True, inferSchema=False, enforceSchema=False
+    )
     return table.select(*columns) if columns else table
 
 

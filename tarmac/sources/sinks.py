@@ -4,12 +4,13 @@
 def _placed(table, files, order):
     """``files`` merges the output into so many files, for small final results only.
 
-    With ``order`` the rows inside each file follow it; one file is then fully sorted.
+    With ``order`` the files, by name, and the rows inside each follow it.
     """
     if files is None:
         return table.orderBy(*order) if order else table
-    merged = table.repartition(files)
-    return merged.sortWithinPartitions(*order) if order else merged
+    if not order:
+        return table.repartition(files)
+    return table.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
 
 def write_csv(table, path, header=False, files=None, order=None):

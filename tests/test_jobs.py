@@ -53,7 +53,7 @@ def test_chain(spark, tmp_path, raw, many, airlines, airports, file_format):
     table = feature_plans.read_features(spark, f"{out}/features", file_format)
     assert rows(table) == rows(build_features(many, airlines, airports))
     main(["sample", f"{out}/features", f"{out}/sample", "--seed", "5", *options])
-    main(["sample", f"{out}/features", f"{out}/content", "--by-content", *options])
+    main(["sample", f"{out}/features", f"{out}/content", *options])
     for name in ("sample", "content"):
         sample = feature_plans.read_features(spark, f"{out}/{name}", file_format)
         assert set(rows(sample)) <= set(rows(table))

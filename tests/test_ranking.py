@@ -49,8 +49,14 @@ def test_no_single_partition_window_over_the_rows(spark):
     ranked = with_rank(_table(spark), [F.desc("v"), F.asc("name")])
     ranked.collect()
     text = plan(ranked)
-    window = text[text.index("Window"):].splitlines()[0]
-    assert "_range" in window
+    assert "_range" in [x for x in text.splitlines() if "Window" in x][0]
+    assert "row_number" not in text
+
+
+def test_null_groups_keep_their_rows(spark):
+    table = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "g string, v int")
+    ranked = with_rank(table, [F.desc("v")], within=["g"])
+    assert rows(ranked) == [(1, "a", 3), (1, "b", 4), (1, None, 2), (2, None, 1)]
 
 
 def test_empty_table(spark):

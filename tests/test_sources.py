@@ -152,3 +152,22 @@ def test_a_cluster_needs_a_shared_folder():
     assert stage.stage_root(_Session("yarn", "hdfs:/shared/x/")) == "hdfs:/shared/x"
     alone = _Session("local[2]")
     assert stage.stage_root(alone) == stage.stage_root(alone) == alone.folder
+
+
+def test_several_files_keep_one_order(spark, tmp_path):
+    path = str(tmp_path / "ordered")
+    numbers = spark.range(300).select(F.col("id").cast("string").alias("name"), "id")
+    sinks.write_csv(numbers.repartition(5), path, files=3, order=[F.desc("id")])
+    parts = sorted(p for p in (tmp_path / "ordered").iterdir() if p.name.startswith("part-"))
+    assert len(parts) == 3
+    found = [int(line.split(",")[1]) for p in parts for line in p.read_text().splitlines()]
+    assert found == list(range(299, -1, -1))
+
+
+def test_header_in_another_order_fails(spark, tmp_path):
+    folder = tmp_path / "headers"
+    folder.mkdir()
+    (folder / "a.csv").write_text("code,name\n1,x\n")
+    (folder / "b.csv").write_text("name,code\ny,2\n")
+    with pytest.raises(Exception):
+        csv_tables.read_header_csv(spark, str(folder)).collect()

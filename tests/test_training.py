@@ -276,3 +276,19 @@ def test_normalized_length(features):
         F.aggregate(vector_to_array("normalized_features"), F.lit(0.0), lambda a, x: a + x * x)
     )
     assert all(r[0] == pytest.approx(1.0) for r in lengths.collect())
+
+
+def test_equal_rows_are_shared_out(spark):
+    """A row that is repeated meets both sets and the sample by its share."""
+    one = ["a", "Night", 1, 1, 5.0, "s", "t", "o"]
+    columns = list(sampling.CONTENT_KEY)
+    table = spark.createDataFrame([(*one, 0.0), (*one, 1.0)], columns).withColumn(
+        "n", F.explode(F.sequence(F.lit(1), F.lit(10_003)))
+    ).drop("n")
+    counts = sampling.hash_split(table).groupBy("Delay", "set").count().collect()
+    found = {(r["Delay"], r["set"]): r["count"] for r in counts}
+    for label in (0.0, 1.0):
+        assert found[label, "Train"] in (7002, 7003)
+        assert found[label, "Train"] + found[label, "Test"] == 10_003
+    taken = sampling.hash_sample(table).groupBy("Delay").count().collect()
+    assert all(r["count"] in (2000, 2001) for r in taken)

@@ -87,16 +87,20 @@ class Logistic:
     """Logistic regression with an L2 penalty, by Newton steps; scales its inputs."""
 
     def fit(self, x, y, penalty=PENALTY, steps=12):
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0)
-        self.scale[self.scale < 1e-9] = 1
-        z = self._scaled(x)
-        ridge = np.eye(z.shape[1]) * penalty
+        self.mean = x.mean(axis=0, dtype=np.float64)
+        self.scale = np.sqrt(np.mean(np.square(x), axis=0, dtype=np.float64) - self.mean**2 + 1e-12)
+        self.scale[self.scale < 1e-4] = 1
+        size = x.shape[1] + 1
+        ridge = np.eye(size) * penalty
         ridge[-1, -1] = 1e-6
-        self.weights = np.zeros(z.shape[1])
+        self.weights = np.zeros(size)
         for _ in range(steps):
-            p = _sigmoid(z @ self.weights)
-            gradient = z.T @ (y - p) - ridge @ self.weights
-            curve = (z * (p * (1 - p) + 1e-6)[:, None]).T @ z + ridge
+            gradient, curve = -ridge @ self.weights, ridge.copy()
+            for at in range(0, len(x), 1024):
+                z = self._scaled(x[at : at + 1024])
+                p = _sigmoid(z @ self.weights)
+                gradient += z.T @ (y[at : at + 1024] - p)
+                curve += (z * (p * (1 - p) + 1e-6)[:, None]).T @ z
             move = np.linalg.solve(curve, gradient)
             self.weights += move
             if np.abs(move).max() < 1e-4:
@@ -108,7 +112,8 @@ class Logistic:
         return np.column_stack([z, np.ones(len(z))])
 
     def logit(self, x):
-        return self._scaled(x) @ self.weights
+        parts = [self._scaled(x[at : at + 1024]) @ self.weights for at in range(0, len(x), 1024)]
+        return np.concatenate([np.empty(0), *parts])
 
 
 def _sigmoid(x):
@@ -182,8 +187,10 @@ def _sampled(rows, most):
         _features, "label double, key long, content binary, metadata binary"
     ).toPandas()
     table = table.sort_values(["key", "content"], kind="stable")
+    if table.empty:
+        return [np.empty((0, 0), "<f4")] * 2, np.empty(0), np.empty(0, np.int64)
     unpacked = [
-        np.array([np.frombuffer(v, "<f4") for v in table[name]], dtype=np.float64)
+        np.frombuffer(b"".join(table.pop(name)), "<f4").reshape(len(table), -1)
         for name in ("content", "metadata")
     ]
     return unpacked, table["label"].to_numpy(dtype=float), table["key"].to_numpy(dtype=np.int64)

@@ -12,6 +12,7 @@ Decoding runs tokens through a UTF-8 state machine whose state is the unfinished
 """
 
 import base64
+import gc
 from collections.abc import Iterator
 from itertools import chain
 
@@ -282,8 +283,13 @@ def encode_column(spark, text, ranks, pattern):
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(shared.value[0], pattern, shared.value[1])
-        for texts in batches:
-            yield pd.Series([np.array(encoder.encode(t), "<u4").tobytes() for t in texts])
+        try:
+            for texts in batches:
+                yield pd.Series([np.array(encoder.encode(t), "<u4").tobytes() for t in texts])
+                # The tables are millions of objects that live on; spare the collector a walk.
+                gc.freeze()
+        finally:
+            gc.unfreeze()
 
     return encode(text)
 

@@ -23,7 +23,7 @@ SAMPLE = 16_384
 LIST_ROWS = 512
 MOST_LISTS = 4_096
 COPIES, COPY_RATIO = 2, 1.05
-RATIO = 1.2
+RATIO = 1.15
 DEGREE = 16
 EXPLORE = 32
 BLOCK_QUERIES = 1_024

@@ -118,6 +118,8 @@ class Transducer:
                 node = self.child.setdefault(node << 8 | byte, len(self.child) + 1)
             if self.merges.reachable(rank):
                 self.token_at[node] = rank
+        # A path inside the trie lives on only where the trie does.
+        self.inner = {key >> 8 for key in self.child}
         self.states = {}
         self.start = self._state(((None, 0, ()),))
 
@@ -136,11 +138,13 @@ class Transducer:
     def _move(self, state, byte):
         paths = []
         child, token_at, adjacent = self.child.get, self.token_at.get, self.merges.adjacent
+        inner = self.inner
         for last, node, out in state.paths:
             node = child(node << 8 | byte)
             if node is None:
                 continue
-            paths.append((last, node, out))
+            if node in inner:
+                paths.append((last, node, out))
             token = token_at(node)
             if token is not None and (last is None or adjacent(last, token)):
                 paths.append((token, 0, (*out, token)))

@@ -21,10 +21,12 @@ import pandas as pd
 import regex
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import free_name
+
 # Entries of the caches of a worker. A full cache starts anew; of pieces, the last used stay.
-PIECES = 200_000
-STATES = 300_000
-PAIRS = 300_000
+PIECES = 100_000
+STATES = 200_000
+PAIRS = 200_000
 _WHOLE = float("inf")
 
 
@@ -277,40 +279,75 @@ class Decoder:
 # Columns
 
 
-def encode_column(spark, text, ranks, pattern):
-    """Ids of each text as little-endian unsigned 32-bit integers in one binary value."""
+def _pack(ids):
+    """Ids as little-endian unsigned 32-bit integers in one binary value."""
+    return np.array(ids, "<u4").tobytes()
+
+
+def _share(spark, ranks):
+    """The vocabulary and the halves of its tokens, sent to every executor."""
     merges = Merges(ranks)
     for token in merges.tokens:
         merges.split(token)
-    shared = spark.sparkContext.broadcast((ranks, merges.halves))
+    return spark.sparkContext.broadcast((ranks, merges.halves))
+
+
+def _frozen(batches, convert):
+    """Convert each batch; the long-lived objects of the tables are kept from the collector."""
+    try:
+        for batch in batches:
+            yield convert(batch)
+            gc.freeze()
+    finally:
+        gc.unfreeze()
+
+
+def encode_column(spark, text, ranks, pattern):
+    """Ids of each text as little-endian unsigned 32-bit integers in one binary value."""
+    shared = _share(spark, ranks)
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(shared.value[0], pattern, shared.value[1])
-        try:
-            for texts in batches:
-                yield pd.Series([np.array(encoder.encode(t), "<u4").tobytes() for t in texts])
-                # The tables are millions of objects that live on; spare the collector a walk.
-                gc.freeze()
-        finally:
-            gc.unfreeze()
+        return _frozen(batches, lambda texts: pd.Series([_pack(encoder.encode(t)) for t in texts]))
 
     return encode(text)
 
 
 def decode_column(spark, ids, ranks):
-    """Text of each binary value of ids."""
+    """Text of each binary value of ids; null has no ids."""
     shared = spark.sparkContext.broadcast(ranks)
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decoder = Decoder(shared.value)
         for packed in batches:
-            yield pd.Series([decoder.decode(np.frombuffer(p, "<u4").tolist()) for p in packed])
+            yield pd.Series(
+                [decoder.decode(np.frombuffer(p or b"", "<u4").tolist()) for p in packed]
+            )
 
     return decode(ids)
 
 
+def round_trip_column(spark, text, ranks, pattern):
+    """Packed ids of each text and the text decoded from them, by one worker a task."""
+    shared = _share(spark, ranks)
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(shared.value[0], pattern, shared.value[1])
+        decoder = Decoder(shared.value[0])
+
+        def convert(texts):
+            packed = [_pack(encoder.encode(t)) for t in texts]
+            decoded = [decoder.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
+            return pd.DataFrame({"ids": packed, "decoded": decoded})
+
+        return _frozen(batches, convert)
+
+    return both(text)
+
+
 def encode_documents(docs, ranks, pattern, text="text", output="ids"):
     """All columns of every row, ``n_tokens`` and the binary ids in ``output``.
 
@@ -330,5 +367,6 @@ def round_trip(docs, ranks, pattern, key="doc_id", text="text"):
     Null and empty texts give no ids and an empty text.
     """
     spark = docs.sparkSession
-    rows = docs.select(key, encode_column(spark, F.col(text), ranks, pattern).alias("ids"))
-    return rows.withColumn("decoded", decode_column(spark, F.col("ids"), ranks))
+    done = free_name(docs, "done")
+    rows = docs.select(key, round_trip_column(spark, F.col(text), ranks, pattern).alias(done))
+    return rows.select(key, f"{done}.ids", f"{done}.decoded")

@@ -20,7 +20,7 @@ from tarmac.operators.metrics import confusion_metrics, report_lines
 from tarmac.operators.sampling import hash_split_weights, random_split
 from tarmac.plans.features import read_features
 from tarmac.sources.sinks import write_lines
-from tarmac.sources.stage import keep
+from tarmac.sources.stage import job, keep
 
 MODELS = ("tree", "logistic")
 
@@ -109,10 +109,14 @@ def tree_description(spark, fitted):
 
 
 def run_training(spark, features, output, model, file_format="parquet", by_content=True):
-    """Train, evaluate and write the report, for a tree also its rules."""
+    """Train, evaluate and write the report, for a tree also its rules.
+
+    The stages are deleted at the end, so a regression's training summary has no rows then.
+    """
     table = read_features(spark, features, file_format)
-    fitted, evaluation = train_and_evaluate(table, model, by_content)
-    write_lines(report_lines(evaluation), f"{output}/{model}/model-evaluation")
-    if model == "tree":
-        write_lines(tree_description(spark, fitted), f"{output}/{model}/tree-model")
+    with job(spark):
+        fitted, evaluation = train_and_evaluate(table, model, by_content)
+        write_lines(report_lines(evaluation), f"{output}/{model}/model-evaluation")
+        if model == "tree":
+            write_lines(tree_description(spark, fitted), f"{output}/{model}/tree-model")
     return fitted

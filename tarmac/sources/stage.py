@@ -7,9 +7,13 @@ sizes and column pruning, none of which a cache does.
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 
+# Session setting that names the folder of the running job's stages.
+_JOB = "tarmac.stage.job"
+
 
 def stage_root(spark):
     """The shared folder for stage tables, ``spark.checkpoint.dir``.
@@ -28,8 +32,29 @@ def stage_root(spark):
 
 
 def new_stage_path(spark, name):
-    """A fresh folder name below the stage root."""
-    return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name below the running job's folder, or else the stage root."""
+    root = spark.conf.get(_JOB, "") or stage_root(spark)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job(spark):
+    """Delete the stages made inside when the job ends, be it by an error.
+
+    What is to outlive the job must be written inside it. A job inside another one belongs to
+    the outer; jobs at the same time need sessions of their own.
+    """
+    if spark.conf.get(_JOB, ""):
+        yield
+        return
+    folder = f"{stage_root(spark)}/job-{uuid.uuid4().hex}"
+    spark.conf.set(_JOB, folder)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_JOB)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keep(table, name, compression="snappy"):

@@ -171,3 +171,24 @@ def test_header_in_another_order_fails(spark, tmp_path):
     (folder / "b.csv").write_text("name,code\ny,2\n")
     with pytest.raises(Exception):
         csv_tables.read_header_csv(spark, str(folder)).collect()
+
+
+def _stage_folders(spark):
+    return set(os.listdir(stage.stage_root(spark).removeprefix("file:")))
+
+
+def test_stages_of_a_job_are_deleted(spark, odd):
+    before = _stage_folders(spark)
+    with stage.job(spark):
+        first, second = stage.keep_all(first=odd, second=odd)
+        with stage.job(spark):
+            third = stage.keep(first, "third")
+        assert third.count() == second.count() == len(ODD)
+        assert len(_stage_folders(spark) - before) == 1
+    assert _stage_folders(spark) == before
+    with pytest.raises(RuntimeError), stage.job(spark):
+        stage.keep(odd, "lost")
+        raise RuntimeError
+    assert _stage_folders(spark) == before
+    stage.keep(odd, "after")
+    assert len(_stage_folders(spark) - before) == 1

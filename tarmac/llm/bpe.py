@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import free_name
 
 # Entries of the caches of a worker. A full cache starts anew; of pieces, the last used stay.
-PIECES = 100_000
-STATES = 200_000
-PAIRS = 200_000
+PIECES = 150_000
+STATES = 300_000
+PAIRS = 300_000
 _WHOLE = float("inf")
 
 

@@ -6,11 +6,11 @@ needs another table reads it from the data folder.
 
 import public_tokenizers
 
-from tarmac.llm import bpe, contamination, quality, secrets, simhash
+from tarmac.llm import bpe, contamination, quality, secrets, similar
 from tarmac.llm.common import table
 from tarmac.sources import stage
 
-DEDUP_SHINGLE, DEDUP_RADIUS = 5, 8
+SHINGLE, SIMILARITY = 5, 0.8
 
 
 def keep_good_quality(spark, docs, sf_dir):
@@ -21,10 +21,9 @@ def keep_good_quality(spark, docs, sf_dir):
 def keep_one_of_near_duplicates(spark, docs, sf_dir):
     """One document, of least doc_id, of each group of near-duplicates.
 
-    Fingerprints are of five-word shingles. Documents that share four fifths of their shingles
-    differ in about eight of 64 bits, unrelated ones in 32.
+    Near-duplicates share four fifths of their five-word shingles.
     """
-    return simhash.keep_one_of_each(docs, radius=DEDUP_RADIUS, size=DEDUP_SHINGLE)
+    return similar.keep_one_of_each(docs, similarity=SIMILARITY, size=SHINGLE)
 
 
 def drop_benchmark_passages(spark, docs, sf_dir):

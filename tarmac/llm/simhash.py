@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import ascii_lower, free_name, shuffle_partitions
+from tarmac.llm.common import ascii_lower, shuffle_partitions
 from tarmac.llm.components import component_roots
 from tarmac.sources import stage
 
@@ -118,7 +118,7 @@ def _pack(batches):
         )
 
 
-def _box_gap(low, high, other_low, other_high):
+def box_gap(low, high, other_low, other_high):
     """Least sum of count differences between any members of two boxes."""
     apart = np.maximum(low[:, None] - other_high[None], other_low[None] - high[:, None])
     return np.maximum(apart, 0).sum(axis=2)
@@ -130,7 +130,7 @@ def _boxes(prints):
     return np.minimum.reduceat(counts, starts), np.maximum.reduceat(counts, starts)
 
 
-class _Forest:
+class Forest:
     """Union-find over the distinct fingerprints of two tiles."""
 
     def __init__(self):
@@ -146,10 +146,13 @@ class _Forest:
         return top
 
     def link(self, a, b):
+        """Join two trees; whether they were two."""
         a, b = self.root(a), self.root(b)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-            self.parent.setdefault(min(a, b), min(a, b))
+        if a == b:
+            return False
+        self.parent[max(a, b)] = min(a, b)
+        self.parent.setdefault(min(a, b), min(a, b))
+        return True
 
     def edges(self):
         return [(a, self.root(a)) for a in self.parent if self.root(a) != a]
@@ -174,9 +177,9 @@ _TOP = np.iinfo(np.int64).max
 
 def near_links(left, right, radius=RADIUS):
     """A spanning forest of the links between two arrays of fingerprints."""
-    forest = _Forest()
+    forest = Forest()
     left_boxes, right_boxes = _boxes(left), _boxes(right)
-    for i, j in np.argwhere(_box_gap(*left_boxes, *right_boxes) <= radius).tolist():
+    for i, j in np.argwhere(box_gap(*left_boxes, *right_boxes) <= radius).tolist():
         a, b = left[i * SMALL : (i + 1) * SMALL], right[j * SMALL : (j + 1) * SMALL]
         near = np.bitwise_count((a[:, None] ^ b[None]).view(np.uint64)) <= radius
         links = np.argwhere(near)
@@ -267,15 +270,3 @@ def near_duplicates(docs, key="doc_id", text="text", radius=RADIUS, size=SHINGLE
 
 def fingerprint_text(fp):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
-
-
-def keep_one_of_each(docs, key="doc_id", text="text", radius=RADIUS, size=SHINGLE):
-    """The rows that are the smallest key of their component, with their columns.
-
-    Rows with a null key are kept, as no other row can stand for them. Of rows with equal keys,
-    all that have the kept key stay.
-    """
-    found = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, radius, size)
-    gone = free_name(docs, "gone")
-    repeated = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(gone))
-    return docs.join(repeated, docs[key] == repeated[gone], "left_anti")

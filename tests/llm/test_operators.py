@@ -28,6 +28,7 @@ from tarmac.llm import (
     quality,
     secrets,
     sharding,
+    similar,
     simhash,
     token_files,
 )
@@ -367,7 +368,7 @@ def test_near_links_lose_none():
     both = np.unique(np.concatenate([base, near, rng.integers(-(2**62), 2**62, 2000)]))
     counts = simhash.quarter_counts(both)
     both = both[np.lexsort(counts.T[::-1])]
-    forest = simhash._Forest()
+    forest = simhash.Forest()
     for a, b in simhash.near_links(both, both):
         forest.link(a, b)
     for i, a in enumerate(both.tolist()):
@@ -376,6 +377,53 @@ def test_near_links_lose_none():
             assert forest.root(a) == forest.root(b)
 
 
+def _shingles(text):
+    found = words(text)
+    return {b" ".join(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+
+def _edited(rng, text, share):
+    return " ".join("x%d" % rng.integers(1e9) if rng.random() < share else w for w in text)
+
+
+def test_similar_documents_against_brute_force(spark):
+    """Groups at all similarities, among them one of many near copies of one text."""
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{n}" for n in range(3000)]
+    texts = []
+    for n in range(60):
+        base = list(rng.choice(vocabulary, int(rng.integers(8, 400))))
+        texts += [_edited(rng, base, share) for share in (0, 0.01, 0.02, 0.05, 0.1, 0.2)]
+    base = list(rng.choice(vocabulary, 300))
+    texts += [_edited(rng, base, 0.006) for _ in range(700)] + ["", " ", "one two", "One  two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(docs).collect()}
+    sets = [_shingles(text) for text in texts]
+    root = list(range(len(texts)))
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            small, large = sorted((len(a), len(b)))
+            if 5 * small >= 4 * large and 5 * len(a & b) >= 4 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    wrong = [k for k in found if found[k] != find(k)]
+    assert len(found) == len(texts) and len(wrong) <= 2
+
+
+def test_sketches_estimate_similarity():
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 2**63, 1000).astype(np.uint64)
+    for common in (0, 500, 800, 1000):
+        one, two = pool[: (1000 + common) // 2], pool[(1000 - common) // 2 :]
+        pair = [np.frombuffer(similar.sketch(x), np.uint64)[None] for x in (one, two)]
+        assert abs(similar.estimates(*pair)[0] - common / 1000) < 0.11
+
+
 # 10
 
 
@@ -424,12 +472,13 @@ def test_odd_rows(spark, odd):
         lambda t: quality.quality_report(t, labels),
         lambda t: token_files.token_files(t, source),
         lambda t: simhash.near_duplicates(t),
+        lambda t: similar.similar_documents(t),
         lambda t: secrets.secret_report(t),
     )
     for run in runs:
         assert run(odd).count() == odd.count()
         assert run(odd.limit(0)).count() == 0
-    kept = {r["doc_id"] for r in simhash.keep_one_of_each(odd).collect()}
+    kept = {r["doc_id"] for r in similar.keep_one_of_each(odd).collect()}
     assert 5 in kept and 6 not in kept and None in kept
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.nearest_neighbours(empty, lambda key: key % 2 == 0).count() == 0
@@ -447,8 +496,10 @@ def test_pipeline(spark, documents, texts):
         assert secrets.scan(row["text"]) == []
         n, hit, _ = _slow_contamination(texts[row["doc_id"]], bench)
         assert not (hit and 20 * hit >= n)
-    kept = Counter(simhash.fingerprint(texts[k], 5) for k in keys)
-    assert max(kept.values()) == 1
+    shingles = [_shingles(texts[k]) for k in keys]
+    for i, a in enumerate(shingles):
+        for b in shingles[:i]:
+            assert not a or 5 * len(a & b) < 4 * len(a | b)
 
 
 def test_all_operators_are_registered():

@@ -13,7 +13,7 @@ each step.
 """
 
 import zlib
-from itertools import chain
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import shuffle_partitions
 from tarmac.sources import stage
 
-BLOCK_IDS = 1 << 21
+BLOCK_IDS = 1 << 20
 LANE_IDS = 256
 END_ID = 1
 _SHARE_BITS, _MIX_BITS = 16, 8
@@ -226,7 +226,7 @@ def decode_block(data):
 class WordTokens:
     """Ids of texts by a tokenizer for which white space ends every token.
 
-    The words of a batch are encoded once each.
+    The words of a batch are encoded once each, and kept as packed ids.
     """
 
     def __init__(self, tokenizer):
@@ -241,10 +241,13 @@ class WordTokens:
         if len(self.known) + len(new) > _KNOWN:
             self.known, new = {}, set().union(*split)
         new = list(new)
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[word] = found.ids
+        encode = self.tokenizer.encode_batch_fast
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            for word, found in zip(part, encode(part, add_special_tokens=False)):
+                self.known[word] = array("i", found.ids).tobytes()
         of = self.known.__getitem__
-        return [list(chain.from_iterable(map(of, words))) for words in split]
+        return [np.frombuffer(b"".join(map(of, words)), np.int32) for words in split]
 
 
 def _write_blocks(shared, end):
@@ -256,9 +259,8 @@ def _write_blocks(shared, end):
                 rows = batch[at : at + 256]
                 for key, ids in zip(rows["key"], tokens(rows["text"])):
                     keys.append(key)
-                    ids.append(end)
-                    held.append(np.array(ids, dtype=np.int32))
-                    size += len(ids)
+                    held.append(np.append(ids, np.int32(end)))
+                    size += len(held[-1])
                     if size >= BLOCK_IDS:
                         yield _block(part, made, keys, held)
                         made, keys, held, size = made + 1, [], [], 0

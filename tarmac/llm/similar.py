@@ -5,7 +5,7 @@ about ten bits apart, give or take three. So the tiled comparison takes a wide r
 what it finds is checked twice. Each distinct fingerprint carries a sketch of 256
 min-hashes of four bits, again compared by exclusive-or and bit counts. Far above the
 similarity asked for (four standard errors of the sketch) it decides alone, as far below; between,
-the sets of shingles themselves decide.
+the sets of shingles themselves decide, of every pair and not only of a tree of them.
 
 Tiles are cut by the number of different shingles: texts whose numbers differ by more than the
 similarity allows are in tile pairs that are skipped, as are those whose population counts differ
@@ -34,6 +34,8 @@ HASHES = 256
 MARGIN = 0.1
 TILES = 24
 TILE_ROWS = 1 << 17
+# Members of a component of possible links that are compared by their sets at a time.
+PART = 256
 _MULTIPLIERS = np.random.default_rng(42).integers(0, 1 << 31, HASHES).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 _NIBBLES = np.uint64(0x1111111111111111)
 
@@ -236,7 +238,7 @@ def _sets(size):
             for at in range(0, len(batch), 64):
                 part = batch[at : at + 64]
                 rows = [
-                    (fp, shingle_hashes(text, size).view(np.int64))
+                    (fp, shingle_hashes(text, size).tobytes())
                     for fp, text in zip(part["fp"], part["text"])
                     if fingerprint(text, size) == fp
                 ]
@@ -245,20 +247,101 @@ def _sets(size):
     return sets
 
 
-def checked_edges(edges, prints, docs, size=SHINGLE, percent=80):
-    """Edges (a, b) of the pairs whose sets of shingles have the similarity.
+def _share_enough(one, two, percent):
+    if 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
+        return False
+    both = np.sort(np.concatenate([one, two]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
 
-    ``prints`` names the least key of each fingerprint, ``docs`` has ``key`` and ``text``.
+
+def proven_links(left, right, percent, least):
+    """A spanning forest of the pairs of ``left`` and ``right`` whose sets have the similarity.
+
+    Both are (ids, sketches, sets). Every pair that the sketches do not rule out is decided by
+    its sets, unless proven links join it already.
     """
-    ends = edges.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    named = prints.join(ends, "fp").select("fp", F.col("least").alias("key"))
+    (a, a_sketches, a_sets), (b, b_sketches, b_sets) = left, right
+    forest, made = Forest(), []
+    for at in range(0, len(a), 32):
+        x, y = np.divmod(np.arange(len(a[at : at + 32]) * len(b)), len(b))
+        x += at
+        found = estimates(a_sketches[x], b_sketches[y])
+        keep = (found >= least) & (a[x] != b[y])
+        x, y, found = x[keep], y[keep], found[keep]
+        order = np.argsort(-found, kind="stable")
+        for i, j in zip(x[order].tolist(), y[order].tolist()):
+            pair = int(a[i]), int(b[j])
+            if forest.root(pair[0]) != forest.root(pair[1]):
+                if _share_enough(a_sets[i], b_sets[j], percent):
+                    forest.link(*pair)
+                    made.append(pair)
+    return made
+
+
+def _side(rows):
+    sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(len(rows), -1)
+    return rows["fp"].to_numpy(np.int64), sketches, [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
+
+
+def _prove(percent, least):
+    """Over rows sorted by cluster and pair of parts."""
+
+    def links(rows):
+        low, high = rows["low"].iloc[0], rows["high"].iloc[0]
+        left, right = (_side(rows[rows["part"] == part]) for part in (low, high))
+        return proven_links(left, right, percent, least) if len(left[0]) and len(right[0]) else []
+
+    def prove(batches):
+        kept = None
+        for batch in batches:
+            batch = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+            if batch.empty:
+                continue
+            group = batch[["cluster", "low", "high"]].to_numpy(np.int64)
+            starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)])
+            made = [link for s, e in zip(starts, starts[1:]) for link in links(batch[s:e])]
+            kept = batch[starts[-1] :]
+            yield pd.DataFrame(made, columns=["a", "b"], dtype="int64")
+        if kept is not None and len(kept):
+            yield pd.DataFrame(links(kept), columns=["a", "b"], dtype="int64")
+
+    return prove
+
+
+def checked_edges(edges, prints, docs, size=SHINGLE, percent=80, margin=MARGIN):
+    """Edges (a, b) that join all pairs whose sets of shingles have the similarity.
+
+    ``edges`` (a, b, sure) are trees of links that may hold. The pairs to decide are inside
+    its components; those with an unsure link are compared whole, in pairs of parts of
+    ``PART`` rows, and each pair that the sketches leave open is decided by its sets. A
+    refused link hides no other. ``prints`` names the least key of each fingerprint, ``docs`` has
+    ``key`` and ``text``.
+    """
+    roots = component_roots(edges.select("a", "b")).toDF("fp", "cluster")
+    members = roots.union(roots.select(F.col("cluster").alias("fp"), "cluster").distinct())
+    unsure = edges.where("NOT sure").select(F.col("a").alias("fp"))
+    undecided = members.join(unsure, "fp").select("cluster").distinct()
+    members = stage.keep(members.join(undecided, "cluster"), "similar-members")
+    parts = members.groupBy("cluster").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    named = members.join(prints, "fp").select("fp", F.col("least").alias("key"))
     texts = docs.join(named, "key").select("fp", "text")
-    sets = texts.mapInPandas(_sets(size), "fp long, hashes array<long>").dropDuplicates(["fp"])
-    sets = stage.keep(sets, "shingle-sets")
-    both = edges.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-    common = F.size(F.array_intersect("left", "right"))
-    union = F.size("left") + F.size("right") - common
-    return both.where(100 * common >= percent * union).select("a", "b")
+    sets = texts.mapInPandas(_sets(size), "fp long, hashes binary").dropDuplicates(["fp"])
+    part, other = F.col("part"), F.col("other")
+    rows = (
+        members.join(parts, "cluster")
+        .join(prints.select("fp", "sketch"), "fp")
+        .join(sets, "fp")
+        .withColumn("part", F.pmod(F.xxhash64("fp"), "parts").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select(
+            "cluster", F.least(part, other).alias("low"), F.greatest(part, other).alias("high"),
+            "part", "fp", "sketch", "hashes",
+        )
+    )
+    group = ["cluster", "low", "high"]
+    rows = rows.repartition(shuffle_partitions(edges.sparkSession), *group).sortWithinPartitions(*group)
+    return rows.mapInPandas(_prove(percent, percent / 100 - margin), "a long, b long")
 
 
 # Operators
@@ -287,8 +370,7 @@ def similar_documents(docs, key="doc_id", text="text", similarity=SIMILARITY, si
     )
     compared = prints.where("shingles > 0").select("fp", "shingles", "sketch")
     edges = stage.keep(similar_edges(compared, similarity=similarity), "similar-edges")
-    open_edges = edges.where("NOT sure").select("a", "b")
-    proven = checked_edges(open_edges, prints, docs, size, round(100 * similarity))
+    proven = checked_edges(edges, prints, docs, size, round(100 * similarity))
     roots = component_roots(edges.where("sure").select("a", "b").union(proven))
     rooted = prints.join(roots.toDF("fp", "root"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least"

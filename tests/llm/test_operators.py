@@ -415,6 +415,46 @@ def test_similar_documents_against_brute_force(spark):
     assert len(found) == len(texts) and len(wrong) <= 2
 
 
+def _components(sets):
+    """The smallest number reachable over sets at a similarity of 0.8, by brute force."""
+    root = list(range(len(sets)))
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            small, large = sorted((len(a), len(b)))
+            if 5 * small >= 4 * large and 5 * len(a & b) >= 4 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
+def _replaced(rng, text, places):
+    text = list(text)
+    for at in places:
+        text[at] = "x%d" % rng.integers(1e9)
+    return text
+
+
+def test_refused_links_hide_no_similar_pair(spark):
+    """Families at 0.72 to 0.78 whose members have a copy at 0.85."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for n in range(40):
+        base = [f"w{k}" for k in rng.integers(0, 10**6, 300)]
+        for member in range(8):
+            one = _replaced(rng, base, rng.choice(60, 4 + n % 2, replace=False) * 5)
+            texts += [one, _replaced(rng, one, rng.choice(60, 4, replace=False) * 5)]
+    texts = [" ".join(text) for text in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(docs).collect()}
+    expected = _components([_shingles(text) for text in texts])
+    assert len(set(expected)) > 40
+    assert found == dict(enumerate(expected))
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(6)
     pool = rng.integers(0, 2**63, 1000).astype(np.uint64)

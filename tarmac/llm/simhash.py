@@ -36,7 +36,7 @@ _LANES = np.uint64(0x0101010101010101)
 # Fingerprints
 
 
-def _bit_counts(hashes):
+def bit_counts(hashes):
     """How many of the hashes have each of the 64 bits set."""
     counts = np.zeros(64, dtype=np.int64)
     rows = -(-len(hashes) // 255)
@@ -68,7 +68,7 @@ def fingerprint(text, size=SHINGLE):
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, total, _CHUNK):
         pairs = zip(starts[at : at + _CHUNK], ends[at : at + _CHUNK])
-        counts += _bit_counts(np.array([digest(joined[s:e], SEED) for s, e in pairs], np.uint64))
+        counts += bit_counts(np.array([digest(joined[s:e], SEED) for s, e in pairs], np.uint64))
     bits = np.packbits((2 * counts > total).astype(np.uint8), bitorder="little")
     return int(bits.view("<i8")[0])
 

@@ -2,8 +2,9 @@
 
 A 64-bit SimHash alone cannot tell a similarity of 0.8 from one of 0.7: texts at 0.8 are
 about ten bits apart, give or take three. So the tiled comparison takes a wide radius, and
-what it finds is checked twice. Each distinct fingerprint carries a sketch of 256
-min-hashes of four bits, again compared by exclusive-or and bit counts. Far above the
+what it finds is checked twice. Fingerprints here are of the different shingles, as the similarity
+is. Rows are merged first only if their sets of shingles are equal, by a 64-bit hash of the set. Each
+distinct set carries its fingerprint and a sketch of 256 min-hashes of four bits, again compared by exclusive-or and bit counts. Far above the
 similarity asked for (four standard errors of the sketch) it decides alone, as far below; between,
 the sets of shingles themselves decide, of every pair and not only of a tree of them.
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.common import ascii_lower, free_name, shuffle_partitions
 from tarmac.llm.components import component_roots
-from tarmac.llm.simhash import SEED, SMALL, Forest, box_gap, fingerprint, quarter_counts
+from tarmac.llm.simhash import SEED, SMALL, Forest, bit_counts, box_gap, quarter_counts
 from tarmac.sources import stage
 
 SHINGLE = 5
@@ -50,6 +51,17 @@ def shingle_hashes(text, size=SHINGLE):
     return np.unique(np.fromiter(hashes, np.uint64, len(found)))
 
 
+def set_hash(hashes):
+    """Signed 64-bit hash of a set of shingle hashes, given in order."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).astype(np.int64))
+
+
+def set_fingerprint(hashes):
+    """Signed 64-bit SimHash of a set of shingle hashes; without any, zero."""
+    bits = np.packbits((2 * bit_counts(hashes) > len(hashes)).astype(np.uint8), bitorder="little")
+    return int(bits.view("<i8")[0])
+
+
 def sketch(hashes):
     """Four bits of each of 256 min-hashes, two in a byte."""
     least = np.full(HASHES, np.iinfo(np.uint32).max, np.uint32)
@@ -75,8 +87,8 @@ def _prints(size):
             rows = []
             for text in batch["text"]:
                 hashes = shingle_hashes(text, size)
-                rows.append((fingerprint(text, size), len(hashes), sketch(hashes)))
-            made = pd.DataFrame(rows, columns=["fp", "shingles", "sketch"])
+                rows.append((set_hash(hashes), set_fingerprint(hashes), len(hashes), sketch(hashes)))
+            made = pd.DataFrame(rows, columns=["id", "fp", "shingles", "sketch"])
             made.insert(0, "key", batch["key"].to_numpy())
             yield made
 
@@ -91,7 +103,7 @@ def _measures(prints, shingles):
 
 
 def _pack(batches):
-    """One row for each partition: its fingerprints and sketches, and the box of their measures."""
+    """One row for each partition: its sets' hashes, fingerprints and sketches, and the box of their measures."""
     batches = list(batches)
     if not batches or not sum(map(len, batches)):
         return
@@ -104,6 +116,7 @@ def _pack(batches):
             "tile": [TaskContext.get().partitionId()],
             "low": [measures.min(axis=0).tolist()],
             "high": [measures.max(axis=0).tolist()],
+            "ids": [rows["id"].to_numpy(np.int64)[order].tobytes()],
             "prints": [prints[order].tobytes()],
             "shingles": [shingles[order].tobytes()],
             "sketches": [b"".join(rows["sketch"].iloc[order])],
@@ -119,12 +132,12 @@ def _possible(low, high, other_low, other_high, radius, similarity):
     return near & ~fewer & ~more
 
 
-def _unpack(prints, shingles, sketches):
-    prints = np.frombuffer(prints, np.int64)
+def _unpack(ids, prints, shingles, sketches):
+    ids, prints = np.frombuffer(ids, np.int64), np.frombuffer(prints, np.int64)
     measures = _measures(prints, np.frombuffer(shingles, np.int32))
     starts = np.arange(0, len(prints), SMALL)
     boxes = np.minimum.reduceat(measures, starts), np.maximum.reduceat(measures, starts)
-    return prints, np.frombuffer(sketches, np.uint64).reshape(len(prints), -1), boxes
+    return ids, prints, np.frombuffer(sketches, np.uint64).reshape(len(prints), -1), boxes
 
 
 def _tree_links(forest, a, b, x, y, weight):
@@ -145,19 +158,20 @@ def _tree_links(forest, a, b, x, y, weight):
     return made
 
 
-def _roots(forest, prints):
-    return np.array([forest.root(p) for p in prints.tolist()], np.int64)
+def _roots(forest, ids):
+    return np.array([forest.root(i) for i in ids.tolist()], np.int64)
 
 
 def similar_links(left, right, radius=RADIUS, similarity=SIMILARITY, margin=MARGIN):
     """(a, b, sure) for two unpacked tiles: trees of links that are sure, and of those to check."""
-    (left, left_sketches, left_boxes), (right, right_sketches, right_boxes) = left, right
+    left_ids, left, left_sketches, left_boxes = left
+    right_ids, right, right_sketches, right_boxes = right
     sure, likely, made = Forest(), Forest(), []
     possible = _possible(*left_boxes, *right_boxes, radius, similarity)
     for i, j in np.argwhere(possible).tolist():
         one, two = slice(i * SMALL, (i + 1) * SMALL), slice(j * SMALL, (j + 1) * SMALL)
-        a, b = left[one], right[two]
-        near = np.bitwise_count((a[:, None] ^ b[None]).view(np.uint64)) <= radius
+        a, b = left_ids[one], right_ids[two]
+        near = np.bitwise_count((left[one][:, None] ^ right[two][None]).view(np.uint64)) <= radius
         x, y = np.divmod(np.flatnonzero(near), len(b))
         if len(x) > 4 * SMALL:
             apart = _roots(sure, a)[x] != _roots(sure, b)[y]
@@ -183,7 +197,7 @@ def similar_links(left, right, radius=RADIUS, similarity=SIMILARITY, margin=MARG
 
 def _compare(radius, similarity):
     def compare(batches):
-        names = ("prints", "shingles", "sketches")
+        names = ("ids", "prints", "shingles", "sketches")
         for batch in batches:
             for row in batch.to_dict("records"):
                 left, right = (_unpack(*(row[n + side] for n in names)) for side in ("", "2"))
@@ -195,18 +209,19 @@ def _compare(radius, similarity):
 
 
 def similar_edges(prints, radius=RADIUS, similarity=SIMILARITY):
-    """(a, b, sure) over distinct fingerprints with ``fp``, ``shingles`` and ``sketch``.
+    """(a, b, sure) over distinct sets with ``id``, ``fp``, ``shingles`` and ``sketch``.
 
     The number of tiles is ``TILES`` until they would exceed ``TILE_ROWS``. The comparison grows
-    with the square of the distinct fingerprints, divided by what sizes and counts skip.
+    with the square of the distinct sets, divided by what sizes and counts skip.
     """
     spark = prints.sparkSession
     total = prints.count()
     tiles = max(1, min(TILES, total // SMALL), -(-total // TILE_ROWS))
     packed = stage.keep(
-        prints.repartitionByRange(tiles, "shingles", "fp").mapInPandas(
+        prints.repartitionByRange(tiles, "shingles", "fp", "id").mapInPandas(
             _pack,
-            "tile int, low array<int>, high array<int>, prints binary, shingles binary, sketches binary",
+            "tile int, low array<int>, high array<int>, ids binary, prints binary, shingles binary, "
+            "sketches binary",
         ),
         "similar-tiles",
     )
@@ -237,12 +252,9 @@ def _sets(size):
         for batch in batches:
             for at in range(0, len(batch), 64):
                 part = batch[at : at + 64]
-                rows = [
-                    (fp, shingle_hashes(text, size).tobytes())
-                    for fp, text in zip(part["fp"], part["text"])
-                    if fingerprint(text, size) == fp
-                ]
-                yield pd.DataFrame(rows, columns=["fp", "hashes"]).astype({"fp": "int64"})
+                made = [shingle_hashes(text, size) for text in part["text"]]
+                rows = [(i, h.tobytes()) for i, h in zip(part["id"], made) if set_hash(h) == i]
+                yield pd.DataFrame(rows, columns=["id", "hashes"]).astype({"id": "int64"})
 
     return sets
 
@@ -281,7 +293,7 @@ def proven_links(left, right, percent, least):
 
 def _side(rows):
     sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(len(rows), -1)
-    return rows["fp"].to_numpy(np.int64), sketches, [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
+    return rows["id"].to_numpy(np.int64), sketches, [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
 
 
 def _prove(percent, least):
@@ -315,28 +327,28 @@ def checked_edges(edges, prints, docs, size=SHINGLE, percent=80, margin=MARGIN):
     ``edges`` (a, b, sure) are trees of links that may hold. The pairs to decide are inside
     its components; those with an unsure link are compared whole, in pairs of parts of
     ``PART`` rows, and each pair that the sketches leave open is decided by its sets. A
-    refused link hides no other. ``prints`` names the least key of each fingerprint, ``docs`` has
+    refused link hides no other. ``prints`` names the least key of each set, ``docs`` has
     ``key`` and ``text``.
     """
-    roots = component_roots(edges.select("a", "b")).toDF("fp", "cluster")
-    members = roots.union(roots.select(F.col("cluster").alias("fp"), "cluster").distinct())
-    unsure = edges.where("NOT sure").select(F.col("a").alias("fp"))
-    undecided = members.join(unsure, "fp").select("cluster").distinct()
+    roots = component_roots(edges.select("a", "b")).toDF("id", "cluster")
+    members = roots.union(roots.select(F.col("cluster").alias("id"), "cluster").distinct())
+    unsure = edges.where("NOT sure").select(F.col("a").alias("id"))
+    undecided = members.join(unsure, "id").select("cluster").distinct()
     members = stage.keep(members.join(undecided, "cluster"), "similar-members")
     parts = members.groupBy("cluster").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    named = members.join(prints, "fp").select("fp", F.col("least").alias("key"))
-    texts = docs.join(named, "key").select("fp", "text")
-    sets = texts.mapInPandas(_sets(size), "fp long, hashes binary").dropDuplicates(["fp"])
+    named = members.join(prints, "id").select("id", F.col("least").alias("key"))
+    texts = docs.join(named, "key").select("id", "text")
+    sets = texts.mapInPandas(_sets(size), "id long, hashes binary").dropDuplicates(["id"])
     part, other = F.col("part"), F.col("other")
     rows = (
         members.join(parts, "cluster")
-        .join(prints.select("fp", "sketch"), "fp")
-        .join(sets, "fp")
-        .withColumn("part", F.pmod(F.xxhash64("fp"), "parts").cast("int"))
+        .join(prints.select("id", "sketch"), "id")
+        .join(sets, "id")
+        .withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
             "cluster", F.least(part, other).alias("low"), F.greatest(part, other).alias("high"),
-            "part", "fp", "sketch", "hashes",
+            "part", "id", "sketch", "hashes",
         )
     )
     group = ["cluster", "low", "high"]
@@ -359,25 +371,25 @@ def similar_documents(docs, key="doc_id", text="text", similarity=SIMILARITY, si
     """
     kind = docs.schema[key].dataType.simpleString()
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    made = docs.mapInPandas(_prints(size), f"key {kind}, fp long, shingles int, sketch binary")
+    made = docs.mapInPandas(_prints(size), f"key {kind}, id long, fp long, shingles int, sketch binary")
     rows = stage.keep(made, "similar-prints")
     prints = stage.keep(
-        rows.groupBy("fp").agg(
-            F.min("key").alias("least"), F.min_by("shingles", "key").alias("shingles"),
-            F.min_by("sketch", "key").alias("sketch"),
+        rows.groupBy("id").agg(
+            F.min("key").alias("least"), F.first("fp").alias("fp"),
+            F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch"),
         ),
         "similar-distinct",
     )
-    compared = prints.where("shingles > 0").select("fp", "shingles", "sketch")
+    compared = prints.where("shingles > 0").select("id", "fp", "shingles", "sketch")
     edges = stage.keep(similar_edges(compared, similarity=similarity), "similar-edges")
     proven = checked_edges(edges, prints, docs, size, round(100 * similarity))
     roots = component_roots(edges.where("sure").select("a", "b").union(proven))
-    rooted = prints.join(roots.toDF("fp", "root"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least"
+    rooted = prints.join(roots.toDF("id", "root"), "id", "left").select(
+        "id", F.coalesce("root", "id").alias("root"), "least"
     )
     components = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(components, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("key").alias(key), "component_id")
+    named = rooted.join(components, "root").select("id", "component_id")
+    return rows.join(named, "id").select(F.col("key").alias(key), "component_id")
 
 
 def keep_one_of_each(docs, key="doc_id", text="text", similarity=SIMILARITY, size=SHINGLE):

@@ -455,6 +455,21 @@ def test_refused_links_hide_no_similar_pair(spark):
     assert found == dict(enumerate(expected))
 
 
+def test_repeated_passages_do_not_decide(spark):
+    """Equal lines repeated often make no copies, and one passage repeated or not no other text."""
+    texts = []
+    for n in range(10):
+        line = " ".join(f"l{n}a{k}" for k in range(51))
+        texts += [" ".join([line] * 60 + [f"o{n}b{c}c{k}" for k in range(100)]) for c in (0, 1)]
+        common = " ".join(f"c{n}a{k}" for k in range(400))
+        passage = " ".join(f"p{n}a{k}" for k in range(20))
+        texts += [f"{common} {passage}", " ".join([common] + [passage] * 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(docs).collect()}
+    assert found == {k: k - (k % 4 == 3) for k in range(len(texts))}
+    assert found == dict(enumerate(_components([_shingles(text) for text in texts])))
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(6)
     pool = rng.integers(0, 2**63, 1000).astype(np.uint64)

@@ -2,15 +2,15 @@
 
 A document is a worklist of layers. The first is the text. Each layer is scanned by the patterns and
 unwrapped once by every decoder: percent-encoding and Unicode escapes give the whole layer with
-the escapes resolved, so what stands around them stays in view; a base64 run gives a layer of its
-own, inflated first if it holds compressed data. Layers seen before are not taken up
+the escapes resolved, so what stands around them stays in view; a base64 run, of either alphabet
+and over line breaks, gives layers of its own at each of its four offsets, and one for each stretch
+of compressed data in them, inflated. Bytes that are no UTF-8 become replacement characters. Layers seen before are not taken up
 again, which ends cycles; as no decoder makes a layer longer but inflation, the list runs empty.
 Every layer carries, for each of its characters, the range of characters of the text it came from,
 and findings are reported as such ranges.
 """
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
@@ -47,8 +47,14 @@ _BASE64_LEAST = 16
 _ESCAPED = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 _UNICODE_UNIT = re.compile(r"\\(?:u(.{4})|U(.{8})|x(.{2}))")
-_BASE64 = re.compile(
-    rf"[A-Za-z0-9+/]{{{_BASE64_LEAST},}}={{0,2}}|[A-Za-z0-9_-]{{{_BASE64_LEAST},}}={{0,2}}"
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]+(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)*")
+_ESCAPES = re.compile("[\udc80-\udcff]")
+_BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_WRAP = re.compile(rb"[ \t]*\r?\n[ \t]*")
+_URL_SAFE = bytes.maketrans(b"-_", b"+/")
+# Beginnings of gzip, bzip2, xz, zstd and zlib data.
+_PACKED = re.compile(
+    rb"\x1f\x8b\x08|BZh[1-9](?=1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda\x20\x3f\x7d\xbb\xf9]"
 )
 
 # Characters that inflated layers of one document may have together; what a bomb has
@@ -117,18 +123,19 @@ class _Layer:
         return _Layer(text, self.starts[start + ranges[:, 0]], self.ends[start + ranges[:, 1] - 1])
 
 
-def _byte_ranges(text, ranges):
-    """Ranges of characters from the ranges of their UTF-8 bytes."""
-    widths = np.fromiter((len(c.encode()) for c in text), dtype=np.int64, count=len(text))
-    ends = np.cumsum(widths)
-    return np.stack([ranges[ends - widths, 0], ranges[ends - 1, 1]], axis=1)
+def _decoded(data, ranges):
+    """Text of bytes, and ranges of its characters from those of its bytes.
 
-
-def _utf8(data):
-    try:
-        return data.decode()
-    except UnicodeDecodeError:
-        return None
+    Each byte that is no UTF-8 becomes a replacement character.
+    """
+    text = data.decode("utf-8", "surrogateescape")
+    if len(text) < len(data):
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        lone = (codes >= 0xDC80) & (codes <= 0xDCFF)
+        widths = 1 + (~lone & (codes >= 0x80)) + (~lone & (codes >= 0x800)) + (codes >= 0x10000)
+        ends = np.cumsum(widths)
+        ranges = np.stack([ranges[ends - widths, 0], ranges[ends - 1, 1]], axis=1)
+    return _ESCAPES.sub("\ufffd", text), ranges
 
 
 def _unescape_percent(layer, _):
@@ -139,9 +146,7 @@ def _unescape_percent(layer, _):
         data = bytes.fromhex(match[0].replace("%", ""))
         at = np.arange(len(data))
         ranges = np.stack([3 * at, 3 * at + 3], axis=1)
-        text = _utf8(data)
-        if text is not None:
-            pieces.append((match.start(), match.end(), text, _byte_ranges(text, ranges)))
+        pieces.append((match.start(), match.end(), *_decoded(data, ranges)))
     if pieces:
         yield layer.replaced(pieces)
 
@@ -193,31 +198,57 @@ def _inflate(data, most):
         return None
 
 
+def _runs(text):
+    """(characters, their places) of each base64 run, whole and line by line."""
+    for match in _BASE64.finditer(text):
+        if match.end() - match.start() < _BASE64_LEAST:
+            continue
+        lines = [line.span() for line in _BASE64_LINE.finditer(text, *match.span())]
+        whole = "".join(text[s:e] for s, e in lines)
+        if len(whole) >= _BASE64_LEAST:
+            yield whole, np.concatenate([np.arange(s, e) for s, e in lines])
+        if len(lines) > 1:
+            for s, e in lines:
+                if e - s >= _BASE64_LEAST:
+                    yield text[s:e], np.arange(s, e)
+
+
+def _promising(text):
+    return bool(scan(text)) or _may_unwrap(text)
+
+
 def _unwrap_base64(layer, budget):
-    data = layer.text.encode("utf-8", "surrogatepass").translate(_BASE64_BYTES)
-    if b"x" * _BASE64_LEAST not in data:
+    if not _has_base64(layer.text):
         return
-    for match in _BASE64.finditer(layer.text):
-        body = match[0].rstrip("=")
-        body = body[: len(body) - (len(body) % 4 == 1)]
-        standard = body.replace("-", "+").replace("_", "/")
-        try:
-            raw = base64.b64decode(standard + "=" * (-len(standard) % 4))
-        except binascii.Error:
-            continue
-        at = np.arange(len(raw))
-        ranges = np.stack([at * 8 // 6, (at * 8 + 7) // 6 + 1], axis=1)
-        inflated = _inflate(raw, budget[0])
-        while inflated is not None:
-            budget[0] -= len(inflated)
-            if budget[0] < 0:
-                inflated = inflated[: budget[0]]
-                budget[:] = [0, True]
-            raw, ranges = inflated, np.tile([[0, len(match[0])]], (len(inflated), 1))
-            inflated = _inflate(raw, budget[0])
-        text = _utf8(raw)
-        if text and "".join(text.split()).isprintable():
-            yield layer.inner(match.start(), text, _byte_ranges(text, ranges))
+    for run, places in _runs(layer.text):
+        standard = run.encode().translate(_URL_SAFE)
+        for offset in range(4):
+            body = standard[offset:]
+            body = body[: len(body) - (len(body) % 4 == 1)]
+            raw = base64.b64decode(body + b"=" * (-len(body) % 4))
+            at = np.arange(len(raw))
+            ranges = np.stack([places[offset + at * 8 // 6], places[offset + (at * 8 + 7) // 6] + 1], axis=1)
+            text, ranges = _decoded(raw, ranges)
+            if text and (not offset and "".join(text.split()).isprintable() or _promising(text)):
+                yield layer.inner(0, text, ranges)
+            for start in _packed_starts(raw):
+                inflated = _inflate(raw[start:], budget[0])
+                while inflated is not None:
+                    budget[0] -= len(inflated)
+                    if budget[0] < 0:
+                        inflated = inflated[: budget[0]]
+                        budget[:] = [0, True]
+                    held, inflated = inflated, _inflate(inflated, budget[0])
+                    if held and inflated is None:
+                        first = int(places[offset + start * 8 // 6])
+                        ranges = np.tile([[first, int(places[-1]) + 1]], (len(held), 1))
+                        yield layer.inner(0, *_decoded(held, ranges))
+
+
+def _packed_starts(data):
+    """Where compressed data may begin: at the first byte in any form, at others by its magic."""
+    found = [match.start() for match in _PACKED.finditer(data)]
+    return found if found[:1] == [0] else [0, *found]
 
 
 _DECODERS = (_unescape_percent, _unescape_unicode, _unwrap_base64)
@@ -249,8 +280,15 @@ def _may_unwrap(text):
     """Whether any decoder could find something; spares plain texts their maps."""
     if "%" in text and _ESCAPED.search(text) or "\\" in text and _UNICODE.search(text):
         return True
-    data = text.encode("utf-8", "surrogatepass").translate(_BASE64_BYTES)
-    return b"x" * _BASE64_LEAST in data
+    return _has_base64(text)
+
+
+def _has_base64(text):
+    """Whether there is a run of enough characters, line breaks and indents left out."""
+    data = text.encode("utf-8", "surrogatepass")
+    if b"\n" in data:
+        data = _WRAP.sub(b"", data)
+    return b"x" * _BASE64_LEAST in data.translate(_BASE64_BYTES)
 
 
 def _joined(spans):

@@ -503,6 +503,36 @@ def test_secrets_in_layers():
     ]
 
 
+def _found(text):
+    return secrets.find_secrets(text)[1]
+
+
+def test_secrets_in_all_base64_forms():
+    secret = b"password=hunter2hunter2"
+    rng = random.Random(4)
+    noise = bytes(rng.randrange(256) for _ in range(300))
+    packed = zlib.compress(noise + b" " + secret + b" " + noise)
+    safe = base64.urlsafe_b64encode(packed).decode()
+    assert any(c in safe[16:] for c in "-_")
+    wrapped = base64.encodebytes(packed).decode()
+    plain = base64.encodebytes(b"x" * 50 + b" " + secret + b" ok").decode()
+    once = base64.b64encode(b"say " + secret + b" ").decode()
+    forms = [
+        safe, wrapped, wrapped.replace("\n", "\r\n  "), plain, f"/path/{once}", f"secret_{once}",
+        f"ab{once}", f"/path/to-{base64.b64encode(packed).decode()}",
+        base64.b64encode(b"\xff " + secret).decode(), base64.b64encode(b"\0 " + secret).decode(),
+        base64.b64encode("\ufeff\u200d ".encode() + secret).decode(),
+        "".join(f"%{b:02x}" for b in b"\xe9 " + secret),
+    ]
+    for body in forms:
+        text = f"é see <{body}> end"
+        spans = _found(text)
+        assert spans and all(k == 0 and 7 <= s < e <= len(text) - 5 for s, k, e in spans), body
+    once = base64.b64encode(b"\xff\xc3\xa9 " + secret + b" \xff").decode()
+    (start, _, end), = _found(f"<{once}>")
+    assert (start, end) == (1 + 4 * 8 // 6, 1 + (27 * 8 + 5) // 6)
+
+
 def test_secret_cycles_end():
     text = "%2525" * 50 + base64.b64encode(b"A" * 64).decode()
     assert secrets.find_secrets(text)[1] == []

@@ -4,7 +4,8 @@ A document is a worklist of layers. The first is the text. Each layer is scanned
 unwrapped once by every decoder: percent-encoding and Unicode escapes give the whole layer with
 the escapes resolved, so what stands around them stays in view; a base64 run, of either alphabet
 and over line breaks, gives layers of its own at each of its four offsets, and one for each stretch
-of compressed data in them, inflated. Bytes that are no UTF-8 become replacement characters. Layers seen before are not taken up
+of compressed data in them, inflated. Bytes that are no UTF-8 become replacement characters. Inflated
+data is a stream of any length, scanned in windows. Layers seen before are not taken up
 again, which ends cycles; as no decoder makes a layer longer but inflation, the list runs empty.
 Every layer carries, for each of its characters, the range of characters of the text it came from,
 and findings are reported as such ranges.
@@ -12,11 +13,13 @@ and findings are reported as such ranges.
 
 import base64
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
+from functools import partial
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -57,9 +60,19 @@ _PACKED = re.compile(
     rb"\x1f\x8b\x08|BZh[1-9](?=1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda\x20\x3f\x7d\xbb\xf9]"
 )
 
-# Characters that inflated layers of one document may have together; what a bomb has
-# beyond is not scanned and sets ``incomplete``.
-INFLATED = 4 * 1024 * 1024
+# Inflated data is scanned to its end in windows of about so many bytes. A window ends outside
+# encoded runs and grows for it up to ``WINDOW_MOST``; a longer run is cut there, which sets
+# ``incomplete``, as do more than ``NESTED`` formats inside one another.
+WINDOW = 1024 * 1024
+WINDOW_MOST = 16 * WINDOW
+NESTED = 64
+# What the next window repeats: more than the shortest form of any match, with ``_SPACES`` spaces.
+_OVERLAP = 512
+_SPACES = 64
+_CHUNK = 64 * 1024
+# ASCII characters that end every encoded run.
+_SAFE_CUT = re.compile(rb"[^A-Za-z0-9+/_=%\\\s\x80-\xff-]|(?<=[^\s])[ \t]+(?=[^\s])|\n[ \t\r]*\n")
+_MANY_SPACES = re.compile(rb" {%d,}" % (_SPACES + 1))
 
 RESULT = (
     T.StructType()
@@ -101,6 +114,12 @@ class _Layer:
     def first(cls, text):
         return cls(text, np.arange(len(text)), np.arange(1, len(text) + 1))
 
+    @classmethod
+    def of(cls, text, start, end):
+        """A layer whose characters all come from one range."""
+        size = len(text)
+        return cls(text, np.broadcast_to(np.int64(start), size), np.broadcast_to(np.int64(end), size))
+
     def spans(self):
         for start, kind, end in scan(self.text):
             yield int(self.starts[start]), kind, int(self.ends[start:end].max())
@@ -124,12 +143,12 @@ class _Layer:
 
 
 def _decoded(data, ranges):
-    """Text of bytes, and ranges of its characters from those of its bytes.
+    """Text of bytes, and ranges of its characters from those of its bytes, if given.
 
     Each byte that is no UTF-8 becomes a replacement character.
     """
     text = data.decode("utf-8", "surrogateescape")
-    if len(text) < len(data):
+    if len(text) < len(data) and ranges is not None:
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         lone = (codes >= 0xDC80) & (codes <= 0xDCFF)
         widths = 1 + (~lone & (codes >= 0x80)) + (~lone & (codes >= 0x800)) + (codes >= 0x10000)
@@ -174,28 +193,133 @@ def _unescape_unicode(layer, _):
         yield layer.replaced(pieces)
 
 
-def _inflate(data, most):
-    """Decompressed bytes, None if the data is in no known format; at most ``most`` and one more."""
-    if data[:2] == b"\x1f\x8b":
-        unpack = zlib.decompressobj(31)
-    elif len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-        unpack = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        unpack = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\0":
-        unpack = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        try:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                return reader.read(most + 1)
-        except zstandard.ZstdError:
-            return None
+def _decompressor(head):
+    """A decompressor for data that begins so, or None."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if len(head) > 2 and head[0] & 15 == 8 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor()
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    return None
+
+
+def _pieces(unpack, data):
+    """What a decompressor makes of some data, piece by piece, and None with what it left."""
+    if isinstance(unpack, (bz2.BZ2Decompressor, lzma.LZMADecompressor)):
+        yield unpack.decompress(data, _CHUNK), b""
+        while not unpack.eof and not unpack.needs_input:
+            yield unpack.decompress(b"", _CHUNK), b""
+        yield None, unpack.unused_data
+    elif hasattr(unpack, "copy"):
+        while (piece := unpack.decompress(data, _CHUNK)) or (unpack.unconsumed_tail and not unpack.eof):
+            data = unpack.unconsumed_tail
+            yield piece, b""
+            if unpack.eof:
+                break
+        yield None, unpack.unused_data
     else:
-        return None
+        # Has no limit of its own: a few bytes at a time.
+        at = 0
+        while at < len(data) and not unpack.eof:
+            piece = unpack.decompress(data[at : at + 64])
+            at += 64
+            yield piece, b""
+        yield None, unpack.unused_data + data[at:]
+
+
+def _unpacked(chunks, left):
+    """Decompressed pieces of all members that stand one after another in the chunks.
+
+    ``left`` becomes the number of bytes behind them, unless damaged data ends them.
+    """
+    head = next(chunks, b"")
     try:
-        return unpack.decompress(data, most + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
+        while (unpack := _decompressor(head)) is not None:
+            rest = b""
+            while head is not None and not unpack.eof:
+                for piece, rest in _pieces(unpack, head):
+                    if piece:
+                        yield piece
+                if not unpack.eof:
+                    head = next(chunks, None)
+            if head is None:
+                left[:] = [0]
+                return
+            head = rest.lstrip(b"\0")
+            while len(head) < 6 and (more := next(chunks, None)) is not None:
+                head = (head + more).lstrip(b"\0")
+        left[:] = [len(head)]
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError, zstandard.ZstdError):
+        return
+
+
+def _levels(data, left):
+    """Streams of what compressed data holds, of what that holds, and so on; None if too deep."""
+    make = lambda: iter([data])
+    for depth in range(NESTED + 1):
+        head = b""
+        for piece in make():
+            head += piece
+            if len(head) >= 6:
+                break
+        if _decompressor(head) is None:
+            return
+        if depth == NESTED:
+            yield None
+            return
+        make = partial(_level, make, left if not depth else [0])
+        yield make()
+
+
+def _level(make, left):
+    # The first piece must tell the format.
+    pieces, head = make(), b""
+    for piece in pieces:
+        head += piece
+        if len(head) >= 6:
+            break
+    return _unpacked(chain([head], pieces), left)
+
+
+def _windows(pieces, cut_short):
+    """Windows of a stream that overlap by more than a match needs and end outside encoded runs.
+
+    Long runs of spaces are shortened: a match allows any number. If a run had to be
+    cut, ``cut_short`` is called.
+    """
+    parts, size, goal = [], 0, WINDOW
+    for piece in pieces:
+        parts.append(piece)
+        size += len(piece)
+        if size < goal:
+            continue
+        data = _MANY_SPACES.sub(b" " * _SPACES, b"".join(parts))
+        if len(data) >= goal:
+            cut = _last_cut(data)
+            if cut <= _OVERLAP and len(data) >= WINDOW_MOST:
+                cut = len(data)
+                cut_short()
+            if cut > _OVERLAP:
+                yield data[:cut]
+                data = data[cut - _OVERLAP :]
+            goal = len(data) + WINDOW
+        parts, size = [data], len(data)
+    data = _MANY_SPACES.sub(b" " * _SPACES, b"".join(parts))
+    if data:
+        yield data
+
+
+def _last_cut(data):
+    for at in (max(0, len(data) - _CHUNK), 0):
+        cuts = [match.end() for match in _SAFE_CUT.finditer(data, at)]
+        if cuts:
+            return cuts[-1]
+    return 0
 
 
 def _runs(text):
@@ -217,7 +341,7 @@ def _promising(text):
     return bool(scan(text)) or _may_unwrap(text)
 
 
-def _unwrap_base64(layer, budget):
+def _unwrap_base64(layer, unscanned):
     if not _has_base64(layer.text):
         return
     for run, places in _runs(layer.text):
@@ -231,18 +355,20 @@ def _unwrap_base64(layer, budget):
             text, ranges = _decoded(raw, ranges)
             if text and (not offset and "".join(text.split()).isprintable() or _promising(text)):
                 yield layer.inner(0, text, ranges)
+            done = 0
             for start in _packed_starts(raw):
-                inflated = _inflate(raw[start:], budget[0])
-                while inflated is not None:
-                    budget[0] -= len(inflated)
-                    if budget[0] < 0:
-                        inflated = inflated[: budget[0]]
-                        budget[:] = [0, True]
-                    held, inflated = inflated, _inflate(inflated, budget[0])
-                    if held and inflated is None:
-                        first = int(places[offset + start * 8 // 6])
-                        ranges = np.tile([[first, int(places[-1]) + 1]], (len(held), 1))
-                        yield layer.inner(0, *_decoded(held, ranges))
+                if start < done:
+                    continue
+                first, last = int(places[offset + start * 8 // 6]), int(places[-1])
+                origin = int(layer.starts[first]), int(layer.ends[last])
+                left = []
+                for level in _levels(raw[start:], left):
+                    if level is None:
+                        unscanned.add(origin)
+                        break
+                    for window in _windows(level, lambda: unscanned.add(origin)):
+                        yield _Layer.of(_decoded(window, None)[0], *origin)
+                done = len(raw) - left[0] if left else done
 
 
 def _packed_starts(data):
@@ -259,21 +385,32 @@ def find_secrets(text):
 
     All spans hold the base ones and those of decoded layers, each once.
     """
-    text = text or ""
+    base, spans, layers, unscanned = _search(text or "")
+    return base, spans, layers, bool(unscanned)
+
+
+def _search(text):
+    """As ``find_secrets``, with the ranges (start, end) that were not scanned in every way."""
     base = scan(text)
-    spans, seen, budget = set(base), set(), [INFLATED, False]
-    work = deque([_Layer.first(text)] if _may_unwrap(text) else [])
+    spans, seen, unscanned = set(base), set(), set()
+    # Layers are made when their turn comes, so that few are held at a time.
+    work = [iter([_Layer.first(text)] if _may_unwrap(text) else [])]
     while work:
-        layer = work.popleft()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        if not layer.text:
+            continue
         # Equal texts from equal places hold the same; a decoder that leads back ends here.
-        place = (layer.text, int(layer.starts[0]), int(layer.ends[-1])) if layer.text else None
-        if place is None or place in seen:
+        digest = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest()
+        place = digest, int(layer.starts[0]), int(layer.ends[-1])
+        if place in seen:
             continue
         seen.add(place)
         spans.update(layer.spans())
-        for decoder in _DECODERS:
-            work.extend(decoder(layer, budget))
-    return base, sorted(spans), max(1, len(seen)), budget[1]
+        work.append(chain.from_iterable([decoder(layer, unscanned) for decoder in _DECODERS]))
+    return base, sorted(spans), max(1, len(seen)), sorted(unscanned)
 
 
 def _may_unwrap(text):
@@ -319,13 +456,16 @@ def secret_report(docs, key="doc_id", text="text"):
 
 
 def _redacted(text):
-    _, spans, _, _ = find_secrets(text)
+    """What could not be scanned in every way goes as a secret does."""
+    _, spans, _, unscanned = _search(text or "")
+    found = [(start, f"[{KINDS[kind]}]", end) for start, kind, end in spans]
+    found = sorted(found + [(start, "[unscanned]", end) for start, end in unscanned])
     parts, at = [], 0
-    for start, kind, end in spans:
+    for start, name, end in found:
         if start >= at:
-            parts += [text[at:start], f"[{KINDS[kind]}]"]
+            parts += [text[at:start], name]
         at = max(at, end)
-    return "".join(parts) + text[at:] if spans else text
+    return "".join(parts) + text[at:] if found else text
 
 
 @F.pandas_udf(T.StringType())

@@ -1,8 +1,10 @@
 """Operators against brute force, round trips and held-out accuracy on small tables."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import math
 import random
 import zlib
@@ -14,6 +16,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -533,6 +536,27 @@ def test_secrets_in_all_base64_forms():
     assert (start, end) == (1 + 4 * 8 // 6, 1 + (27 * 8 + 5) // 6)
 
 
+def test_inflated_data_is_scanned_to_its_end(monkeypatch):
+    secret = b" password=hunter2hunter2 "
+    filler = b"nothing to see, " * (6 * 1024 * 1024 // 16)
+    spaces = b"password" + b" " * (3 * 1024 * 1024) + b"=hunter2hunter2"
+    once = base64.b64encode(secret)
+    near = zlib.compress(filler[: 1024 * 1024 - 20].replace(b",", b".") + once + filler)
+    forms = [zlib.compress(filler + secret), near, zlib.compress(spaces), zlib.compress(zlib.compress(filler + secret))]
+    zstd = zstandard.ZstdCompressor()
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zlib.compress, zstd.compress):
+        forms += [pack(b"first member") + pack(secret), pack(b"pass") + pack(b"word=hunter2hunter2"), pack(filler + secret)]
+    for data in forms:
+        text = f"<{base64.b64encode(data).decode()}>"
+        _, spans, _, incomplete = secrets.find_secrets(text)
+        assert not incomplete and 0 in {k for _, k, _ in spans}
+        assert secrets._redacted(text) in ("<[assign]>", "<[assign]=>", "<[assign]==>")
+    monkeypatch.setattr(secrets, "WINDOW", 4096)
+    monkeypatch.setattr(secrets, "WINDOW_MOST", 16384)
+    text = f"<{base64.b64encode(zlib.compress(b'A1b2' * 10000)).decode()}>"
+    assert secrets.find_secrets(text)[3] and secrets._redacted(text).startswith("<[unscanned]")
+
+
 def test_secret_cycles_end():
     text = "%2525" * 50 + base64.b64encode(b"A" * 64).decode()
     assert secrets.find_secrets(text)[1] == []

@@ -54,6 +54,14 @@ def _share(part, whole):
     return part / whole if whole else 0.0
 
 
+def _compressed_size(data):
+    """Length of the whole data compressed, a piece at a time."""
+    packer = zlib.compressobj(1)
+    view = memoryview(data)
+    size = sum(len(packer.compress(view[at : at + 65536])) for at in range(0, len(data), 65536))
+    return size + len(packer.flush())
+
+
 def content_features(text):
     """Shares of neighbouring character kinds, and shares of repeats; 0 for a null text."""
     data = text.encode() if text else b""
@@ -66,7 +74,7 @@ def content_features(text):
         _share(sum(map(eq, words, words[2:])), len(words)),
         _share(len(set(lines)), len(lines)),
         _share(len(data), len(words) + 1) / 10,
-        _share(len(zlib.compress(data[:65536], 1)), min(len(data), 65536)),
+        _share(_compressed_size(data), len(data)),
     ]
     return np.concatenate([np.log1p(1000 * pairs / max(1, len(data))), repeats])
 

@@ -284,6 +284,15 @@ def test_ring_moves_little_with_slack():
 # 7
 
 
+def test_compressibility_is_of_the_whole_text():
+    rng = random.Random(9)
+    clean = "".join(rng.choices("abcdefghijklmnop ", k=70000))
+    alone, tail = (quality.content_features(t)[-1] for t in (clean, clean + "buy now " * 50000))
+    assert tail < alone / 4
+    data = (clean + "buy now " * 50000).encode()
+    assert abs(tail - len(zlib.compress(data, 1)) / len(data)) < 1e-3
+
+
 def test_quality_separates_junk(spark):
     rng = random.Random(2)
     def good():

@@ -4,7 +4,8 @@ Vectors get one more component that gives them all the greatest norm, which turn
 product into the smallest distance. Centroids of a bounded sample name the posting lists. Every vector
 goes to its nearest list and, near a boundary, to others as well. The centroids, a bounded
 table, are searched by a proximity graph in memory. A query opens the lists whose centroid is at most
-``ratio`` times as far as the nearest. A list that is too large is split into parts
+``ratio`` times as far as the nearest, and the next nearest until they hold as many other rows as are
+asked for. Cells of the centroids are balanced: large ones are split, tiny ones dissolved. A list that is too large is split into parts
 and the queries of a list into blocks, so no task meets more than one part and block;
 within, all inner products are computed and the best returned as one row for each query.
 """
@@ -47,6 +48,24 @@ def fit_centroids(sample, lists, rounds=8):
     return centres
 
 
+def balanced_centroids(sample, lists, rounds=4):
+    """k-means whose cells of more than twice the mean size are split and of under a quarter dissolved."""
+    centres, mean = fit_centroids(sample, lists), len(sample) / lists
+    for _ in range(rounds):
+        nearest = _distances(sample, centres).argmin(axis=1)
+        sizes = np.bincount(nearest, minlength=len(centres))
+        large = np.flatnonzero(sizes > max(2 * mean, 2))
+        stays = (sizes >= mean / 4) & (sizes <= max(2 * mean, 2))
+        if stays.all():
+            break
+        split = [fit_centroids(sample[nearest == i], int(-(-sizes[i] // mean))) for i in large]
+        new = np.concatenate([centres[stays], *split])
+        if not len(new) or np.array_equal(new, centres):
+            break
+        centres = new
+    return centres
+
+
 class CentroidGraph:
     """Links between near centroids, and a ring through all so that every one can be reached."""
 
@@ -62,8 +81,11 @@ class CentroidGraph:
         self.links = [np.array(sorted(found - {i}), np.int64) for i, found in enumerate(links)]
         self.start = int(_distances(centres.mean(axis=0)[None], centres).argmin())
 
-    def search(self, point, ratio, most=None):
-        """Centroids at most ``ratio`` times as far as the nearest, nearest first."""
+    def search(self, point, ratio, most=None, sizes=None, least=0):
+        """Centroids at most ``ratio`` times as far as the nearest, nearest first.
+
+        With ``sizes`` the next nearest follow until their sizes add up to ``least``.
+        """
         seen = np.zeros(len(self.centres), dtype=bool)
         seen[self.start] = True
         first = float(_distances(point[None], self.centres[self.start][None])[0, 0])
@@ -82,10 +104,17 @@ class CentroidGraph:
                 met.append(pair)
                 best = min(best, pair[0])
         chosen = sorted(pair for pair in met if pair[0] <= ratio * best)
-        return [at for _, at in chosen[:most]]
+        chosen = [at for _, at in chosen[:most]]
+        if sizes is not None and sizes[chosen].sum() < least:
+            for at in _distances(point[None], self.centres)[0].argsort(kind="stable").tolist():
+                if sizes[chosen].sum() >= least:
+                    break
+                if at not in chosen:
+                    chosen.append(at)
+        return chosen
 
 
-def _assign(shared, ratio, most, is_query):
+def _assign(shared, ratio, most, is_query, sizes=None, least=0):
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         centres, norm = shared.value
         graph = CentroidGraph(centres)
@@ -97,7 +126,7 @@ def _assign(shared, ratio, most, is_query):
                     point = np.append(vector * (norm / own), 0.0)
                 else:
                     point = np.append(vector, np.sqrt(max(norm**2 - own**2, 0.0)))
-                for found in graph.search(point, ratio, most):
+                for found in graph.search(point, ratio, most, sizes, least):
                     keys.append(key)
                     lists.append(found)
                     vectors.append(vector)
@@ -205,16 +234,19 @@ def nearest_neighbours(table, is_query, key="vec_id", vector="embedding", neares
     sample = np.array([row["vector"] for row in chosen.collect()])
     own = (sample**2).sum(axis=1)
     sample = np.column_stack([sample, np.sqrt(np.maximum(most**2 - own, 0))])
-    shared = spark.sparkContext.broadcast((fit_centroids(sample, lists), most))
+    centres = balanced_centroids(sample, lists)
+    shared = spark.sparkContext.broadcast((centres, most))
 
     columns = f"key {_kind(rows)}, list int, vector array<double>"
     indexed = stage.keep(
         rows.mapInPandas(_assign(shared, COPY_RATIO, COPIES, False), columns), "posting-lists"
     )
-    asked = stage.keep(
-        rows.where(is_query(F.col("key"))).mapInPandas(_assign(shared, ratio, None, True), columns),
-        "queries",
-    )
+    sizes = np.zeros(len(centres), np.int64)
+    for at, size in indexed.groupBy("list").count().collect():
+        sizes[at] = size
+    # A row is in so many lists at most, and the query's own row does not count.
+    assign = _assign(shared, ratio, None, True, sizes, COPIES * (nearest + 1))
+    asked = stage.keep(rows.where(is_query(F.col("key"))).mapInPandas(assign, columns), "queries")
     # One row for each list: parts of its vectors and blocks of its queries.
     parts = indexed.groupBy("list").agg(F.ceil(F.count("*") / (2 * LIST_ROWS)).alias("parts"))
     blocks = asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("blocks"))

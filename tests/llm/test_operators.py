@@ -121,6 +121,25 @@ def test_equal_vectors_go_to_the_smaller_key(spark):
     assert sorted(r["vec_id"] for r in found if 100 <= r["vec_id"] < 160) == expected
 
 
+def test_queries_near_small_lists_find_enough(spark):
+    """Few vectors far from all others, which take lists of their own."""
+    rng = np.random.default_rng(11)
+    data = rng.normal(size=(3000, 8)) * rng.lognormal(sigma=1.0, size=(3000, 1))
+    data[::100] = 40 * rng.normal(size=(30, 8))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest_neighbours(table, lambda key: key % 20 == 0).collect()
+    counts = Counter(r["query_id"] for r in found)
+    assert len(counts) == 150 and set(counts.values()) == {20}
+
+
+def test_cells_are_balanced():
+    rng = np.random.default_rng(12)
+    sample = np.concatenate([rng.normal(size=(3000, 8)), 50 + rng.normal(size=(20, 8))])
+    centres = neighbours.balanced_centroids(sample, 16)
+    sizes = np.bincount(neighbours._distances(sample, centres).argmin(axis=1), minlength=len(centres))
+    assert sizes.max() <= 2.5 * 3020 / 16 and sizes.min() >= 20
+
+
 def test_graph_search_finds_all_near_centroids():
     rng = np.random.default_rng(1)
     centres, points = rng.normal(size=(300, 8)), rng.normal(size=(50, 8))

@@ -36,10 +36,10 @@ def redact_secrets(spark, docs, sf_dir):
     return secrets.redact_secrets(docs)
 
 
-def encode(spark, docs, sf_dir):
-    """All documents with their token ids."""
+def encode_and_decode(spark, docs, sf_dir):
+    """All documents with their token ids and the digest of the text decoded from them."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.encode_and_decode_documents(docs, ranks, public_tokenizers.PATTERN)
 
 
 STAGES = [
@@ -47,7 +47,7 @@ STAGES = [
     ("SimHash near-dedup", keep_one_of_near_duplicates),
     ("benchmark decontamination", drop_benchmark_passages),
     ("secret scans", redact_secrets),
-    ("byte-level BPE encoding", encode),
+    ("byte-level BPE encoding and decoding", encode_and_decode),
 ]
 
 ORACLE_SQL = None

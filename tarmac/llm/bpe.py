@@ -361,6 +361,18 @@ def encode_documents(docs, ranks, pattern, text="text", output="ids"):
     )
 
 
+def encode_and_decode_documents(docs, ranks, pattern, text="text", output="ids"):
+    """As ``encode_documents``, with ``decoded_sha256``, the digest of the text decoded from the ids."""
+    done = free_name(docs, "done")
+    rows = docs.withColumn(done, round_trip_column(docs.sparkSession, F.col(text), ranks, pattern))
+    return rows.select(
+        *docs.columns,
+        F.col(f"{done}.ids").alias(output),
+        (F.octet_length(f"{done}.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col(f"{done}.decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 def round_trip(docs, ranks, pattern, key="doc_id", text="text"):
     """Key, ``ids`` and ``decoded``, the text that the ids decode to; other columns are left out.
 

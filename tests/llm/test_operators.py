@@ -639,6 +639,14 @@ def test_pipeline(spark, documents, texts):
             assert not a or 5 * len(a & b) < 4 * len(a | b)
 
 
+def test_pipeline_decodes(spark, documents):
+    rows = corpus_pipeline.STAGES[-1][1](spark, documents.limit(50), DATA).collect()
+    assert len(rows) == 50
+    for row in rows:
+        assert row["decoded_sha256"] == hashlib.sha256((row["text"] or "").encode()).hexdigest()
+        assert row["n_tokens"] == len(row["ids"]) // 4
+
+
 def test_all_operators_are_registered():
     numbers = {n.split("_")[0] for n in registry.queries() if n.startswith("op")}
     assert numbers == {f"op{n}" for n in range(1, 11)} and "pipeline" in registry.queries()

@@ -171,6 +171,11 @@ def test_ppm_counts_and_base(spark, documents, texts):
         assert row["score"] < 0 and math.isfinite(row["score"])
 
 
+def test_ppm_contexts_reach_five_bytes():
+    assert ppm.ORDER == 5
+    assert max(len(gram) - 1 for gram in ppm.grams_of(b"abcdefghij")) == 5
+
+
 def test_ppm_probabilities_sum_to_one():
     grams = Counter()
     for word, n in ((b"the", 5), (b"then", 2), (b"cat", 1), (b"", 3)):

@@ -1,5 +1,7 @@
 """Small helpers the operators share."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 TABLES = ("documents", "embeddings", "benchmark", "labels")
@@ -31,3 +33,16 @@ def ascii_lower(text):
 
 def shuffle_partitions(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@contextmanager
+def settings(spark, **values):
+    """Session settings for the jobs started inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -9,6 +9,8 @@ from tarmac.llm import (
     contamination,
     language,
     neighbours,
+    oracle,
+    passages,
     ppm,
     quality,
     secrets,
@@ -115,6 +117,12 @@ def op10_secret_layers(spark, sf_dir):
     )
 
 
+def op11_passages(spark, sf_dir):
+    return passages.remove_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 QUERIES = {
     "op1_posting_lists": op1_posting_lists,
     "op2_ppm": op2_ppm,
@@ -126,7 +134,8 @@ QUERIES = {
     "op8_context_mixing": op8_context_mixing,
     "op9_tiled_simhash": op9_tiled_simhash,
     "op10_secret_layers": op10_secret_layers,
+    "op11_passages": op11_passages,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = {"op11_passages": oracle.PASSAGES}

@@ -5,23 +5,23 @@ WITH docs AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
     FROM documents
 ), windows AS (
-    SELECT doc_id, at, array_to_string(words[at:at + 19], ' ') AS body
-    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS at FROM docs)
+    SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS body
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM docs)
 ), repeated AS (
-    SELECT doc_id, at
+    SELECT doc_id, i
     FROM windows
-    QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, at) > 1
+    QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, i) > 1
 ), words AS (
-    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM docs
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs
 ), covered AS (
-    SELECT w.doc_id, w.at, w.word,
-           max(r.at) OVER (PARTITION BY w.doc_id ORDER BY w.at ROWS 19 PRECEDING) IS NOT NULL AS gone
-    FROM words AS w LEFT JOIN repeated AS r ON w.doc_id = r.doc_id AND w.at = r.at
+    SELECT w.doc_id, w.i, w.word,
+           max(r.i) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS 19 PRECEDING) IS NOT NULL AS gone
+    FROM words AS w LEFT JOIN repeated AS r ON w.doc_id = r.doc_id AND w.i = r.i
 )
 SELECT d.doc_id,
-       count(c.at) AS n_words,
+       count(c.i) AS n_words,
        count(*) FILTER (c.gone) AS n_removed,
-       sha256(coalesce(string_agg(c.word, ' ' ORDER BY c.at) FILTER (NOT c.gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(c.word, ' ' ORDER BY c.i) FILTER (NOT c.gone), '')) AS kept_sha256
 FROM docs AS d LEFT JOIN covered AS c ON d.doc_id = c.doc_id
 GROUP BY d.doc_id
 """

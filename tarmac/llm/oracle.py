@@ -25,3 +25,43 @@ SELECT d.doc_id,
 FROM docs AS d LEFT JOIN covered AS c ON d.doc_id = c.doc_id
 GROUP BY d.doc_id
 """
+
+LEXICAL = r"""
+WITH terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), postings AS (
+    SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+), totals AS (
+    SELECT count(*) AS documents, cast(sum(n) AS BIGINT) AS occurrences FROM lengths
+), weights AS (
+    SELECT term, cast(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, totals GROUP BY term, documents
+), impacts AS (
+    SELECT doc_id, term,
+           w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // occurrences)))
+               AS impact
+    FROM postings JOIN lengths USING (doc_id) JOIN weights USING (term), totals
+), queries AS (
+    SELECT item_id, term, count(*) AS times
+    FROM (SELECT item_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM benchmark)
+    GROUP BY item_id, term
+), scores AS (
+    SELECT item_id, doc_id, cast(sum(times * impact) AS BIGINT) AS score
+    FROM queries JOIN impacts USING (term)
+    GROUP BY item_id, doc_id
+    HAVING sum(times * impact) > 0
+)
+SELECT item_id,
+       cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM scores
+QUALIFY rank <= 10
+"""

@@ -8,6 +8,7 @@ from tarmac.llm import (
     bpe,
     contamination,
     language,
+    lexical,
     neighbours,
     oracle,
     passages,
@@ -123,6 +124,12 @@ def op11_passages(spark, sf_dir):
     )
 
 
+def op12_dense_tiles(spark, sf_dir):
+    return lexical.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
     "op1_posting_lists": op1_posting_lists,
     "op2_ppm": op2_ppm,
@@ -135,7 +142,11 @@ QUERIES = {
     "op9_tiled_simhash": op9_tiled_simhash,
     "op10_secret_layers": op10_secret_layers,
     "op11_passages": op11_passages,
+    "op12_dense_tiles": op12_dense_tiles,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL = {"op11_passages": oracle.PASSAGES}
+ORACLE_SQL = {
+    "op11_passages": oracle.PASSAGES,
+    "op12_dense_tiles": oracle.LEXICAL,
+}

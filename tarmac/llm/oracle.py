@@ -65,3 +65,50 @@ SELECT item_id,
 FROM scores
 QUALIFY rank <= 10
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), lists AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), phrases AS (
+    SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+    FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+          FROM lists, unnest([1, 2, 3, 4, 5]) AS sizes(size)
+          WHERE len(words) >= size)
+), counts AS (
+    SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+    SELECT lang, cast(sum(len(words)) AS BIGINT) AS n FROM lists GROUP BY lang
+), cuts AS (
+    SELECT c.lang, c.phrase, c.size, c.f AS a, k,
+           array_to_string(parts[:k], ' ') AS head, array_to_string(parts[k + 1:], ' ') AS tail
+    FROM (SELECT *, string_split(phrase, ' ') AS parts, unnest(range(1, size)) AS k
+          FROM counts WHERE size > 1) AS c
+), scores AS (
+    SELECT cuts.lang, cuts.phrase, cuts.size, a, k, l.f AS l, r.f AS r, n,
+           cast((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM cuts
+    JOIN counts AS l ON l.lang = cuts.lang AND l.phrase = head
+    JOIN counts AS r ON r.lang = cuts.lang AND r.phrase = tail
+    JOIN totals ON totals.lang = cuts.lang
+    QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1
+), spans AS (
+    SELECT lang, size, f, parts, unnest(range(2, size)) AS short
+    FROM (SELECT *, string_split(phrase, ' ') AS parts FROM counts WHERE size > 2)
+), inner_parts AS (
+    SELECT lang, f, array_to_string(parts[i:i + short - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, size - short + 2)) AS i FROM spans)
+), kept AS (
+    SELECT * FROM scores AS s
+    WHERE NOT EXISTS (SELECT 1 FROM inner_parts AS p
+                      WHERE p.lang = s.lang AND p.phrase = s.phrase AND 100 * p.f >= 100 * s.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM kept
+QUALIFY rank <= 2000
+"""

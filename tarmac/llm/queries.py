@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tarmac.llm import (
     bpe,
+    collocations,
     contamination,
     language,
     lexical,
@@ -130,6 +131,10 @@ def op12_dense_tiles(spark, sf_dir):
     )
 
 
+def op13_setm(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_posting_lists": op1_posting_lists,
     "op2_ppm": op2_ppm,
@@ -143,10 +148,12 @@ QUERIES = {
     "op10_secret_layers": op10_secret_layers,
     "op11_passages": op11_passages,
     "op12_dense_tiles": op12_dense_tiles,
+    "op13_setm": op13_setm,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
     "op11_passages": oracle.PASSAGES,
     "op12_dense_tiles": oracle.LEXICAL,
+    "op13_setm": oracle.COLLOCATIONS,
 }

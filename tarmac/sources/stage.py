@@ -53,14 +53,19 @@ def job(spark):
         yield
     finally:
         spark.conf.unset(_JOB)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
 
 
-def keep(table, name, compression="snappy"):
-    """Write the table as a stage and return the written copy."""
+def delete(spark, path):
+    """Delete a stage that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def keep(table, name, compression="snappy", path=None):
+    """Write the table as a stage, at a path of its own, and return the written copy."""
     spark = table.sparkSession
-    path = new_stage_path(spark, name)
+    path = path or new_stage_path(spark, name)
     table.write.option("compression", compression).parquet(path)
     return spark.read.schema(table.schema).parquet(path)
 

@@ -390,6 +390,7 @@ def remove_repeated_passages(docs, key="doc_id", text="text", size=WINDOW, chunk
     clean_up = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     with stage.job(spark), settings(spark, **{clean_up: "true", batch: str(BATCH_ROWS)}):
+        copied = stage.new_stage_path(spark, "copy")
         copy = stage.keep(
             docs.select(
                 F.monotonically_increasing_id().alias("rid"),
@@ -398,6 +399,7 @@ def remove_repeated_passages(docs, key="doc_id", text="text", size=WINDOW, chunk
             ),
             "copy",
             "zstd",
+            copied,
         )
         total = copy.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
         slices = max(shuffle_partitions(spark), -(-total // SLICE_BYTES))
@@ -432,7 +434,9 @@ def remove_repeated_passages(docs, key="doc_id", text="text", size=WINDOW, chunk
                 _mark(size, slices), MARKED
             ),
             "marked",
+            "zstd",
         )
+        stage.delete(spark, copied)
 
         windows = marked.where("body IS NOT NULL").select(
             "rid", "place", F.inline(F.arrays_zip("h1", "h2", "starts"))

@@ -11,6 +11,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -261,12 +262,13 @@ def _mark(size, slices):
         """Result rows of documents given as (rid, place, normalised text)."""
         marks = marks_of(docs, often)
         none = np.empty(0, np.int64)
+        pack_text = zstandard.ZstdCompressor(level=1).compress
         rows = []
         for i, (rid, place, text) in enumerate(docs):
             n_words = text.count(b" ") + 1 if text else 0
             if i in marks:
                 starts, digests = map(np.concatenate, zip(*marks[i]))
-                rows.append((rid, place, n_words, None, text, starts, *digests.T))
+                rows.append((rid, place, n_words, None, pack_text(text), starts, *digests.T))
             else:
                 sha = hashlib.sha256(text).hexdigest()
                 rows.append((rid, place, n_words, sha, None, none, none, none))
@@ -309,7 +311,6 @@ def _remove(size):
     """What is left of texts, given the windows that occur earlier."""
     schema = pa.schema(
         [
-            ("rid", pa.int64()),
             ("n_words", pa.int64()),
             ("n_removed", pa.int64()),
             ("kept", pa.string()),
@@ -318,12 +319,13 @@ def _remove(size):
     )
 
     def remove(batches):
+        text_of = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             rows = []
-            for rid, n_words, place, body, starts, firsts in zip(
-                *(batch[c] for c in ("rid", "n_words", "place", "body", "starts", "firsts"))
+            for n_words, place, body, starts, firsts in zip(
+                *(batch[c] for c in ("n_words", "place", "body", "starts", "firsts"))
             ):
-                n_words, body = n_words.as_py(), body.as_py()
+                n_words, body = n_words.as_py(), text_of(body.as_py())
                 gone = starts.values.to_numpy()
                 if firsts.is_valid:
                     first = firsts.values.to_numpy() - place.as_py()
@@ -337,11 +339,11 @@ def _remove(size):
                 left = np.repeat(~covered, np.diff(ends, prepend=0))
                 body = letters[left].tobytes()[:-1]
                 sha = hashlib.sha256(body).hexdigest()
-                rows.append((rid.as_py(), n_words, int(covered.sum()), body.decode(), sha))
+                rows.append((n_words, int(covered.sum()), body.decode(), sha))
             if rows:
+                columns = [pa.array(column, f.type) for column, f in zip(zip(*rows), schema)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, f.type) for column, f in zip(zip(*rows), schema)],
-                    schema=schema,
+                    [batch["key"], *columns], names=["key", *schema.names]
                 )
 
     return remove
@@ -449,20 +451,22 @@ def remove_repeated_passages(docs, key="doc_id", text="text", size=WINDOW, chunk
             .groupBy("rid")
             .agg(F.collect_list("at").alias("firsts"))
         )
+        kind = docs.schema[key].dataType.simpleString()
+        keys = places.select("rid", "key")
         cut = (
             marked.where("body IS NOT NULL")
             .select("rid", "n_words", "place", "body", "starts")
             .join(firsts, "rid", "left")
+            .join(keys, "rid")
             .mapInArrow(
                 _remove(size),
-                "rid long, n_words long, n_removed long, kept string, kept_sha256 string",
+                f"key {kind}, n_words long, n_removed long, kept string, kept_sha256 string",
             )
         )
-        whole = marked.where("body IS NULL").select(
-            "rid", "n_words", F.lit(0).cast("long"), no.cast("string"), "kept_sha256"
+        whole = (
+            marked.where("body IS NULL")
+            .join(keys, "rid")
+            .select("key", "n_words", F.lit(0).cast("long"), no.cast("string"), "kept_sha256")
         )
-        result = cut.union(whole).join(places.select("rid", "key"), "rid")
-        result.select(
-            F.col("key").alias(key), "n_words", "n_removed", "kept", "kept_sha256"
-        ).write.parquet(path)
+        cut.union(whole).withColumnRenamed("key", key).write.parquet(path)
     return spark.read.parquet(path)

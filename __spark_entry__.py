@@ -6,6 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tarmac.constants import FEATURE_ORDER  # noqa: E402
 from tarmac.functions import scalars  # noqa: E402
 from tarmac.functions.sql_names import register_sql_functions  # noqa: E402
 from tarmac.operators import (  # noqa: E402
+    certificates,
     cleaning,
     encoding,
     enrichment,
@@ -25,6 +27,7 @@ from tarmac.operators import (  # noqa: E402
     metrics,
     sampling,
     summary,
+    trees,
 )
 from tarmac.plans import features as feature_plans  # noqa: E402
 from tarmac.plans import training  # noqa: E402
@@ -390,10 +393,28 @@ def logistic_evaluation(spark, sf_dir):
     return training.train_and_evaluate(_kept_features(spark, sf_dir), "logistic")[1]
 
 
+def logistic_certificate(spark, sf_dir):
+    rows = training.split_and_compact(_kept_features(spark, sf_dir))
+    train = rows.filter(F.col("set") == "Train")
+    encoders = training.fit_encoders(train, "logistic")
+    encoded = PipelineModel(encoders).transform(train)
+    model = training.fit_classifier(encoded, encoders, "logistic")
+    return certificates.logistic_certificate(encoded, model)
+
+
 def model_report(spark, sf_dir):
     return metrics.report_lines(logistic_evaluation(spark, sf_dir)).orderBy("line_no")
 
 
+def tree_report(spark, sf_dir):
+    return metrics.report_lines(tree_evaluation(spark, sf_dir))
+
+
+def tree_nodes(spark, sf_dir):
+    fitted, _ = training.train_and_evaluate(_kept_features(spark, sf_dir), "tree")
+    return trees.tree_nodes(spark, fitted.stages[-1])
+
+
 def tree_description(spark, sf_dir):
     fitted, _ = training.train_and_evaluate(_kept_features(spark, sf_dir), "tree")
     return training.tree_description(spark, fitted)
@@ -446,7 +467,10 @@ OWN_QUERIES = {
     "auc_hard_labels": auc_hard_labels,
     "tree_evaluation": tree_evaluation,
     "logistic_evaluation": logistic_evaluation,
+    "logistic_certificate": logistic_certificate,
     "model_report": model_report,
+    "tree_report": tree_report,
+    "tree_nodes": tree_nodes,
     "tree_description": tree_description,
 }
 

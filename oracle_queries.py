@@ -1,5 +1,7 @@
 """The registered queries as plain SQL, to check the Spark results against."""
 
+import oracle_tree
+
 _NUMBERS = (
     "Month DayOfWeek Distance OriginLatitudeArea OriginLongitudeArea DestinationLatitudeArea "
     "DestinationLongitudeArea AverageAirlineDelay Delay AverageTaxiOut"
@@ -163,6 +165,16 @@ _USES = {
 }
 
 
+_TREE = oracle_tree.views()
+
+
+def _tree_sql(select):
+    """A query over the views of the tree, which follow those of the features."""
+    parts = [f"{n} AS MATERIALIZED ({_VIEWS[n]})" for n in _needed(["hashed"])]
+    parts += [f"{n} AS MATERIALIZED ({v})" for n, v in _TREE.items()]
+    return "WITH " + ",\n".join(parts) + "\n" + select
+
+
 def _needed(names):
     wanted = set()
     open_names = list(names)
@@ -374,6 +386,9 @@ def oracle_sql():
         "bucketize_taxi_out": _bucket("AverageTaxiOut", 0, 5, 5),
         "assemble_features": _sql("SELECT * FROM assembled", "assembled"),
         "l2_normalize": _sql(_normalized(), "assembled"),
+        "tree_evaluation": _tree_sql(oracle_tree.METRICS),
+        "tree_report": _tree_sql(oracle_tree.REPORT),
+        "tree_nodes": _tree_sql(oracle_tree.nodes()),
         "confusion_metrics": _sql(
             """SELECT tp, fp, fn, tn, (tp + tn) / nullif(tp + fp + fn + tn, 0) AS accuracy,
                       tp / nullif(tp + fp, 0) AS "precision", tp / nullif(tp + fn, 0) AS recall

@@ -1,6 +1,6 @@
 """Model inputs: buckets, indexed categories, assembled and normalized vectors."""
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Transformer
 from pyspark.ml.feature import (
     Bucketizer,
     Normalizer,
@@ -15,6 +15,9 @@ from tarmac.constants import (
     FEATURE_ORDER,
     TAXI_OUT_SPLITS,
 )
+from tarmac.operators.joins import broadcast_if_small
+from tarmac.operators.ranking import with_rank
+from tarmac.sources.stage import keep
 
 CATEGORIES = ("Airline", "TimeSlot", "OriginState", "DestinationState", "OriginAirport")
 BUCKETS = {
@@ -22,8 +25,6 @@ BUCKETS = {
     "AverageAirlineDelay": AVERAGE_DELAY_SPLITS,
     "AverageTaxiOut": TAXI_OUT_SPLITS,
 }
-# Names of categories a fitted encoder may hold; it lives on the driver and in each task.
-MAX_CATEGORIES = 100_000
 
 
 def bucketizer(*columns):
@@ -35,17 +36,35 @@ def bucketizer(*columns):
     )
 
 
-def check_bucket_bounds(features):
-    """Fail with the column names if a value lies below its lowest bucket or is missing."""
-    bad = features.agg(
+OUTSIDE = -1.0
+
+
+def _nominal(name, values):
+    """Tells a model that a column holds categories 0, 1, ..., and how many."""
+    return {"ml_attr": {"type": "nominal", "name": name, "num_vals": values}}
+
+
+def bucket(column):
+    """Number of the bucket of a value; ``OUTSIDE`` if it is missing, no number or too low."""
+    number = F.when(F.isnan(column), F.lit(OUTSIDE))
+    for position in reversed(range(len(BUCKETS[column]) - 1)):
+        number = number.when(F.col(column) >= BUCKETS[column][position], F.lit(float(position)))
+    return number.otherwise(OUTSIDE)
+
+
+def check_bucket_bounds(compact_rows):
+    """Fail with column names and counts if compact rows stand for values outside the buckets."""
+    outside = compact_rows.agg(
         *[
-            F.count_if(F.col(c).isNull() | F.isnan(c) | (F.col(c) < splits[0])).alias(c)
-            for c, splits in BUCKETS.items()
+            F.coalesce(F.sum(F.when(F.col(f"{c}Bucketed") == OUTSIDE, F.col("weight"))), F.lit(0))
+            .cast("long")
+            .alias(c)
+            for c in BUCKETS
         ]
     ).first()
-    outside = {c: bad[c] for c in BUCKETS if bad[c]}
-    if outside:
-        raise ValueError(f"rows outside the bucket bounds, per column: {outside}")
+    found = {c: outside[c] for c in BUCKETS if outside[c]}
+    if found:
+        raise ValueError(f"rows outside the bucket bounds, per column: {found}")
 
 
 def compact(features, *keep_columns, weight=None):
@@ -58,7 +77,11 @@ def compact(features, *keep_columns, weight=None):
     """
     number = F.count("*") if weight is None else F.sum(weight)
     inputs = {c.removesuffix("Index") for c in FEATURE_ORDER}
-    bucketed = bucketizer().transform(features)
+    buckets = [
+        bucket(c).alias(f"{c}Bucketed", metadata=_nominal(f"{c}Bucketed", len(splits) - 1))
+        for c, splits in BUCKETS.items()
+    ]
+    bucketed = features.select("*", *buckets)
     return bucketed.groupBy(*keep_columns, *sorted(inputs), "Delay").agg(
         number.alias("weight")
     )
@@ -92,29 +115,56 @@ def category_counts(table, weight=None):
     )
 
 
-def fit_category_indexer(table, weight=None):
-    """Index categories by falling frequency, ties by name; unseen ones get a spare index."""
-    rows = (
-        category_counts(table, weight)
-        .orderBy(F.desc("n"), "value")
-        .select("column", "value")
-        .limit(MAX_CATEGORIES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories to index")
-    labels = {c: [] for c in CATEGORIES}
-    for row in rows:
-        labels[row["column"]].append(row["value"])
-    # One model per column: the many-column constructor pads the shorter lists with nulls.
-    return PipelineModel(
-        [
-            StringIndexerModel.from_labels(
-                labels[c], inputCol=c, outputCol=f"{c}Index", handleInvalid="keep"
-            )
-            for c in CATEGORIES
-        ]
-    )
+def category_index(table, weight=None, path=None):
+    """(column, value, index): categories by falling frequency, ties by name, from 0 on.
+
+    Ranked without a task that sees all names of a column, and written, at ``path`` if given.
+    """
+    order = [F.desc("n"), F.asc("value")]
+    ranked = with_rank(category_counts(table, weight), order, ["column"])
+    index = (F.col("rank") - 1).cast("double").alias("index")
+    return keep(ranked.select("column", "value", index), "category-index", path=path)
+
+
+class CategoryIndexer(Transformer):
+    """Adds the index of each category; an unseen or missing one gets a spare index.
+
+    The names stay in a table that is joined, broadcast only if it is measured to fit. The
+    driver knows their numbers alone, which the index columns carry as metadata.
+    """
+
+    def __init__(self, index):
+        super().__init__()
+        self.index = index
+        counts = {r["column"]: r["count"] for r in index.groupBy("column").count().collect()}
+        self.sizes = {c: counts.get(c, 0) for c in CATEGORIES}
+
+    def _transform(self, dataset):
+        lookups = broadcast_if_small(
+            *[
+                self.index.where(F.col("column") == c).select(
+                    F.col("value").alias(f"{c}Value"), F.col("index").alias(f"{c}Found")
+                )
+                for c in CATEGORIES
+            ]
+        )
+        indexed = dataset
+        for c, lookup in zip(CATEGORIES, lookups):
+            indexed = indexed.join(lookup, F.col(c) == F.col(f"{c}Value"), "left")
+        return indexed.select(
+            *dataset.columns,
+            *[
+                F.coalesce(f"{c}Found", F.lit(float(self.sizes[c]))).alias(
+                    f"{c}Index", metadata=_nominal(f"{c}Index", self.sizes[c] + 1)
+                )
+                for c in CATEGORIES
+            ],
+        )
+
+
+def fit_category_indexer(table, weight=None, path=None):
+    """The indexer of a table's categories; ``path`` says where their index is to stay."""
+    return CategoryIndexer(category_index(table, weight, path))
 
 
 def label_indexer():

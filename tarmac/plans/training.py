@@ -2,7 +2,6 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import functions as F
 
 from tarmac.constants import LOGISTIC_MAX_ITER, TREE_MAX_DEPTH, TREE_MIN_BINS
@@ -45,15 +44,23 @@ def _logistic():
 
 
 def split_and_compact(features, by_content=True):
-    """Train and Test rows in model form, written once so that both sets stay fixed."""
-    if not by_content:
-        return keep(compact(random_split(features), "set"), "training-rows")
-    return keep(compact(hash_split_weights(features), "set", weight="weight"), "training-rows")
+    """Train and Test rows in model form, written once so that both sets stay fixed.
+
+    This is the only time the features are read. Values outside the buckets show in the written
+    rows, which are few, and fail there.
+    """
+    if by_content:
+        rows = compact(hash_split_weights(features), "set", weight="weight")
+    else:
+        rows = compact(random_split(features), "set")
+    rows = keep(rows, "training-rows")
+    check_bucket_bounds(rows)
+    return rows
 
 
-def fit_encoders(train, model):
+def fit_encoders(train, model, index_path=None):
     """The stages from compact rows to the model's input vector."""
-    stages = [*fit_category_indexer(train, "weight").stages, label_indexer(), assembler()]
+    stages = [fit_category_indexer(train, "weight", index_path), label_indexer(), assembler()]
     return stages if model == "tree" else [*stages, normalizer()]
 
 
@@ -68,7 +75,7 @@ def fit_classifier(train, encoders, model):
     """
     if model != "tree":
         return _logistic().fit(train)
-    largest = max(len(s.labels) for s in encoders if isinstance(s, StringIndexerModel)) + 1
+    largest = max(encoders[0].sizes.values()) + 1
     bins = max(TREE_MIN_BINS, largest)
     return _tree(bins).fit(spread(train, bins))
 
@@ -80,18 +87,17 @@ def evaluate(classifier, encoded):
     )
 
 
-def train_and_evaluate(features, model, by_content=True):
+def train_and_evaluate(features, model, by_content=True, index_path=None):
     """The fitted pipeline, from feature rows to predictions, and its evaluation.
 
-    The features are read twice: to check the bucket bounds, and to split and compact.
-    The compact rows are encoded once and written, for all passes of the training and
-    for the evaluation.
+    The features are read once, to split and compact them. The compact rows are encoded once
+    and written, for all passes of the training and for the evaluation. The pipeline reads the
+    categories from their written index, which ``index_path`` lets outlive a job.
     """
     if model not in MODELS:
         raise ValueError(f"model must be one of {MODELS}, not {model!r}")
-    check_bucket_bounds(features)
     rows = split_and_compact(features, by_content)
-    encoders = fit_encoders(rows.filter(F.col("set") == "Train"), model)
+    encoders = fit_encoders(rows.filter(F.col("set") == "Train"), model, index_path)
     vector = encoders[-1].getOutputCol()
     encoded = keep(
         PipelineModel(encoders).transform(rows).select("set", vector, "DelayIndex", "weight"),
@@ -109,13 +115,15 @@ def tree_description(spark, fitted):
 
 
 def run_training(spark, features, output, model, file_format="parquet", by_content=True):
-    """Train, evaluate and write the report, for a tree also its rules.
+    """Train, evaluate and write the report and the categories, for a tree also its rules.
 
     The stages are deleted at the end, so a regression's training summary has no rows then.
     """
     table = read_features(spark, features, file_format)
     with job(spark):
-        fitted, evaluation = train_and_evaluate(table, model, by_content)
+        fitted, evaluation = train_and_evaluate(
+            table, model, by_content, f"{output}/{model}/categories"
+        )
         write_lines(report_lines(evaluation), f"{output}/{model}/model-evaluation")
         if model == "tree":
             write_lines(tree_description(spark, fitted), f"{output}/{model}/tree-model")

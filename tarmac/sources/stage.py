@@ -63,10 +63,13 @@ def delete(spark, path):
 
 
 def keep(table, name, compression="snappy", path=None):
-    """Write the table as a stage, at a path of its own, and return the written copy."""
+    """Write the table as a stage and return the written copy.
+
+    At a ``path`` of its own it replaces what is there, and outlives the job.
+    """
     spark = table.sparkSession
     path = path or new_stage_path(spark, name)
-    table.write.option("compression", compression).parquet(path)
+    table.write.mode("overwrite").option("compression", compression).parquet(path)
     return spark.read.schema(table.schema).parquet(path)
 
 

@@ -33,8 +33,8 @@ def test_only_draws_and_models_lack_sql():
     assert set(registry.OWN_QUERIES) - set(registry.oracle_sql()) == {
         "sample_bernoulli_20",
         "split_random_70_30",
-        "tree_evaluation",
         "logistic_evaluation",
+        "logistic_certificate",
         "model_report",
         "tree_description",
     }

@@ -1,3 +1,5 @@
+from functools import partial
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
@@ -6,9 +8,9 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from tarmac import schemas
-from tarmac.operators import encoding, metrics, sampling
+from tarmac.operators import encoding, joins, metrics, sampling
 from tarmac.plans import training
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -145,13 +147,36 @@ def test_missing_label_fails(spark):
         encoding.label_indexer().transform(table).collect()
 
 
-def test_bounds_are_checked_first(features):
+def test_bounds_are_checked_on_the_way(features):
     low = features.withColumn("Distance", F.lit(-1.0))
     with pytest.raises(ValueError, match="Distance.*6000"):
         training.train_and_evaluate(low, "tree")
     for bad in (F.lit(None).cast("double"), F.lit(float("nan"))):
         with pytest.raises(ValueError, match="AverageTaxiOut"):
-            encoding.check_bucket_bounds(features.withColumn("AverageTaxiOut", bad))
+            training.split_and_compact(features.withColumn("AverageTaxiOut", bad))
+
+
+def test_buckets_equal_the_bucketizer(spark):
+    values = [float(v) for v in range(0, 40)] + [0.5, 4.999, 2999.0, 1e9, float("inf")]
+    for column in encoding.BUCKETS:
+        table = spark.createDataFrame([(v,) for v in values], f"{column} double")
+        theirs = encoding.bucketizer(column).transform(table)
+        assert theirs.where(F.col(f"{column}Bucketed") != encoding.bucket(column)).isEmpty()
+
+
+def test_features_are_read_once(spark, features, tmp_path):
+    """A counter in the plan: every row of the features passes it once in a training."""
+    features.write.parquet(str(tmp_path / "features"))
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    table = spark.read.parquet(str(tmp_path / "features"))
+    training.train_and_evaluate(table.mapInArrow(count, table.schema), "logistic")
+    assert passed.value == 6000
 
 
 def test_bucketizer_itself_also_fails(features):
@@ -165,21 +190,54 @@ def test_unknown_model(features):
         training.train_and_evaluate(features, "forest")
 
 
+def _labels(indexer):
+    found = indexer.index.orderBy("index").collect()
+    return [[r.value for r in found if r.column == c] for c in encoding.CATEGORIES]
+
+
 def test_indexer_equals_spark_order(features):
-    ours = encoding.fit_category_indexer(features).stages
     theirs = StringIndexer(
         inputCols=list(encoding.CATEGORIES), outputCols=[f"i{c}" for c in encoding.CATEGORIES]
     ).fit(features).labelsArray
-    assert [m.labels for m in ours] == [list(a) for a in theirs]
+    assert _labels(encoding.fit_category_indexer(features)) == [list(a) for a in theirs]
     compact = encoding.compact(features)
-    weighted = encoding.fit_category_indexer(compact, "weight").stages
-    assert [m.labels for m in weighted] == [list(a) for a in theirs]
+    weighted = encoding.fit_category_indexer(compact, "weight")
+    assert _labels(weighted) == [list(a) for a in theirs]
 
 
-def test_too_many_categories_fail(features, monkeypatch):
-    monkeypatch.setattr(encoding, "MAX_CATEGORIES", 3)
-    with pytest.raises(ValueError, match="more than 3"):
-        encoding.fit_category_indexer(features)
+def test_missing_and_unseen_categories_share_the_spare_index(features):
+    fitted = encoding.fit_category_indexer(features)
+    odd = features.limit(1).withColumns(
+        {"Airline": F.lit(None).cast("string"), "OriginAirport": F.lit("none of them")}
+    )
+    row = fitted.transform(odd).first()
+    assert row.AirlineIndex == fitted.sizes["Airline"] == 5
+    assert row.OriginAirportIndex == fitted.sizes["OriginAirport"] == 8
+
+
+def test_many_categories(spark, features, monkeypatch, conf):
+    """200,000 names: ranked by several tasks, joined with and without a broadcast."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    many = features.limit(1).crossJoin(spark.range(240_000, numPartitions=4)).withColumn(
+        "OriginAirport", F.concat(F.lit("P"), F.col("id") % 200_000)
+    ).drop("id")
+    fitted = encoding.fit_category_indexer(many)
+    assert fitted.sizes["OriginAirport"] == 200_000
+    index = fitted.index.where(F.col("column") == "OriginAirport")
+    size = fitted.sizes["OriginAirport"]
+    assert index.agg(F.min("index"), F.max("index"), F.countDistinct("index")).first() == (
+        0.0, size - 1.0, size,
+    )
+    sums = []
+    for limit in (joins.BROADCAST_LIMIT, 0):
+        monkeypatch.setattr(
+            encoding, "broadcast_if_small", partial(joins.broadcast_if_small, limit=limit)
+        )
+        indexed = fitted.transform(many)
+        assert ("BroadcastHashJoin" in plan(indexed)) == bool(limit)
+        sums.append(indexed.agg(F.sum("OriginAirportIndex"), F.count("*")).first())
+    assert sums[0] == sums[1] and sums[0][1] == 240_000
 
 
 def _predictions(spark, tp, fp, fn, tn):

@@ -8,6 +8,7 @@ from tarmac.functions.scalars import (
     int_to_double,
     latitude_area,
     longitude_area,
+    strict_double,
     strict_int,
     time_slot,
 )
@@ -101,18 +102,12 @@ def _origin_profile(airports, airport_statistic):
     return _areas(airports, "Origin").join(averages, "Origin_name").drop("Origin_name")
 
 
-def feature_table(
-    flights, airlines, airports, airline_statistic, airport_statistic, limit=BROADCAST_LIMIT
-):
-    """One row of 15 model inputs per valid flight that finds all its partners.
-
-    The statistics are joined to their dimensions first, by name, and the areas are
-    worked out per airport: inner joins may be regrouped, and the flights, the large
-    side, then take part in three joins instead of five.
+def feature_facts(flights):
+    """Flights with the typed columns that features and statistics are made of.
 
-    The statistics cover all flights, so also those a model is later tested on.
+    A malformed number or a departure without an hour fails whatever reads them.
     """
-    facts = flights.select(
+    return flights.select(
         F.col("AIRLINE").alias("Airline"),
         time_slot(F.col("SCHEDULED_DEPARTURE")).alias("TimeSlot"),
         strict_int(F.col("MONTH")).alias("Month"),
@@ -120,8 +115,32 @@ def feature_table(
         int_to_double(strict_int(F.col("DISTANCE"))).alias("Distance"),
         F.col("ORIGIN_AIRPORT").alias("OriginAirport"),
         F.col("DESTINATION_AIRPORT").alias("destination"),
-        delay_label(strict_int(F.col("ARRIVAL_DELAY"))).alias("Delay"),
+        strict_int(F.col("ARRIVAL_DELAY")).alias("arrival_delay"),
+        strict_double(F.col("TAXI_OUT")).alias("taxi_out"),
     )
+
+
+def feature_table(
+    flights, airlines, airports, airline_statistic, airport_statistic, limit=BROADCAST_LIMIT
+):
+    """One row of 15 model inputs per valid flight that finds all its partners.
+
+    The statistics cover all flights, so also those a model is later tested on.
+    """
+    return features_of_facts(
+        feature_facts(flights), airlines, airports, airline_statistic, airport_statistic, limit
+    )
+
+
+def features_of_facts(
+    facts, airlines, airports, airline_statistic, airport_statistic, limit=BROADCAST_LIMIT
+):
+    """The feature table of typed facts.
+
+    The statistics are joined to their dimensions first, by name, and the areas are
+    worked out per airport: inner joins may be regrouped, and the flights, the large
+    side, then take part in three joins instead of five.
+    """
     by_airline, by_origin, by_destination = broadcast_if_small(
         _airline_profile(airlines, airline_statistic),
         _origin_profile(airports, airport_statistic),
@@ -129,7 +148,8 @@ def feature_table(
         limit=limit,
     )
     return (
-        facts.join(by_airline, F.col("Airline") == F.col("airline_code"))
+        facts.withColumn("Delay", delay_label(F.col("arrival_delay")))
+        .join(by_airline, F.col("Airline") == F.col("airline_code"))
         .join(
             by_origin,
             (F.col("OriginAirport") == F.col("Origin_code"))

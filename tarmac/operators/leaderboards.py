@@ -93,6 +93,39 @@ def airport_slot_taxi_statistic(clean, airports):
     )
 
 
+def delay_and_taxi_state(facts):
+    """Sums and counts of both measures per airline, airport and slot.
+
+    Both statistics roll up from it, so the flights are read once for the two.
+    """
+    return facts.groupBy("Airline", "OriginAirport", "TimeSlot").agg(
+        F.sum(F.col("arrival_delay").cast("double")).alias("delay_total"),
+        F.count("arrival_delay").alias("delay_n"),
+        F.sum("taxi_out").alias("taxi_total"),
+        F.count("taxi_out").alias("taxi_n"),
+    )
+
+
+def _rolled_up(state, keys, measure):
+    parts = state.select(
+        *keys, F.col(f"{measure}_total").alias("total"), F.col(f"{measure}_n").alias("n")
+    )
+    return merge_states([parts], list(keys))
+
+
+def statistics_of_state(state, airlines, airports):
+    """The averages per airline name, and per airport name and slot, of the common state."""
+    names = airlines.select(F.col("IATA_CODE").alias("Airline"), F.col("AIRLINE").alias("airline_name"))
+    by_airline = _rolled_up(state, ["Airline"], "delay").join(names, "Airline").select(
+        F.col("airline_name").alias("airline"), F.col("average").alias("average_delay")
+    )
+    names = airports.select(F.col("IATA_CODE").alias("OriginAirport"), F.col("AIRPORT").alias("airport"))
+    by_airport = _rolled_up(state, ["OriginAirport", "TimeSlot"], "taxi").join(names, "OriginAirport")
+    return by_airline, by_airport.select(
+        "airport", F.col("TimeSlot").alias("time_slot"), F.col("average").alias("average_taxi_out")
+    )
+
+
 def average_leaderboard(averages, average, *ties, within=()):
     """Averages ranked from the highest down, equal ones by the ``ties`` columns."""
     order = [F.desc(average), *[F.asc(c) for c in ties]]

@@ -1,30 +1,31 @@
 """From raw tables and statistics to the feature table and its sample."""
 
 from tarmac.operators.cleaning import feature_flights
-from tarmac.operators.enrichment import feature_table
-from tarmac.operators.leaderboards import airline_delay_statistic, airport_slot_taxi_statistic
+from tarmac.operators.enrichment import feature_facts, feature_table, features_of_facts
+from tarmac.operators.leaderboards import delay_and_taxi_state, statistics_of_state
 from tarmac.operators.sampling import bernoulli_sample, hash_sample
 from tarmac.plans.leaderboards import read_statistics
 from tarmac.plans.preprocessing import read_raw
 from tarmac.schemas import FEATURES
 from tarmac.sources.csv_tables import read_positional_csv
 from tarmac.sources.sinks import write_csv, write_parquet
-from tarmac.sources.stage import keep_all
+from tarmac.sources.stage import keep, keep_all
 
 
 def build_features(flights, airlines, airports):
     """The feature table of raw tables, with the statistics worked out on the way.
 
-    The flights are read three times, once per statistic and once for the features,
-    so the columns in use are kept as a stage. The statistics are kept too: they are
+    The flights are parsed once, into a typed stage, which is read twice: for one state that
+    both statistics roll up from, and for the features. The statistics are kept: they are
     small, and the size checks before the joins then cost next to nothing.
     """
-    flights, airports = keep_all(flights=feature_flights(flights), airports=airports)
+    facts, airports = keep_all(facts=feature_facts(feature_flights(flights)), airports=airports)
+    state = keep(delay_and_taxi_state(facts), "state")
+    airline_statistic, airport_statistic = statistics_of_state(state, airlines, airports)
     airline_statistic, airport_statistic = keep_all(
-        airline_statistic=airline_delay_statistic(flights, airlines),
-        airport_statistic=airport_slot_taxi_statistic(flights, airports),
+        airline_statistic=airline_statistic, airport_statistic=airport_statistic
     )
-    return feature_table(flights, airlines, airports, airline_statistic, airport_statistic)
+    return features_of_facts(facts, airlines, airports, airline_statistic, airport_statistic)
 
 
 def run_feature_job(spark, raw, statistics, output, file_format="parquet"):

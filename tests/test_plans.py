@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from tarmac import schemas
-from tarmac.operators import cleaning, leaderboards
-from tarmac.sources import binding
+from tarmac.operators import cleaning, enrichment, leaderboards
+from tarmac.plans.features import build_features
+from tarmac.sources import binding, stage
 from tarmac.sources.csv_tables import read_header_csv
 from tarmac.sources.sinks import write_csv
-from tests.conftest import DATA, plan
+from tests.conftest import DATA, plan, rows
 
 
 def test_filters_and_columns_reach_a_parquet_scan(spark, conf, flights, tmp_path):
@@ -67,3 +68,34 @@ def test_filters_and_columns_reach_a_csv_scan(spark, conf, flights, tmp_path):
     schema = text[text.index("ReadSchema"):].split(">")[0]
     for unused in ("TAXI_OUT", "DISTANCE", "SCHEDULED_DEPARTURE"):
         assert unused not in schema
+
+
+def test_flights_are_parsed_once_and_read_twice(spark, conf, flights, airlines, airports):
+    """Raw rows pass one time; the typed stage feeds the state and the features."""
+    conf("spark.sql.maxMetadataStringLength", "1000")
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    counted = flights.mapInArrow(count, flights.schema)
+    with stage.job(spark):
+        features = build_features(counted, airlines, airports)
+        text = plan(features)
+        assert features.count() == 6
+    assert passed.value == flights.count()
+    assert text.count("arrival_delay:int") == 1 and ",taxi_out:double" not in text
+    assert "MapInArrow" not in text and text.count("SCHEDULED_DEPARTURE") == 0
+
+
+def test_statistics_roll_up_from_one_state(flights, airlines, airports):
+    clean = cleaning.clean_flights(flights)
+    state = leaderboards.delay_and_taxi_state(
+        enrichment.feature_facts(cleaning.feature_flights(flights))
+    )
+    by_airline, by_airport = leaderboards.statistics_of_state(state, airlines, airports)
+    assert rows(by_airline) == rows(leaderboards.airline_delay_statistic(clean, airlines))
+    expected = leaderboards.airport_slot_taxi_statistic(clean, airports)
+    assert rows(by_airport) == rows(expected.select(by_airport.columns))

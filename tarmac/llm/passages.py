@@ -24,7 +24,7 @@ ROWS, WIDTH_BITS = 2, 24
 # Bytes of text for each slice: windows are fewer, so counters are mostly free.
 SLICE_BYTES = 1 << 22
 # Documents that share one partition sketch, and bytes of text hashed at once.
-CHUNK_BITS, BATCH_BYTES = 12, 1 << 18
+CHUNK_BITS, BATCH_BYTES = 10, 1 << 18
 # Rows sent to a Python worker at once: a bound of its memory, as texts may be long.
 BATCH_ROWS = 500
 
@@ -145,6 +145,21 @@ def merge_sketches(sketches):
         yield places[total[places] > 1]
 
 
+def _copy(batches):
+    """Texts normalised and compressed, which every later step reads, with size and hash."""
+    pack_text = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = [normalised(text.as_py() or b"") for text in batch["text"]]
+        columns = [
+            pa.array([len(text) + 1 for text in texts], pa.int64()),
+            pa.array([xxhash.xxh3_64_intdigest(text) >> 1 for text in texts], pa.int64()),
+            pa.array([pack_text(text) for text in texts], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [batch["rid"], batch["key"], *columns], names=["rid", "key", "width", "tie", "text"]
+        )
+
+
 def _sketches(size, slices, chunk_bits):
     schema = pa.schema(
         [("chunk", pa.int64()), ("row", pa.int32()), ("slice", pa.int32()), ("cells", pa.binary())]
@@ -160,6 +175,7 @@ def _sketches(size, slices, chunk_bits):
 
     def sketch(batches):
         chunk, hashes, texts, held = None, [], [], 0
+        text_of = zstandard.ZstdDecompressor().decompress
 
         def hashed():
             nonlocal texts, held
@@ -176,7 +192,7 @@ def _sketches(size, slices, chunk_bits):
                     if hashes:
                         yield rows_of(chunk, hashes)
                     chunk, hashes = rid >> chunk_bits, []
-                for _, part in segments(normalised(text.as_py()), size):
+                for _, part in segments(text_of(text.as_py()), size):
                     if part.count(b" ") >= size - 1:
                         texts.append(part)
                         held += len(part)
@@ -259,16 +275,15 @@ def _mark(size, slices):
         return marks
 
     def finished(docs, often):
-        """Result rows of documents given as (rid, place, normalised text)."""
+        """Result rows of documents given as (rid, place, text, compressed text)."""
         marks = marks_of(docs, often)
         none = np.empty(0, np.int64)
-        pack_text = zstandard.ZstdCompressor(level=1).compress
         rows = []
-        for i, (rid, place, text) in enumerate(docs):
+        for i, (rid, place, text, packed) in enumerate(docs):
             n_words = text.count(b" ") + 1 if text else 0
             if i in marks:
                 starts, digests = map(np.concatenate, zip(*marks[i]))
-                rows.append((rid, place, n_words, None, pack_text(text), starts, *digests.T))
+                rows.append((rid, place, n_words, None, packed, starts, *digests.T))
             else:
                 sha = hashlib.sha256(text).hexdigest()
                 rows.append((rid, place, n_words, sha, None, none, none, none))
@@ -277,6 +292,7 @@ def _mark(size, slices):
 
     def mark(batches):
         chunk, answers, often, places, docs, held = None, {}, None, {}, [], 0
+        text_of = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             columns = [batch[name].to_pylist() for name in ("chunk", "kind", "id", "number")]
             for own, kind, number, other, data in zip(*columns, batch["data"]):
@@ -295,8 +311,9 @@ def _mark(size, slices):
                             np.unique(np.concatenate(answers.pop(row, [np.empty(0, _U)])))
                             for row in range(ROWS)
                         ]
-                    text = normalised(data.as_py())
-                    docs.append((number, places.pop(number), text))
+                    packed = data.as_py()
+                    text = text_of(packed)
+                    docs.append((number, places.pop(number), text, packed))
                     held += len(text) + 64
                     if held >= BATCH_BYTES:
                         yield finished(docs, often)
@@ -355,8 +372,7 @@ def _places(copy):
     Ranges of the order are summed each on its own; the sums of ranges are one row a range.
     """
     order = ["key", "tie", "rid"]
-    width = F.octet_length("text").cast("long") + 1
-    rows = copy.select("rid", "key", F.xxhash64("text").alias("tie"), width.alias("width"))
+    rows = copy.select("rid", "key", "tie", "width")
     rows = stage.keep(
         rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "order"
     )
@@ -392,18 +408,20 @@ def remove_repeated_passages(docs, key="doc_id", text="text", size=WINDOW, chunk
     clean_up = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     with stage.job(spark), settings(spark, **{clean_up: "true", batch: str(BATCH_ROWS)}):
+        kind = docs.schema[key].dataType.simpleString()
         copied = stage.new_stage_path(spark, "copy")
+        rows = docs.select(
+            F.monotonically_increasing_id().alias("rid"),
+            F.col(key).alias("key"),
+            F.col(text).cast("binary").alias("text"),
+        )
         copy = stage.keep(
-            docs.select(
-                F.monotonically_increasing_id().alias("rid"),
-                F.col(key).alias("key"),
-                F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"),
-            ),
+            rows.mapInArrow(_copy, f"rid long, key {kind}, width long, tie long, text binary"),
             "copy",
-            "zstd",
+            "none",
             copied,
         )
-        total = copy.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        total = copy.agg(F.sum("width")).first()[0] or 0
         slices = max(shuffle_partitions(spark), -(-total // SLICE_BYTES))
         places = stage.keep(_places(copy), "places")
         chunk = F.shiftright("rid", chunk_bits)
@@ -451,7 +469,7 @@ def remove_repeated_passages(docs, key="doc_id", text="text", size=WINDOW, chunk
             .groupBy("rid")
             .agg(F.collect_list("at").alias("firsts"))
         )
-        kind = docs.schema[key].dataType.simpleString()
+        firsts = stage.keep(firsts, "firsts", "zstd")
         keys = places.select("rid", "key")
         cut = (
             marked.where("body IS NOT NULL")

@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -90,6 +91,37 @@ def trimmed_record_scan(spark, sf_dir):
     return csv_tables.read_positional_csv(spark, path, schemas.CLEAN_FLIGHTS, trim=True)
 
 
+MEASURED_FLIGHTS = "AIRLINE string, ORIGIN_AIRPORT string, SCHEDULED_DEPARTURE string, " \
+    "TAXI_OUT double, ARRIVAL_DELAY double"
+
+
+def _ragged_flights(spark, sf_dir):
+    """Clean flights as lines: of some airlines short, long or with a text for a number."""
+    clean = _clean(spark, sf_dir)
+    texts = [F.coalesce(F.col(c), F.lit("")) for c in clean.columns]
+    line = (
+        F.when(F.col("AIRLINE") == "03", F.concat_ws(",", *texts[:3]))
+        .when(F.col("AIRLINE") == "07", F.concat_ws(",", *texts, F.lit("x"), F.lit("y")))
+        .when(F.col("AIRLINE") == "11", F.concat_ws(",", *texts[:3], F.lit("n/a"), texts[4]))
+        .otherwise(F.concat_ws(",", *texts))
+    )
+    path = stage.new_stage_path(spark, "ragged-csv")
+    clean.select(line).write.text(path)
+    schema = T.StructType.fromDDL(MEASURED_FLIGHTS)
+    return csv_tables.read_ragged_csv(spark, path, schema)
+
+
+def ragged_csv_scan(spark, sf_dir):
+    return _ragged_flights(spark, sf_dir)[0]
+
+
+def ragged_lines_aside(spark, sf_dir):
+    aside = _ragged_flights(spark, sf_dir)[1]
+    return aside.groupBy("fields", "reason", "kept").agg(
+        F.count("*").alias("n"), F.min("line").alias("first_line"), F.max("line").alias("last_line")
+    )
+
+
 def stage_roundtrip(spark, sf_dir):
     state = leaderboards.airport_slot_taxi_state(_clean(spark, sf_dir))
     return stage.keep(stage.keep(state, "state", "snappy"), "state-plain", "none")
@@ -313,7 +345,7 @@ def split_hash_70_30(spark, sf_dir):
 
 
 def split_random_70_30(spark, sf_dir):
-    return stage.keep(sampling.random_split(_features(spark, sf_dir)), "split-features")
+    return sampling.random_split(_features(spark, sf_dir))
 
 
 # Model inputs
@@ -426,6 +458,8 @@ OWN_QUERIES = {
     "csv_positional_scan": csv_positional_scan,
     "feature_table_scan": feature_table_scan,
     "trimmed_record_scan": trimmed_record_scan,
+    "ragged_csv_scan": ragged_csv_scan,
+    "ragged_lines_aside": ragged_lines_aside,
     "stage_roundtrip": stage_roundtrip,
     "csv_sink_roundtrip": csv_sink_roundtrip,
     "clean_flights": clean_flights,

@@ -214,6 +214,9 @@ _FEATURES = """
            "DestinationLongitudeArea", "DestinationState", "OriginAirport",
            "AverageAirlineDelay", "Delay", "AverageTaxiOut" """
 
+_DRAW = """cast('0x' || substr(md5(concat_ws('|', 1, "Airline", "TimeSlot", "Month",
+    "DayOfWeek", cast("Distance" AS bigint), "OriginState", "DestinationState", "OriginAirport",
+    cast("Delay" AS bigint), turn)), 1, 8) AS bigint)"""
 _VECTOR = (
     "AirlineIndex AverageAirlineDelayBucketed OriginStateIndex DestinationStateIndex "
     "TimeSlotIndex Month DayOfWeek DistanceBucketed OriginLatitudeArea OriginLongitudeArea "
@@ -257,6 +260,30 @@ def oracle_sql():
         "csv_positional_scan": _sql(_CLEAN, "clean"),
         "feature_table_scan": _sql(_FEATURES + "FROM features", "features"),
         "trimmed_record_scan": _sql(_CLEAN, "clean"),
+        "ragged_csv_scan": _sql(
+            """SELECT AIRLINE, ORIGIN_AIRPORT, SCHEDULED_DEPARTURE,
+                      CASE WHEN AIRLINE <> '03' THEN cast(TAXI_OUT AS double) END AS TAXI_OUT,
+                      CASE WHEN AIRLINE <> '03' THEN cast(ARRIVAL_DELAY AS double) END
+                          AS ARRIVAL_DELAY
+               FROM clean WHERE AIRLINE <> '11'""",
+            "clean",
+        ),
+        "ragged_lines_aside": _sql(
+            """SELECT fields, reason, reason <> 'malformed' AS kept, count(*) AS n,
+                      min(line) AS first_line, max(line) AS last_line
+               FROM (SELECT CASE AIRLINE WHEN '03' THEN 3 WHEN '07' THEN 7 ELSE 5 END AS fields,
+                            CASE AIRLINE WHEN '03' THEN 'short' WHEN '07' THEN 'long'
+                                         ELSE 'malformed' END AS reason,
+                            AIRLINE || ',' || ORIGIN_AIRPORT || ',' || SCHEDULED_DEPARTURE
+                            || CASE AIRLINE WHEN '03' THEN ''
+                                            WHEN '11' THEN ',n/a,' || coalesce(ARRIVAL_DELAY, '')
+                                            ELSE ',' || coalesce(TAXI_OUT, '') || ','
+                                                 || coalesce(ARRIVAL_DELAY, '') || ',x,y' END
+                                AS line
+                     FROM clean WHERE AIRLINE IN ('03', '07', '11'))
+               GROUP BY ALL""",
+            "clean",
+        ),
         "stage_roundtrip": _sql(_TAXI_STATE, "slotted"),
         "csv_sink_roundtrip": _sql("SELECT * FROM airport_statistic", "airport_statistic"),
         "clean_flights": _sql(_CLEAN, "clean"),
@@ -380,6 +407,15 @@ def oracle_sql():
             FROM hashed""",
             "hashed",
         ),
+        "sample_bernoulli_20": _sql(
+            _FEATURES + f"FROM hashed WHERE {_DRAW} * 100 < 20 * 4294967296", "hashed"
+        ),
+        "split_random_70_30": _sql(
+            _FEATURES + f""", CASE WHEN {_DRAW} * 100 < 70 * 4294967296
+                                  THEN 'Train' ELSE 'Test' END AS "set"
+            FROM hashed""",
+            "hashed",
+        ),
         "string_index": _sql("SELECT * FROM category_index", "category_index"),
         "bucketize_distance": _bucket("Distance", 0, 200, 14),
         "bucketize_average_delay": _bucket("AverageAirlineDelay", -1, 3, 5),

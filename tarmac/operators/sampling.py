@@ -1,4 +1,6 @@
-"""Samples and splits."""
+"""Samples and splits, the same on every layout of a table."""
+
+import random
 
 from pyspark.sql import functions as F
 
@@ -23,10 +25,27 @@ def _text(table, name):
     return (F.col(name).cast("long") if whole else F.col(name)).cast("string")
 
 
+def _hash(*texts):
+    """A whole number below 2^32 from the texts."""
+    digest = F.md5(F.concat_ws("|", *texts))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
 def hash_percent(table, key=CONTENT_KEY):
     """A number 0..99 from the row's content, the same on every layout of the table."""
-    digest = F.md5(F.concat_ws("|", *[_text(table, c) for c in key]))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
+    return _hash(*[_text(table, c) for c in key]) % 100
+
+
+def _drawn(table, percent, seed, key):
+    """Each row on its own, with ``_hit``, true with the given chance.
+
+    The draw comes from the seed, the row's content and its number among equal rows, so it does
+    not matter how the table is laid out, or when it is read again.
+    """
+    counted = table.groupBy(*table.columns).agg(F.count("*").alias("_n"))
+    single = _repeated(counted, F.col("_n"), number="_turn")
+    draw = _hash(F.lit(str(seed)), *[_text(table, c) for c in key], F.col("_turn").cast("string"))
+    return single.select(*table.columns, (draw * 100 < F.lit(percent << 32)).alias("_hit"))
 
 
 def shared_out(weight, percent, chance):
@@ -41,14 +60,21 @@ def _counted(table, key):
     return counted.withColumn("_chance", hash_percent(counted, key))
 
 
-def _repeated(table, times):
-    """Each row so many times, in runs of bounded length."""
+def _repeated(table, times, number=None):
+    """Each row so many times, in runs of bounded length; ``number`` names a column for 1, 2, ...
+
+    The runs are dealt out before they are filled, so a row that makes up a third of the table
+    is not unfolded by one task.
+    """
     run = 4096
     runs = table.withColumn("_left", times).withColumn(
         "_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_left") - 1, F.lit(run).cast("long")))
     )
     last = F.least(F.col("_left") - F.col("_at"), F.lit(run)).cast("int")
-    return runs.withColumn("_one", F.explode(F.sequence(F.lit(1), last))).drop("_left", "_at", "_one")
+    rows = runs.hint("rebalance").withColumn("_one", F.explode(F.sequence(F.lit(1), last)))
+    if number:
+        rows = rows.withColumn(number, F.col("_at") + F.col("_one"))
+    return rows.drop("_left", "_at", "_one")
 
 
 def hash_sample(table, percent=SAMPLE_PERCENT, key=CONTENT_KEY):
@@ -58,9 +84,10 @@ def hash_sample(table, percent=SAMPLE_PERCENT, key=CONTENT_KEY):
     return _repeated(taken.where("_n > 0"), F.col("_n")).select(*table.columns)
 
 
-def bernoulli_sample(table, percent=SAMPLE_PERCENT, seed=None):
-    """Each row on its own with the given chance, without replacement."""
-    return table.sample(withReplacement=False, fraction=percent / 100, seed=seed)
+def bernoulli_sample(table, percent=SAMPLE_PERCENT, seed=None, key=CONTENT_KEY):
+    """Each row on its own with the given chance, without replacement; no seed draws one."""
+    seed = random.randrange(1 << 31) if seed is None else seed
+    return _drawn(table, percent, seed, key).where("_hit").drop("_hit")
 
 
 def hash_split(table, train_percent=TRAIN_PERCENT, key=CONTENT_KEY):
@@ -86,11 +113,7 @@ def hash_split_weights(table, train_percent=TRAIN_PERCENT, key=CONTENT_KEY):
     )
 
 
-def random_split(table, train_percent=TRAIN_PERCENT, seed=SPLIT_SEED):
-    """The table with a ``set`` column drawn row by row.
-
-    The draw depends on how the table is partitioned, not only on the seed: write the
-    result before using both sets.
-    """
-    train = F.rand(seed) < train_percent / 100
-    return table.withColumn("set", F.when(train, "Train").otherwise("Test"))
+def random_split(table, train_percent=TRAIN_PERCENT, seed=SPLIT_SEED, key=CONTENT_KEY):
+    """The table with a ``set`` column drawn row by row."""
+    drawn = _drawn(table, train_percent, seed, key)
+    return drawn.select(*table.columns, F.when(F.col("_hit"), "Train").otherwise("Test").alias("set"))

@@ -37,3 +37,54 @@ def read_positional_csv(spark, path, schema, trim=False):
             for f in table.schema.fields
         ]
     )
+
+
+# Columns besides those of the layout, while ragged lines are read.
+_REST, _LINE = "_rest", "_line"
+SHORT, LONG, MALFORMED = "short", "long", "malformed"
+
+
+def _fields_in(line):
+    """Number of fields of a line: separators outside quotes, and one."""
+    plain = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
+
+
+def read_ragged_csv(spark, path, schema, trim=False):
+    """A headerless CSV whose lines may be short, long or malformed, as two tables.
+
+    The first holds the rows: a short line is filled with nulls, of a long one the further
+    fields are dropped, and a line with a field that its type cannot hold is left out. The
+    second holds the lines set aside for a look: ``line``, its number of ``fields``, ``reason``
+    (``short``, ``long`` or ``malformed``, the last one first) and ``kept``, whether a row was
+    made of it. Blank lines are no lines.
+    """
+    names = schema.names
+    texts = ", ".join(f"`{name}` string" for name in [*names, _REST, _LINE])
+    # One column more than the layout has, so no line passes for regular and all keep their text;
+    # the parser is to see that column whichever columns are read.
+    lines = (
+        spark.read.options(**_FORMAT)
+        .option("ignoreLeadingWhiteSpace", trim)
+        .option("ignoreTrailingWhiteSpace", trim)
+        .option("columnPruning", False)
+        .csv(path, schema=texts, mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE)
+    )
+    if trim:
+        lines = lines.select([F.trim(c).alias(c) if c in names else F.col(c) for c in lines.columns])
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    bad = F.lit(False)
+    for name, value in typed.items():
+        bad = bad | (F.col(name).isNotNull() & value.isNull())
+    fields = _fields_in(F.col(_LINE))
+    reason = (
+        F.when(bad, MALFORMED).when(fields < len(names), SHORT).when(fields > len(names), LONG)
+    )
+    rows = lines.where(~bad).select([value.alias(name) for name, value in typed.items()])
+    aside = lines.select(
+        F.col(_LINE).alias("line"),
+        fields.alias("fields"),
+        reason.alias("reason"),
+        (~bad).alias("kept"),
+    ).where("reason IS NOT NULL")
+    return rows, aside

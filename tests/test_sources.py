@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac import schemas
 from tarmac.sources import csv_tables, sinks, stage
@@ -192,3 +193,52 @@ def test_stages_of_a_job_are_deleted(spark, odd):
     assert _stage_folders(spark) == before
     stage.keep(odd, "after")
     assert len(_stage_folders(spark) - before) == 1
+
+
+RAGGED = """AA,Alpha,1.5
+BB,Bravo
+CC
+DD,"Delta, one",2.5,more,"and, more"
+EE,Echo,five
+FF,"Fox ""Trot""\",,
+GG,Golf,
+"HH, Inc.",x
+
+II,,n/a,too,long
+"""
+RAGGED_SCHEMA = (
+    T.StructType().add("code", "string").add("name", "string").add("value", "double")
+)
+
+
+def test_ragged_lines(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(RAGGED)
+    found, aside = csv_tables.read_ragged_csv(spark, str(tmp_path), RAGGED_SCHEMA)
+    assert rows(found) == sorted(
+        [
+            ("AA", "Alpha", 1.5), ("BB", "Bravo", None), ("CC", None, None),
+            ("DD", "Delta, one", 2.5), ("FF", 'Fox "Trot"', None), ("GG", "Golf", None),
+            ("HH, Inc.", "x", None),
+        ],
+        key=repr,
+    )
+    assert found.schema == RAGGED_SCHEMA
+    assert {(r["line"][:2], r["fields"], r["reason"], r["kept"]) for r in aside.collect()} == {
+        ("BB", 2, "short", True), ("CC", 1, "short", True), ("DD", 5, "long", True),
+        ("EE", 3, "malformed", False), ('"F', 4, "long", True), ('"H', 2, "short", True),
+        ("II", 5, "malformed", False),
+    }
+
+
+def test_ragged_lines_trimmed(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(' AA , Alpha , 1.5 \n BB , x\nCC, ,  \n')
+    found, aside = csv_tables.read_ragged_csv(spark, str(tmp_path), RAGGED_SCHEMA, trim=True)
+    assert rows(found) == [("AA", "Alpha", 1.5), ("BB", "x", None), ("CC", None, None)]
+    assert [r["reason"] for r in aside.collect()] == ["short"]
+
+
+def test_regular_lines_leave_nothing_aside(spark, odd, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_csv(odd, path)
+    found, aside = csv_tables.read_ragged_csv(spark, path, odd.schema)
+    assert rows(found) == READ_BACK and aside.isEmpty()

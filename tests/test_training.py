@@ -312,10 +312,21 @@ def test_samples(features):
     assert {r["set"] for r in drawn} == {"Train", "Test"}
 
 
-def test_random_split_is_fixed_once_written(features):
-    rows_ = training.split_and_compact(features, by_content=False)
-    assert rows_.agg(F.sum("weight")).first()[0] == 6000
-    assert rows(rows_) == rows(rows_)
+def test_draws_ignore_layout(features):
+    for draw in (partial(sampling.bernoulli_sample, seed=4), sampling.random_split):
+        one = rows(draw(features.repartition(1)))
+        assert one == rows(draw(features.repartition(7, "Month")))
+        assert one != rows(draw(features, seed=5))
+
+
+def test_equal_rows_are_drawn_one_by_one(spark):
+    columns = list(sampling.CONTENT_KEY)
+    table = spark.createDataFrame([("a", "Night", 1, 1, 5.0, "s", "t", "o", 0.0)], columns)
+    table = table.crossJoin(spark.range(50_000)).drop("id")
+    taken = sampling.bernoulli_sample(table, seed=2).count()
+    assert 9_600 < taken < 10_400
+    sets = {r["set"]: r["count"] for r in sampling.random_split(table).groupBy("set").count().collect()}
+    assert sets["Train"] + sets["Test"] == 50_000 and 34_500 < sets["Train"] < 35_500
 
 
 def test_tree_description(spark, features):

@@ -22,8 +22,10 @@ def _parser():
         return sub
 
     job("preprocess", "raw", "clean").add_argument("--flight-files", type=int)
-    job("airlines", "clean", "output").add_argument("--files", type=int)
-    job("airports", "clean", "output").add_argument("--files", type=int)
+    for name in ("airlines", "airports"):
+        board = job(name, "clean", "output")
+        board.add_argument("--files", type=int)
+        board.add_argument("--show", action="store_true")
     features = job("features", "raw", "statistics", "output")
     features.add_argument("--overview", action="store_true")
     sample = job("sample", "features", "output")
@@ -42,9 +44,9 @@ def main(arguments=None):
     if a.job == "preprocess":
         run_preprocessing(spark, a.raw, a.clean, a.format, a.flight_files)
     elif a.job == "airlines":
-        run_airline_leaderboard(spark, a.clean, a.output, a.format, a.files)
+        run_airline_leaderboard(spark, a.clean, a.output, a.format, a.files, a.show)
     elif a.job == "airports":
-        run_airport_leaderboard(spark, a.clean, a.output, a.format, a.files)
+        run_airport_leaderboard(spark, a.clean, a.output, a.format, a.files, a.show)
     elif a.job == "features":
         run_feature_job(spark, a.raw, a.statistics, a.output, a.format)
         if a.overview:

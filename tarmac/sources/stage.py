@@ -2,17 +2,26 @@
 
 A written table cuts the lineage, outlives lost executors and gives Catalyst exact
 sizes and column pruning, none of which a cache does.
+
+Every application has a folder of its own for them, which is deleted when its driver ends. The
+folder of a driver that was killed is deleted by a later one, once nothing was added to it
+for ``KEEP_HOURS``.
 """
 
 import tempfile
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 
-# Session setting that names the folder of the running job's stages.
+# Session settings: the folder of the running job's stages, and after how many hours without a
+# new stage the folder of another application counts as left behind (0: never).
 _JOB = "tarmac.stage.job"
+KEEP_HOURS, _KEEP = 168, "tarmac.stage.keep.hours"
+_PREFIX = "tarmac-stages-"
+_opened = set()
 
 
 def stage_root(spark):
@@ -31,9 +40,42 @@ def stage_root(spark):
     return context.getCheckpointDir().rstrip("/")
 
 
+def _files(spark, path):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def own_folder(spark):
+    """This application's folder below the stage root; it goes when the driver ends."""
+    root = stage_root(spark)
+    folder = f"{root}/{_PREFIX}{spark.sparkContext.applicationId}"
+    if folder not in _opened:
+        files, path = _files(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _opened.add(folder)
+        sweep(spark)
+    return folder
+
+
+def sweep(spark):
+    """Delete the folders that other applications left behind, and return their names."""
+    hours = float(spark.conf.get(_KEEP, str(KEEP_HOURS)))
+    files, root = _files(spark, stage_root(spark))
+    own, oldest = spark.sparkContext.applicationId, (time.time() - hours * 3600) * 1000
+    gone = []
+    for entry in files.listStatus(root) if hours else ():
+        name = entry.getPath().getName()
+        left = name.startswith(_PREFIX) and entry.getModificationTime() < oldest
+        if left and name != f"{_PREFIX}{own}":
+            files.delete(entry.getPath(), True)
+            gone.append(name)
+    return gone
+
+
 def new_stage_path(spark, name):
-    """A fresh folder name below the running job's folder, or else the stage root."""
-    root = spark.conf.get(_JOB, "") or stage_root(spark)
+    """A fresh folder name below the running job's folder, or else the application's."""
+    root = spark.conf.get(_JOB, "") or own_folder(spark)
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
@@ -47,7 +89,7 @@ def job(spark):
     if spark.conf.get(_JOB, ""):
         yield
         return
-    folder = f"{stage_root(spark)}/job-{uuid.uuid4().hex}"
+    folder = f"{own_folder(spark)}/job-{uuid.uuid4().hex}"
     spark.conf.set(_JOB, folder)
     try:
         yield
@@ -58,8 +100,8 @@ def job(spark):
 
 def delete(spark, path):
     """Delete a stage that nothing reads any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _files(spark, path)
+    files.delete(path, True)
 
 
 def keep(table, name, compression="snappy", path=None):

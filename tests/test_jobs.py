@@ -34,12 +34,14 @@ def _text(folder):
 
 
 @pytest.mark.parametrize("file_format", ["parquet", "csv"])
-def test_chain(spark, tmp_path, raw, many, airlines, airports, file_format):
+def test_chain(spark, capsys, tmp_path, raw, many, airlines, airports, file_format):
     clean, out = str(tmp_path / "clean"), str(tmp_path / "out")
     options = ["--format", file_format]
     main(["preprocess", raw, clean, "--flight-files", "2", *options])
     assert len(glob.glob(f"{clean}/flights/part-*")) <= 2
-    main(["airlines", clean, out, "--files", "1", *options])
+    main(["airlines", clean, out, "--files", "1", "--show", *options])
+    shown = capsys.readouterr().out
+    assert shown.index("American") < shown.index("Blue, Inc.") < shown.index("Coastal")
     main(["airports", clean, out, *options])
     assert _text(f"{out}/airlines") == ["American,5.0", '"Blue, Inc.",1.5', "Coastal,-1.0"]
     assert _text(f"{out}/airports") == [

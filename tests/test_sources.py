@@ -1,5 +1,8 @@
 import glob
 import os
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +10,7 @@ from pyspark.sql import types as T
 
 from tarmac import schemas
 from tarmac.sources import csv_tables, sinks, stage
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 ODD = [
     ("A1", "Blue, Inc."),
@@ -114,11 +117,11 @@ def test_show_table(odd, capsys):
 
 
 def test_stage_is_written_below_the_checkpoint_folder(spark, odd):
-    root = spark.conf.get("spark.checkpoint.dir")
-    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    before = _stage_folders(spark)
     kept = stage.keep(odd, "odd")
-    (new,) = set(os.listdir(root)) - before
+    (new,) = _stage_folders(spark) - before
     assert new.startswith("odd-")
+    assert stage.own_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert rows(kept) == rows(odd) and kept.schema == odd.schema
     assert "parquet" in kept._jdf.queryExecution().executedPlan().toString().lower()
 
@@ -175,7 +178,7 @@ def test_header_in_another_order_fails(spark, tmp_path):
 
 
 def _stage_folders(spark):
-    return set(os.listdir(stage.stage_root(spark).removeprefix("file:")))
+    return set(os.listdir(stage.own_folder(spark).removeprefix("file:")))
 
 
 def test_stages_of_a_job_are_deleted(spark, odd):
@@ -195,6 +198,58 @@ def test_stages_of_a_job_are_deleted(spark, odd):
     assert len(_stage_folders(spark) - before) == 1
 
 
+SESSION = """
+import sys
+from tarmac.session import build_session
+from tarmac.sources import stage
+
+spark = build_session("stages", **{
+    "spark.master": "local[1]", "spark.ui.enabled": "false", "spark.checkpoint.dir": sys.argv[1]
+})
+stage.keep(spark.range(5), "some")
+with stage.job(spark):
+    stage.keep(spark.range(5), "other")
+print("left", stage.own_folder(spark), flush=True)
+if sys.argv[2] == "killed":
+    spark._jvm.java.lang.Runtime.getRuntime().halt(9)
+"""
+
+
+def test_nothing_is_left_of_an_ended_session(spark, conf, tmp_path):
+    """A session that ends deletes its folder; that of a killed one goes when it has expired."""
+    shared = stage.stage_root(spark).removeprefix("file:")
+    names = {}
+    for how, folder in (("ended", str(tmp_path)), ("killed", shared)):
+        out = subprocess.run(
+            [sys.executable, "-c", SESSION, folder, how],
+            capture_output=True, text=True, timeout=120,
+        ).stdout
+        names[how] = out.split("left ")[1].strip().rpartition("/")[2]
+    assert names["ended"] not in os.listdir(tmp_path)
+    name = names["killed"]
+    assert name in os.listdir(shared)
+    assert name not in stage.sweep(spark)
+    conf("tarmac.stage.keep.hours", "0")
+    assert stage.sweep(spark) == []
+    conf("tarmac.stage.keep.hours", "0.00001")
+    time.sleep(0.2)
+    assert stage.sweep(spark) == [name]
+
+
+def test_merged_files_are_dealt_by_content(spark, odd):
+    text = plan(sinks._placed(odd, 3, None))
+    assert "REBALANCE" in text and "RoundRobin" not in text
+    ordered = plan(sinks._placed(odd, 3, ["IATA_CODE"]))
+    assert "rangepartitioning" in ordered and "REPARTITION_BY_NUM" in ordered
+
+
+def test_records_bound_a_file(spark, tmp_path):
+    for write in (sinks.write_csv, sinks.write_parquet):
+        path = str(tmp_path / write.__name__)
+        write(spark.range(100), path, files=1, records=30)
+        assert len(glob.glob(f"{path}/part-*")) == 4
+
+
 RAGGED = """AA,Alpha,1.5
 BB,Bravo
 CC

@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from tarmac import schemas  # noqa: E402
 from tarmac.constants import FEATURE_ORDER  # noqa: E402
-from tarmac.functions import scalars  # noqa: E402
+from tarmac.functions import rules, scalars  # noqa: E402
 from tarmac.functions.sql_names import register_sql_functions  # noqa: E402
 from tarmac.operators import (  # noqa: E402
     certificates,
@@ -249,21 +249,21 @@ def feature_summary(spark, sf_dir):
 
 
 def time_slot_scalar(spark, sf_dir):
-    departure = F.col("SCHEDULED_DEPARTURE")
+    slot = scalars.time_slot("SCHEDULED_DEPARTURE")
     return (
         binding.flights_raw(spark, sf_dir)
-        .select("SCHEDULED_DEPARTURE", scalars.time_slot(departure).alias("time_slot"))
+        .select("SCHEDULED_DEPARTURE", slot.alias("time_slot"))
         .groupBy("SCHEDULED_DEPARTURE", "time_slot")
         .agg(F.count("*").alias("n"))
     )
 
 
 def time_slot_ordinal(spark, sf_dir):
-    slot = scalars.time_slot(F.col("SCHEDULED_DEPARTURE"))
+    slot = rules.time_slot("SCHEDULED_DEPARTURE")
     return (
         binding.flights_raw(spark, sf_dir)
         .select(scalars.slot_ordinal(slot).alias("ordinal"))
-        .withColumn("time_slot", scalars.slot_from_ordinal(F.col("ordinal")))
+        .withColumn("time_slot", scalars.slot_from_ordinal("ordinal"))
         .groupBy("ordinal", "time_slot")
         .agg(F.count("*").alias("n"))
     )
@@ -282,6 +282,19 @@ def time_slot_sql_function(spark, sf_dir):
     )
 
 
+def strict_double_sql_function(spark, sf_dir):
+    register_sql_functions(spark)
+    return spark.sql(
+        """
+        SELECT AIRLINE, sum(stringToDouble(ARRIVAL_DELAY, true)) AS total_delay,
+               max(stringToDouble(TAXI_OUT, true)) AS longest_taxi_out,
+               min(stringToDouble(ARRIVAL_DELAY, strict => true)) AS least_delay
+        FROM {flights} GROUP BY AIRLINE
+        """,
+        flights=_clean(spark, sf_dir),
+    )
+
+
 def area_sql_functions(spark, sf_dir):
     register_sql_functions(spark)
     return spark.sql(
@@ -297,24 +310,26 @@ def area_sql_functions(spark, sf_dir):
 
 
 def delay_label(spark, sf_dir):
-    delay = scalars.strict_int(F.col("ARRIVAL_DELAY"))
+    delay = rules.strict_int("ARRIVAL_DELAY")
     return (
         binding.flights_raw(spark, sf_dir)
-        .select(delay.alias("arrival_delay"), scalars.delay_label(delay).alias("delay_label"))
+        .select(
+            F.expr(delay).alias("arrival_delay"), scalars.delay_label(delay).alias("delay_label")
+        )
         .groupBy("arrival_delay", "delay_label")
         .agg(F.count("*").alias("n"))
     )
 
 
 def latitude_area(spark, sf_dir):
-    value = scalars.double_or_default(F.col("LATITUDE"))
+    value = rules.double_or_default("LATITUDE")
     return binding.airports_raw(spark, sf_dir).select(
         "IATA_CODE", scalars.latitude_area(value).alias("latitude_area")
     )
 
 
 def longitude_area(spark, sf_dir):
-    value = scalars.double_or_default(F.col("LONGITUDE"))
+    value = rules.double_or_default("LONGITUDE")
     return binding.airports_raw(spark, sf_dir).select(
         "IATA_CODE", scalars.longitude_area(value).alias("longitude_area")
     )
@@ -323,9 +338,9 @@ def longitude_area(spark, sf_dir):
 def parse_double_default(spark, sf_dir):
     return binding.airports_raw(spark, sf_dir).select(
         "IATA_CODE",
-        scalars.double_or_default(F.col("LATITUDE")).alias("latitude"),
-        scalars.double_or_default(F.col("LONGITUDE")).alias("longitude"),
-        scalars.double_or_default(F.col("STATE")).alias("not_a_number"),
+        scalars.double_or_default("LATITUDE").alias("latitude"),
+        scalars.double_or_default("LONGITUDE").alias("longitude"),
+        scalars.double_or_default("STATE").alias("not_a_number"),
     )
 
 
@@ -482,6 +497,7 @@ OWN_QUERIES = {
     "time_slot_scalar": time_slot_scalar,
     "time_slot_ordinal": time_slot_ordinal,
     "time_slot_sql_function": time_slot_sql_function,
+    "strict_double_sql_function": strict_double_sql_function,
     "area_sql_functions": area_sql_functions,
     "delay_label": delay_label,
     "latitude_area": latitude_area,

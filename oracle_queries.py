@@ -313,6 +313,13 @@ def oracle_sql():
                FROM clean GROUP BY 1""",
             "clean",
         ),
+        "strict_double_sql_function": _sql(
+            """SELECT AIRLINE, sum(cast(ARRIVAL_DELAY AS double)) AS total_delay,
+                      max(cast(TAXI_OUT AS double)) AS longest_taxi_out,
+                      min(cast(ARRIVAL_DELAY AS double)) AS least_delay
+               FROM clean GROUP BY 1""",
+            "clean",
+        ),
         "area_sql_functions": _sql(
             """SELECT IATA_CODE, lat_area AS latitude_area, lon_area AS longitude_area,
                       cast(IATA_CODE AS double) AS code FROM areas""",

@@ -1,91 +1,49 @@
-"""Scalar rules as built-in column expressions, so they stay inside codegen."""
+"""The scalar rules as columns; an argument is a column name or any other SQL text.
 
-from pyspark.sql import functions as F
+They are built-in expressions, so they stay inside codegen.
+"""
 
-from tarmac.constants import MISSING_COORDINATE, TIME_SLOTS
+from pyspark.sql import functions as F
 
-MORNING, AFTERNOON, EVENING, NIGHT = TIME_SLOTS
+from tarmac.functions import rules
 
 
 def time_slot(hhmm):
-    """Slot of an ``hhmm`` departure text; a text without an hour fails the job.
-
-    Every hour outside 0-17 is Evening, also 24 and negative ones.
-    """
-    head = F.substring(hhmm, 1, 2)
-    hour = head.try_cast("int")
-    no_hour = F.raise_error(
-        F.concat(F.lit("no hour in departure time: "), F.coalesce(hhmm, F.lit("null")))
-    )
-    # Few, ordered tests: each one parses the hour again.
-    slot = (
-        F.when(F.length(F.trim(head)) != 2, no_hour)
-        .when(hour > 17, F.lit(EVENING))
-        .when(hour > 11, F.lit(AFTERNOON))
-        .when(hour > 5, F.lit(MORNING))
-        .when(hour >= 0, F.lit(NIGHT))
-        .when(hour < 0, F.lit(EVENING))
-        .otherwise(no_hour)
-    )
-    # Declared as never null, or joins and filters on the slot would work it out twice.
-    return F.coalesce(slot, F.lit(EVENING))
+    return F.expr(rules.time_slot(hhmm))
 
 
 def slot_from_ordinal(ordinal):
-    """Slot name of ordinal 0..3; any other ordinal fails the job."""
-    name = F.when(ordinal == 0, F.lit(TIME_SLOTS[0]))
-    for position in range(1, len(TIME_SLOTS)):
-        name = name.when(ordinal == position, F.lit(TIME_SLOTS[position]))
-    return name.otherwise(
-        F.raise_error(
-            F.concat(
-                F.lit("no time slot with ordinal "),
-                F.coalesce(ordinal.cast("string"), F.lit("null")),
-            )
-        )
-    )
+    return F.expr(rules.slot_from_ordinal(ordinal))
 
 
 def slot_ordinal(slot):
-    """Ordinal 0..3 of a slot name, null for any other text."""
-    return F.array_position(
-        F.array(*[F.lit(s) for s in TIME_SLOTS]), slot
-    ).cast("int") - F.when(slot.isin(*TIME_SLOTS), F.lit(1))
+    return F.expr(rules.slot_ordinal(slot))
 
 
 def delay_label(arrival_delay):
-    """1.0 for a late arrival, 0.0 for one on time or early, null when unknown."""
-    return F.when(arrival_delay > 0, F.lit(1.0)).when(
-        arrival_delay.isNotNull(), F.lit(0.0)
-    )
+    """The label as a double, as models take it."""
+    return F.expr(rules.delay_label(arrival_delay)).cast("double")
 
 
 def latitude_area(latitude):
-    """0 south of -30, else 3: the two areas the thresholds can reach."""
-    return F.when(latitude < -30.0, F.lit(0)).otherwise(F.lit(3))
+    return F.expr(rules.latitude_area(latitude))
 
 
 def longitude_area(longitude):
-    return (
-        F.when(longitude < -130.0, F.lit(0))
-        .when(longitude < -110.0, F.lit(1))
-        .when(longitude < -90.0, F.lit(2))
-        .otherwise(F.lit(3))
-    )
+    return F.expr(rules.longitude_area(longitude))
 
 
-def double_or_default(text, default=MISSING_COORDINATE):
-    return F.coalesce(text.try_cast("double"), F.lit(float(default)))
+def double_or_default(text):
+    return F.expr(rules.double_or_default(text))
 
 
 def strict_double(text):
-    """Number in the text; null stays null, malformed text fails under ANSI mode."""
-    return text.cast("double")
+    return F.expr(rules.strict_double(text))
 
 
 def strict_int(text):
-    return text.cast("int")
+    return F.expr(rules.strict_int(text))
 
 
 def int_to_double(number):
-    return number.cast("double")
+    return F.expr(rules.int_to_double(number))

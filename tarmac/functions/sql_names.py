@@ -1,45 +1,32 @@
 """The scalar rules as SQL functions, for queries written as SQL text."""
 
-from tarmac.constants import MISSING_COORDINATE
-
-# The function names SQL texts call.
-_SLOT = """
-CASE WHEN length(trim(substring(hhmm, 1, 2))) < 2
-       OR try_cast(substring(hhmm, 1, 2) AS INT) IS NULL
-     THEN raise_error(concat('no hour in departure time: ', coalesce(hhmm, 'null')))
-     WHEN cast(substring(hhmm, 1, 2) AS INT) BETWEEN 0 AND 5 THEN 'Night'
-     WHEN cast(substring(hhmm, 1, 2) AS INT) BETWEEN 6 AND 11 THEN 'Morning'
-     WHEN cast(substring(hhmm, 1, 2) AS INT) BETWEEN 12 AND 17 THEN 'Afternoon'
-     ELSE 'Evening' END
-"""
+from tarmac.functions import rules
 
+# The function names SQL texts call. Labels and areas are texts there.
 _FUNCTIONS = {
-    "extractTimeSlot(hhmm STRING) RETURNS STRING": _SLOT,
-    "extractDelayLabel(delay INT) RETURNS STRING": (
-        "CASE WHEN delay > 0 THEN '1' WHEN delay IS NOT NULL THEN '0' END"
-    ),
+    "extractTimeSlot(hhmm STRING) RETURNS STRING": rules.time_slot("hhmm"),
+    "extractDelayLabel(delay INT) RETURNS STRING": f"string({rules.delay_label('delay')})",
     "extractLatitudeArea(latitude DOUBLE) RETURNS STRING": (
-        "CASE WHEN latitude < -30 THEN '0' ELSE '3' END"
+        f"string({rules.latitude_area('latitude')})"
     ),
     "extractLongitudeArea(longitude DOUBLE) RETURNS STRING": (
-        "CASE WHEN longitude < -130 THEN '0' WHEN longitude < -110 THEN '1' "
-        "WHEN longitude < -90 THEN '2' ELSE '3' END"
+        f"string({rules.longitude_area('longitude')})"
     ),
-    "stringToInt(s STRING) RETURNS INT": "cast(s AS INT)",
-    "intToDouble(i INT) RETURNS DOUBLE": "cast(i AS DOUBLE)",
+    "stringToInt(s STRING) RETURNS INT": rules.strict_int("s"),
+    "intToDouble(i INT) RETURNS DOUBLE": rules.int_to_double("i"),
 }
-
-_STRICT_DOUBLE = "cast(s AS DOUBLE)"
-_DEFAULT_DOUBLE = f"coalesce(try_cast(s AS DOUBLE), cast({MISSING_COORDINATE} AS DOUBLE))"
+_TO_DOUBLE = (
+    f"CASE WHEN strict THEN {rules.strict_double('s')} ELSE {rules.double_or_default('s')} END"
+)
 
 
 def register_sql_functions(spark, strict_double=False):
     """Register the named functions in the session.
 
-    ``stringToDouble`` has two meanings: the default one turns bad text into the
-    missing-coordinate value, the strict one fails.
+    ``stringToDouble(text, strict)`` has two meanings: it turns bad text into the
+    missing-coordinate value or, if strict, fails. ``strict_double`` says which one a call
+    without the second argument gets.
     """
-    double_body = _STRICT_DOUBLE if strict_double else _DEFAULT_DOUBLE
-    bodies = {**_FUNCTIONS, "stringToDouble(s STRING) RETURNS DOUBLE": double_body}
-    for signature, body in bodies.items():
+    number = f"stringToDouble(s STRING, strict BOOLEAN DEFAULT {strict_double}) RETURNS DOUBLE"
+    for signature, body in {**_FUNCTIONS, number: _TO_DOUBLE}.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")

@@ -39,7 +39,7 @@ def typed_measures(clean):
     """Clean flights with the two measures as numbers; a blank one is null."""
     return clean.withColumns(
         {
-            "TAXI_OUT": strict_double(F.col("TAXI_OUT")),
-            "ARRIVAL_DELAY": strict_double(F.col("ARRIVAL_DELAY")),
+            "TAXI_OUT": strict_double("TAXI_OUT"),
+            "ARRIVAL_DELAY": strict_double("ARRIVAL_DELAY"),
         }
     )

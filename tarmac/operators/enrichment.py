@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tarmac.functions import rules
 from tarmac.functions.scalars import (
     delay_label,
-    double_or_default,
     int_to_double,
     latitude_area,
     longitude_area,
@@ -63,7 +63,7 @@ def enrich_airport_stats(flights, airport_statistic, limit=BROADCAST_LIMIT):
         F.col("time_slot").alias("STATISTIC_TIME_SLOT"),
         F.col("average_taxi_out").alias("AVG_TAXI_OUT"),
     )
-    slotted = flights.withColumn("TIME_SLOT", time_slot(F.col("SCHEDULED_DEPARTURE")))
+    slotted = flights.withColumn("TIME_SLOT", time_slot("SCHEDULED_DEPARTURE"))
     return lookup_join(
         slotted,
         statistic,
@@ -86,8 +86,8 @@ def _areas(airports, prefix):
     return airports.select(
         F.col("IATA_CODE").alias(f"{prefix}_code"),
         F.col("AIRPORT").alias(f"{prefix}_name"),
-        latitude_area(double_or_default(F.col("LATITUDE"))).alias(f"{prefix}LatitudeArea"),
-        longitude_area(double_or_default(F.col("LONGITUDE"))).alias(f"{prefix}LongitudeArea"),
+        latitude_area(rules.double_or_default("LATITUDE")).alias(f"{prefix}LatitudeArea"),
+        longitude_area(rules.double_or_default("LONGITUDE")).alias(f"{prefix}LongitudeArea"),
         F.col("STATE").alias(f"{prefix}State"),
     )
 
@@ -109,14 +109,14 @@ def feature_facts(flights):
     """
     return flights.select(
         F.col("AIRLINE").alias("Airline"),
-        time_slot(F.col("SCHEDULED_DEPARTURE")).alias("TimeSlot"),
-        strict_int(F.col("MONTH")).alias("Month"),
-        strict_int(F.col("DAY_OF_WEEK")).alias("DayOfWeek"),
-        int_to_double(strict_int(F.col("DISTANCE"))).alias("Distance"),
+        time_slot("SCHEDULED_DEPARTURE").alias("TimeSlot"),
+        strict_int("MONTH").alias("Month"),
+        strict_int("DAY_OF_WEEK").alias("DayOfWeek"),
+        int_to_double(rules.strict_int("DISTANCE")).alias("Distance"),
         F.col("ORIGIN_AIRPORT").alias("OriginAirport"),
         F.col("DESTINATION_AIRPORT").alias("destination"),
-        strict_int(F.col("ARRIVAL_DELAY")).alias("arrival_delay"),
-        strict_double(F.col("TAXI_OUT")).alias("taxi_out"),
+        strict_int("ARRIVAL_DELAY").alias("arrival_delay"),
+        strict_double("TAXI_OUT").alias("taxi_out"),
     )
 
 
@@ -148,7 +148,7 @@ def features_of_facts(
         limit=limit,
     )
     return (
-        facts.withColumn("Delay", delay_label(F.col("arrival_delay")))
+        facts.withColumn("Delay", delay_label("arrival_delay"))
         .join(by_airline, F.col("Airline") == F.col("airline_code"))
         .join(
             by_origin,

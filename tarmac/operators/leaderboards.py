@@ -35,14 +35,14 @@ def merge_states(states, keys):
 
 
 def _delays(clean):
-    return clean.select("AIRLINE", strict_double(F.col("ARRIVAL_DELAY")).alias("ARRIVAL_DELAY"))
+    return clean.select("AIRLINE", strict_double("ARRIVAL_DELAY").alias("ARRIVAL_DELAY"))
 
 
 def _taxi_times(clean):
     return clean.select(
         "ORIGIN_AIRPORT",
-        time_slot(F.col("SCHEDULED_DEPARTURE")).alias("time_slot"),
-        strict_double(F.col("TAXI_OUT")).alias("TAXI_OUT"),
+        time_slot("SCHEDULED_DEPARTURE").alias("time_slot"),
+        strict_double("TAXI_OUT").alias("TAXI_OUT"),
     )
 
 

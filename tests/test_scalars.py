@@ -3,7 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tarmac.functions import scalars
+from tarmac.functions import rules, scalars, sql_names
 from tarmac.functions.sql_names import register_sql_functions
 
 SLOTS = [
@@ -15,7 +15,7 @@ SLOTS = [
 
 def test_time_slot_edges(spark):
     table = spark.createDataFrame(SLOTS, "t string, expected string")
-    wrong = table.withColumn("slot", scalars.time_slot(F.col("t"))).filter("slot != expected")
+    wrong = table.withColumn("slot", scalars.time_slot("t")).filter("slot != expected")
     assert wrong.collect() == []
 
 
@@ -23,7 +23,7 @@ def test_time_slot_edges(spark):
 def test_time_without_hour_fails(spark, text):
     table = spark.createDataFrame([(text,)], "t string")
     with pytest.raises(Exception, match="no hour in departure time"):
-        table.select(scalars.time_slot(F.col("t"))).collect()
+        table.select(scalars.time_slot("t")).collect()
     register_sql_functions(spark)
     table.createOrReplaceTempView("times")
     with pytest.raises(Exception, match="no hour in departure time"):
@@ -38,44 +38,44 @@ def test_time_slot_follows_the_hour(times):
     session = SparkSession.getActiveSession()
     names = ["Night", "Morning", "Afternoon", "Evening", "Evening"]
     table = session.createDataFrame([(f"{t:04d}", names[t // 600]) for t in times], "t string, s string")
-    assert table.filter(scalars.time_slot(F.col("t")) != F.col("s")).count() == 0
+    assert table.filter(scalars.time_slot("t") != F.col("s")).count() == 0
 
 
 def test_ordinals(spark):
     table = spark.createDataFrame([(i,) for i in range(4)], "i int")
-    names = [r[0] for r in table.select(scalars.slot_from_ordinal(F.col("i"))).collect()]
+    names = [r[0] for r in table.select(scalars.slot_from_ordinal("i")).collect()]
     assert names == ["Morning", "Afternoon", "Evening", "Night"]
-    back = table.select(scalars.slot_ordinal(scalars.slot_from_ordinal(F.col("i"))))
+    back = table.select(scalars.slot_ordinal(rules.slot_from_ordinal("i")))
     assert [r[0] for r in back.collect()] == [0, 1, 2, 3]
     for bad in (-1, 4):
         with pytest.raises(Exception, match="no time slot"):
-            spark.range(1).select(scalars.slot_from_ordinal(F.lit(bad))).collect()
-    unknown = spark.range(1).select(scalars.slot_ordinal(F.lit("Noon"))).first()[0]
+            spark.range(1).select(scalars.slot_from_ordinal(str(bad))).collect()
+    unknown = spark.range(1).select(scalars.slot_ordinal("'Noon'")).first()[0]
     assert unknown is None
 
 
 def test_delay_label(spark):
     table = spark.createDataFrame([(-1,), (0,), (1,), (None,)], "d int")
-    labels = [r[0] for r in table.select(scalars.delay_label(F.col("d"))).collect()]
+    labels = [r[0] for r in table.select(scalars.delay_label("d")).collect()]
     assert labels == [0.0, 0.0, 1.0, None]
 
 
 def test_areas(spark):
     values = [-60.0, -45.0, -30.01, -30.0, 0.0, float("nan")]
     table = spark.createDataFrame([(v,) for v in values], "x double")
-    assert [r[0] for r in table.select(scalars.latitude_area(F.col("x"))).collect()] == [
+    assert [r[0] for r in table.select(scalars.latitude_area("x")).collect()] == [
         0, 0, 0, 3, 3, 3
     ]
     values = [-131.0, -130.0, -111.0, -110.0, -91.0, -90.0, 10.0]
     table = spark.createDataFrame([(v,) for v in values], "x double")
-    assert [r[0] for r in table.select(scalars.longitude_area(F.col("x"))).collect()] == [
+    assert [r[0] for r in table.select(scalars.longitude_area("x")).collect()] == [
         0, 1, 1, 2, 2, 3, 3
     ]
 
 
 def test_double_or_default(spark):
     table = spark.createDataFrame([("1.5",), ("x",), ("",), (None,)], "s string")
-    found = [r[0] for r in table.select(scalars.double_or_default(F.col("s"))).collect()]
+    found = [r[0] for r in table.select(scalars.double_or_default("s")).collect()]
     assert found == [1.5, -80.0, -80.0, -80.0]
 
 
@@ -83,7 +83,7 @@ def test_double_or_default(spark):
 def test_strict_numbers_fail_on_bad_text(spark, cast):
     table = spark.createDataFrame([("12",), ("x1",)], "s string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        table.select(cast(F.col("s"))).collect()
+        table.select(cast("s")).collect()
 
 
 def test_sql_functions_equal_columns(spark):
@@ -98,14 +98,13 @@ def test_sql_functions_equal_columns(spark):
                   extractLongitudeArea(x), stringToInt(cast(n AS string)), intToDouble(n),
                   stringToDouble('x') FROM inputs"""
     )
-    n, x = F.col("n"), F.col("x")
     by_column = table.select(
-        scalars.time_slot(F.col("t")),
-        scalars.delay_label(n).cast("int").cast("string"),
-        scalars.latitude_area(x).cast("string"),
-        scalars.longitude_area(x).cast("string"),
-        n,
-        scalars.int_to_double(n),
+        scalars.time_slot("t"),
+        scalars.delay_label("n").cast("int").cast("string"),
+        scalars.latitude_area("x").cast("string"),
+        scalars.longitude_area("x").cast("string"),
+        "n",
+        scalars.int_to_double("n"),
         F.lit(-80.0),
     )
     assert [tuple(r) for r in by_name.collect()] == [tuple(r) for r in by_column.collect()]
@@ -116,3 +115,19 @@ def test_strict_sql_double(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         spark.sql("SELECT stringToDouble(s) FROM VALUES ('x') AS t(s)").collect()
     register_sql_functions(spark)
+    row = spark.sql(
+        "SELECT stringToDouble(s), stringToDouble('1.5', true) FROM VALUES ('x') AS t(s)"
+    ).first()
+    assert tuple(row) == (-80.0, 1.5)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        spark.sql("SELECT stringToDouble(s, true) FROM VALUES ('x') AS t(s)").collect()
+
+
+def test_one_text_for_each_rule(spark):
+    """What a function is registered with is the text its column is made of."""
+    assert rules.time_slot("hhmm") in sql_names._FUNCTIONS[
+        "extractTimeSlot(hhmm STRING) RETURNS STRING"
+    ]
+    for name in ("latitude_area", "longitude_area"):
+        text = getattr(rules, name)(name.partition("_")[0])
+        assert any(text in body for body in sql_names._FUNCTIONS.values())

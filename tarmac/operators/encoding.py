@@ -15,7 +15,7 @@ from tarmac.constants import (
     FEATURE_ORDER,
     TAXI_OUT_SPLITS,
 )
-from tarmac.operators.joins import broadcast_if_small
+from tarmac.operators.joins import BROADCAST_LIMIT
 from tarmac.operators.ranking import with_rank
 from tarmac.sources.stage import keep
 
@@ -37,6 +37,8 @@ def bucketizer(*columns):
 
 
 OUTSIDE = -1.0
+# Bytes of an index row besides its name.
+_ROW_BYTES = 40
 
 
 def _nominal(name, values):
@@ -129,27 +131,28 @@ def category_index(table, weight=None, path=None):
 class CategoryIndexer(Transformer):
     """Adds the index of each category; an unseen or missing one gets a spare index.
 
-    The names stay in a table that is joined, broadcast only if it is measured to fit. The
-    driver knows their numbers alone, which the index columns carry as metadata.
+    The names stay in a table that is joined, a column's part being broadcast only if it is
+    measured to fit. The driver knows their numbers alone, which the index columns carry as
+    metadata.
     """
 
-    def __init__(self, index):
+    def __init__(self, index, limit=BROADCAST_LIMIT):
         super().__init__()
-        self.index = index
-        counts = {r["column"]: r["count"] for r in index.groupBy("column").count().collect()}
-        self.sizes = {c: counts.get(c, 0) for c in CATEGORIES}
+        self.index, self.limit = index, limit
+        width = F.octet_length("value").cast("long") + _ROW_BYTES
+        found = index.groupBy("column").agg(F.count("*").alias("n"), F.sum(width).alias("bytes"))
+        found = {r["column"]: r for r in found.collect()}
+        self.sizes = {c: found[c]["n"] if c in found else 0 for c in CATEGORIES}
+        self.bytes = {c: found[c]["bytes"] if c in found else 0 for c in CATEGORIES}
 
     def _transform(self, dataset):
-        lookups = broadcast_if_small(
-            *[
-                self.index.where(F.col("column") == c).select(
-                    F.col("value").alias(f"{c}Value"), F.col("index").alias(f"{c}Found")
-                )
-                for c in CATEGORIES
-            ]
-        )
         indexed = dataset
-        for c, lookup in zip(CATEGORIES, lookups):
+        for c in CATEGORIES:
+            lookup = self.index.where(F.col("column") == c).select(
+                F.col("value").alias(f"{c}Value"), F.col("index").alias(f"{c}Found")
+            )
+            if self.bytes[c] <= self.limit:
+                lookup = F.broadcast(lookup)
             indexed = indexed.join(lookup, F.col(c) == F.col(f"{c}Value"), "left")
         return indexed.select(
             *dataset.columns,

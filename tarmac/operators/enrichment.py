@@ -127,25 +127,28 @@ def feature_table(
 
     The statistics cover all flights, so also those a model is later tested on.
     """
-    return features_of_facts(
-        feature_facts(flights), airlines, airports, airline_statistic, airport_statistic, limit
-    )
+    profiles = dimension_profiles(airlines, airports, airline_statistic, airport_statistic)
+    return features_of_facts(feature_facts(flights), *profiles, limit=limit)
 
 
-def features_of_facts(
-    facts, airlines, airports, airline_statistic, airport_statistic, limit=BROADCAST_LIMIT
-):
-    """The feature table of typed facts.
+def dimension_profiles(airlines, airports, airline_statistic, airport_statistic):
+    """What features take from an airline, from an origin in a slot, and from a destination.
 
-    The statistics are joined to their dimensions first, by name, and the areas are
-    worked out per airport: inner joins may be regrouped, and the flights, the large
-    side, then take part in three joins instead of five.
+    The statistics are joined to their dimensions by name, and the areas are worked out per
+    airport: inner joins may be regrouped, and the flights, the large side, then take part in
+    three joins instead of five.
     """
-    by_airline, by_origin, by_destination = broadcast_if_small(
+    return (
         _airline_profile(airlines, airline_statistic),
         _origin_profile(airports, airport_statistic),
         _areas(airports, "Destination").drop("Destination_name"),
-        limit=limit,
+    )
+
+
+def features_of_facts(facts, by_airline, by_origin, by_destination, limit=BROADCAST_LIMIT):
+    """The feature table of typed facts and the profiles of their dimensions."""
+    by_airline, by_origin, by_destination = broadcast_if_small(
+        by_airline, by_origin, by_destination, limit=limit
     )
     return (
         facts.withColumn("Delay", delay_label("arrival_delay"))

@@ -1,7 +1,12 @@
 """From raw tables and statistics to the feature table and its sample."""
 
 from tarmac.operators.cleaning import feature_flights
-from tarmac.operators.enrichment import feature_facts, feature_table, features_of_facts
+from tarmac.operators.enrichment import (
+    dimension_profiles,
+    feature_facts,
+    feature_table,
+    features_of_facts,
+)
 from tarmac.operators.leaderboards import delay_and_taxi_state, statistics_of_state
 from tarmac.operators.sampling import bernoulli_sample, hash_sample
 from tarmac.plans.leaderboards import read_statistics
@@ -16,16 +21,16 @@ def build_features(flights, airlines, airports):
     """The feature table of raw tables, with the statistics worked out on the way.
 
     The flights are parsed once, into a typed stage, which is read twice: for one state that
-    both statistics roll up from, and for the features. The statistics are kept: they are
-    small, and the size checks before the joins then cost next to nothing.
+    both statistics roll up from, and for the features. What the flights are joined with is
+    kept: it is small, and the size checks before the joins then cost next to nothing.
     """
     facts, airports = keep_all(facts=feature_facts(feature_flights(flights)), airports=airports)
     state = keep(delay_and_taxi_state(facts), "state")
-    airline_statistic, airport_statistic = statistics_of_state(state, airlines, airports)
-    airline_statistic, airport_statistic = keep_all(
-        airline_statistic=airline_statistic, airport_statistic=airport_statistic
+    profiles = dimension_profiles(
+        airlines, airports, *statistics_of_state(state, airlines, airports)
     )
-    return features_of_facts(facts, airlines, airports, airline_statistic, airport_statistic)
+    names = ("by_airline", "by_origin", "by_destination")
+    return features_of_facts(facts, *keep_all(**dict(zip(names, profiles))))
 
 
 def run_feature_job(spark, raw, statistics, output, file_format="parquet"):

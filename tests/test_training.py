@@ -215,7 +215,7 @@ def test_missing_and_unseen_categories_share_the_spare_index(features):
     assert row.OriginAirportIndex == fitted.sizes["OriginAirport"] == 8
 
 
-def test_many_categories(spark, features, monkeypatch, conf):
+def test_many_categories(spark, features, conf):
     """200,000 names: ranked by several tasks, joined with and without a broadcast."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
@@ -231,10 +231,7 @@ def test_many_categories(spark, features, monkeypatch, conf):
     )
     sums = []
     for limit in (joins.BROADCAST_LIMIT, 0):
-        monkeypatch.setattr(
-            encoding, "broadcast_if_small", partial(joins.broadcast_if_small, limit=limit)
-        )
-        indexed = fitted.transform(many)
+        indexed = encoding.CategoryIndexer(fitted.index, limit).transform(many)
         assert ("BroadcastHashJoin" in plan(indexed)) == bool(limit)
         sums.append(indexed.agg(F.sum("OriginAirportIndex"), F.count("*")).first())
     assert sums[0] == sums[1] and sums[0][1] == 240_000

@@ -362,11 +362,16 @@ def encode_documents(docs, ranks, pattern, text="text", output="ids"):
 
 
 def encode_and_decode_documents(docs, ranks, pattern, text="text", output="ids"):
-    """As ``encode_documents``, with ``decoded_sha256``, the digest of the text decoded from the ids."""
+    """As ``encode_documents``, with ``decoded_sha256``, the digest of the text decoded from the ids.
+
+    Columns of ``docs`` that have the names of the three results, in any case, give way to them.
+    Repeated rows stay, an empty table gives an empty one.
+    """
     done = free_name(docs, "done")
     rows = docs.withColumn(done, round_trip_column(docs.sparkSession, F.col(text), ranks, pattern))
+    made = {output.lower(), "n_tokens", "decoded_sha256"}
     return rows.select(
-        *docs.columns,
+        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in made],
         F.col(f"{done}.ids").alias(output),
         (F.octet_length(f"{done}.ids") / 4).cast("long").alias("n_tokens"),
         F.sha2(F.col(f"{done}.decoded"), 256).alias("decoded_sha256"),

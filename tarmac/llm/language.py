@@ -10,6 +10,7 @@ letters, as in scripts without spaces, are cut there.
 """
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -29,7 +30,9 @@ EVEN = 1e-3
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
 _MARK = "\N{LOWER ONE EIGHTH BLOCK}"
-_WORDS = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}").findall
+# Signs that a pattern of words takes in, though they are numbers and no letters: Ⅷ, ², ½, ①.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
+_WORDS = re.compile(rf"[^\W\d_{_NUMBERS}]{{1,{LONGEST}}}").findall
 _CODE_BITS = 21
 # Words in memory at once: counted, scored, or kept with their scores.
 _COUNTED, _SCORED, _KEPT = 400_000, 200_000, 300_000

@@ -114,6 +114,12 @@ class CentroidGraph:
         return chosen
 
 
+def _lifted(shares):
+    """Vectors as shares of the greatest norm, with the component that gives them norm one."""
+    own = (shares**2).sum(axis=1)
+    return np.column_stack([shares, np.sqrt(np.maximum(1.0 - own, 0.0))])
+
+
 def _assign(shared, ratio, most, is_query, sizes=None, least=0):
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         centres, norm = shared.value
@@ -121,11 +127,14 @@ def _assign(shared, ratio, most, is_query, sizes=None, least=0):
         for batch in batches:
             keys, lists, vectors = [], [], []
             for key, vector in zip(batch["key"], batch["vector"]):
-                own = float(np.sqrt((vector**2).sum()))
+                # Scaled by the greatest component, so no square leaves the range of a double.
+                greatest = np.abs(vector).max()
+                vector_of_ones = vector / greatest
+                own = float(np.sqrt((vector_of_ones**2).sum()))
                 if is_query:
-                    point = np.append(vector * (norm / own), 0.0)
+                    point = np.append(vector_of_ones / own, 0.0)
                 else:
-                    point = np.append(vector, np.sqrt(max(norm**2 - own**2, 0.0)))
+                    point = _lifted((vector / norm)[None])[0]
                 for found in graph.search(point, ratio, most, sizes, least):
                     keys.append(key)
                     lists.append(found)
@@ -158,7 +167,7 @@ def _best(nearest):
             edge = np.partition(rough, -nearest, axis=1)[:, -nearest]
         else:
             edge = np.full(len(mine), -np.inf)
-        slack = 1e-9 * np.sqrt((asked**2).sum(axis=1) * (rows**2).sum(axis=1).max())
+        slack = 1e-9 * np.sqrt((asked**2).sum(axis=1)) * np.sqrt((rows**2).sum(axis=1).max())
         q, v = np.nonzero((rough >= (edge - slack)[:, None]) & (rough > -np.inf))
         scores = inner_products(asked[q], rows[v])
         order = np.lexsort((ids[v], -scores, q))
@@ -224,7 +233,10 @@ def nearest_neighbours(table, is_query, key="vec_id", vector="embedding", neares
     """
     spark = table.sparkSession
     rows = stage.keep(usable_vectors(table, key, vector), "vectors")
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    # Scaled as in the tasks; an overflowing norm would spoil all others.
+    greatest = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / greatest) * (x / greatest))
+    norm = F.least(greatest * F.sqrt(squares), F.lit(1e300))
     total, most = rows.agg(F.count("*"), F.max(norm)).first()
     schema = f"query_id {_kind(rows)}, rank int, vec_id {_kind(rows)}, score double"
     if not total:
@@ -232,8 +244,7 @@ def nearest_neighbours(table, is_query, key="vec_id", vector="embedding", neares
     lists = max(1, min(MOST_LISTS, total // LIST_ROWS))
     chosen = rows.select(F.xxhash64("key").alias("h"), "vector").orderBy("h").limit(SAMPLE)
     sample = np.array([row["vector"] for row in chosen.collect()])
-    own = (sample**2).sum(axis=1)
-    sample = np.column_stack([sample, np.sqrt(np.maximum(most**2 - own, 0))])
+    sample = _lifted(sample / most)
     centres = balanced_centroids(sample, lists)
     shared = spark.sparkContext.broadcast((centres, most))
 

@@ -280,7 +280,7 @@ def _scored(docs, labels, key, text, language, source, output):
 
 
 def _accepted(text, score):
-    blank = F.trim(F.coalesce(text, F.lit(""))) == ""
+    blank = ~F.coalesce(text, F.lit("")).rlike(r"\S")
     return ~blank & (score.isNull() | F.isnan(score) | (score >= THRESHOLD))
 
 

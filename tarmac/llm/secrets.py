@@ -2,7 +2,8 @@
 
 A document is a worklist of layers. The first is the text. Each layer is scanned by the patterns and
 unwrapped once by every decoder: percent-encoding and Unicode escapes give the whole layer with
-the escapes resolved, so what stands around them stays in view; a base64 run, of either alphabet
+the escapes resolved, so what stands around them stays in view, an escape that only gives the
+sign of another one being followed to its end at once; a base64 run, of either alphabet
 and over line breaks, gives layers of its own at each of its four offsets, and one for each stretch
 of compressed data in them, inflated. Bytes that are no UTF-8 become replacement characters. Inflated
 data is a stream of any length, scanned in windows. Layers seen before are not taken up
@@ -49,6 +50,14 @@ _BASE64_BYTES = bytes(
 _BASE64_LEAST = 16
 _ESCAPED = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
+# Escapes that give the first character of another escape: chains, resolved to their end at once.
+_TWO = re.compile(r"[0-9A-Fa-f]{2}")
+_UNIT = re.compile(r"u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2})")
+_UNIT_ANY = r"(?:u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2})"
+_PERCENT_CHAIN = re.compile(rf"%25[0-9A-Fa-f]{{2}}|%5[cC]{_UNIT_ANY}")
+_UNICODE_CHAIN = re.compile(
+    rf"\\(?:u0025|U00000025|x25)[0-9A-Fa-f]{{2}}|\\(?:u005[cC]|U0000005[cC]|x5[cC]){_UNIT_ANY}"
+)
 _UNICODE_UNIT = re.compile(r"\\(?:u(.{4})|U(.{8})|x(.{2}))")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]+(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)*")
 _ESCAPES = re.compile("[\udc80-\udcff]")
@@ -60,6 +69,9 @@ _PACKED = re.compile(
     rb"\x1f\x8b\x08|BZh[1-9](?=1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda\x20\x3f\x7d\xbb\xf9]"
 )
 
+# No format needs fewer bytes.
+_PACKED_LEAST = 8
+
 # Inflated data is scanned to its end in windows of about so many bytes. A window ends outside
 # encoded runs and grows for it up to ``WINDOW_MOST``; a longer run is cut there, which sets
 # ``incomplete``, as do more than ``NESTED`` formats inside one another.
@@ -157,22 +169,76 @@ def _decoded(data, ranges):
     return _ESCAPES.sub("\ufffd", text), ranges
 
 
-def _unescape_percent(layer, _):
+def _chain(text, at):
+    """(end, value, is a byte) of the escape at a sign, followed as long as it gives a sign that
+    begins another escape with what stands behind; None if there is no escape.
+
+    The text of a chain is read once, however many levels it stands for.
+    """
+    sign, end, found = text[at], at + 1, None
+    while True:
+        match = (_TWO if sign == "%" else _UNIT).match(text, end)
+        if match is None:
+            return found
+        value = int(match[0] if sign == "%" else match[match.lastindex], 16)
+        if value > 0x10FFFF:
+            return found
+        end = match.end()
+        found = end, value, sign == "%" or match[0][0] == "x" and value < 0x80
+        if value not in (0x25, 0x5C):
+            return found
+        sign = chr(value)
+
+
+def _resolved(layer, sign, unscanned):
+    """The layer with all chains that begin with the sign resolved, and what their bytes hold."""
+    text, pieces, at = layer.text, [], layer.text.find(sign)
+    while at >= 0:
+        begin, data, values, ranges = at, bytearray(), [], []
+        while at < len(text) and text[at] == sign and (found := _chain(text, at)):
+            end, value, is_byte = found
+            if bool(is_byte) != (not values) and (data or values):
+                break
+            data.append(value) if is_byte else values.append(value)
+            ranges.append((at - begin, end - begin))
+            at = end
+        if not ranges:
+            at = text.find(sign, at + 1)
+            continue
+        ranges = np.array(ranges)
+        if data:
+            yield from _inflated(layer, bytes(data), begin + ranges, unscanned)
+            pieces.append((begin, at, *_decoded(bytes(data), ranges)))
+        else:
+            pieces.append((begin, at, "".join(map(chr, values)), ranges))
+        at = text.find(sign, at)
+    if pieces:
+        yield layer.replaced(pieces)
+
+
+def _unescape_percent(layer, unscanned):
     if "%" not in layer.text:
         return
+    if _PERCENT_CHAIN.search(layer.text):
+        yield from _resolved(layer, "%", unscanned)
+        return
     pieces = []
     for match in _ESCAPED.finditer(layer.text):
         data = bytes.fromhex(match[0].replace("%", ""))
         at = np.arange(len(data))
         ranges = np.stack([3 * at, 3 * at + 3], axis=1)
         pieces.append((match.start(), match.end(), *_decoded(data, ranges)))
+        yield from _inflated(layer, data, match.start() + ranges, unscanned)
     if pieces:
         yield layer.replaced(pieces)
 
 
-def _unescape_unicode(layer, _):
+def _unescape_unicode(layer, unscanned):
     if "\\" not in layer.text:
         return
+    if _UNICODE_CHAIN.search(layer.text):
+        yield from _resolved(layer, "\\", unscanned)
+        return
     pieces = []
     for match in _UNICODE.finditer(layer.text):
         units = [
@@ -181,6 +247,9 @@ def _unescape_unicode(layer, _):
         ]
         if any(code > 0x10FFFF for _, _, code in units):
             continue
+        if all(code < 256 for _, _, code in units):
+            places = match.start() + np.array([unit[:2] for unit in units])
+            yield from _inflated(layer, bytes(unit[2] for unit in units), places, unscanned)
         text, ranges = [], []
         for start, end, code in units:
             if 0xDC00 <= code <= 0xDFFF and text and 0xD800 <= ord(text[-1]) <= 0xDBFF:
@@ -352,23 +421,28 @@ def _unwrap_base64(layer, unscanned):
             raw = base64.b64decode(body + b"=" * (-len(body) % 4))
             at = np.arange(len(raw))
             ranges = np.stack([places[offset + at * 8 // 6], places[offset + (at * 8 + 7) // 6] + 1], axis=1)
+            whole = np.stack([ranges[:, 0], np.full(len(raw), places[-1] + 1)], axis=1)
             text, ranges = _decoded(raw, ranges)
             if text and (not offset and "".join(text.split()).isprintable() or _promising(text)):
                 yield layer.inner(0, text, ranges)
-            done = 0
-            for start in _packed_starts(raw):
-                if start < done:
-                    continue
-                first, last = int(places[offset + start * 8 // 6]), int(places[-1])
-                origin = int(layer.starts[first]), int(layer.ends[last])
-                left = []
-                for level in _levels(raw[start:], left):
-                    if level is None:
-                        unscanned.add(origin)
-                        break
-                    for window in _windows(level, lambda: unscanned.add(origin)):
-                        yield _Layer.of(_decoded(window, None)[0], *origin)
-                done = len(raw) - left[0] if left else done
+            yield from _inflated(layer, raw, whole, unscanned)
+
+
+def _inflated(layer, raw, places, unscanned):
+    """Layers of what compressed data in some bytes holds; their places are ranges of the layer."""
+    done = 0
+    for start in _packed_starts(raw) if len(raw) >= _PACKED_LEAST else ():
+        if start < done:
+            continue
+        origin = int(layer.starts[places[start][0]]), int(layer.ends[places[-1][1] - 1])
+        left = []
+        for level in _levels(raw[start:], left):
+            if level is None:
+                unscanned.add(origin)
+                break
+            for window in _windows(level, lambda: unscanned.add(origin)):
+                yield _Layer.of(_decoded(window, None)[0], *origin)
+        done = len(raw) - left[0] if left else done
 
 
 def _packed_starts(data):
@@ -448,7 +522,8 @@ def secret_report(docs, key="doc_id", text="text"):
     exclusive), ``layers`` and ``incomplete`` of every row.
 
     The counts and ``base`` are of the text itself, ``spans`` also of all decoded layers. A
-    null text is empty. Repeated rows stay; other columns are left out.
+    null text is empty. Repeated rows stay, an empty table gives an empty one; spans of one start are
+    in the order of the kinds. Other columns are left out.
     """
     found = free_name(docs, "found")
     rows = docs.select(key, secrets_column(F.col(text)).alias(found))

@@ -22,9 +22,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import shuffle_partitions
+from tarmac.operators.joins import broadcast_if_small
 from tarmac.sources import stage
 
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 19
 LANE_IDS = 256
 END_ID = 1
 _SHARE_BITS, _MIX_BITS = 16, 8
@@ -138,6 +139,8 @@ def encode_block(ids):
     if not len(ids):
         return np.array([len(head)], "<u4").tobytes() + head
     padded = np.zeros(lanes * steps, dtype=np.int64)
+    if len(alphabet) > 1 << _SHARE_BITS:
+        raise ValueError(f"{len(alphabet)} different ids in a block, at most {1 << _SHARE_BITS}")
     place = np.zeros(alphabet[-1] + 1, dtype=np.int64)
     place[alphabet] = np.arange(len(alphabet))
     padded[: len(ids)] = place[ids]
@@ -308,34 +311,38 @@ def write_token_files(docs, path, tokenizer, key="doc_id", text="text", end=END_
     ).write.option("compression", "none").parquet(path)
 
 
+# Documents that the reader hands on at once.
+_READ_ROWS = 512
+
+
 def _read_blocks(batches):
     for batch in batches:
         for row in batch.itertuples(index=False):
             ids = decode_block(row.coded).astype("<u4")
             if zlib.crc32(ids.tobytes()) != row.ids_crc32:
                 raise ValueError(f"block {row.block} of part {row.part} is damaged")
-            ends = np.cumsum(row.lengths)
-            pieces = np.split(ids, ends[:-1])
-            yield pd.DataFrame(
-                {
-                    "key": list(row.keys),
-                    "part": row.part,
-                    "block": row.block,
-                    "before": ends - row.lengths,
-                    "ids": [p.tobytes() for p in pieces],
-                }
-            )
+            ends = np.cumsum(row.lengths, dtype=np.int64)
+            begins = ends - row.lengths
+            for at in range(0, len(ends), _READ_ROWS):
+                some = slice(at, at + _READ_ROWS)
+                yield pd.DataFrame(
+                    {
+                        "key": list(row.keys[some]),
+                        "start": row.start + begins[some],
+                        "ids": [ids[a:b].tobytes() for a, b in zip(begins[some], ends[some])],
+                    }
+                )
 
 
 def read_token_files(spark, path, key="doc_id"):
     """Key, ``start`` (ids of all documents before it) and ``ids`` (little-endian unsigned
     32-bit integers) of every document in the files. A damaged block fails the job.
+
+    Blocks learn where they start before they are decoded, so coded blocks are all that a join
+    with many of them moves.
     """
     blocks = spark.read.parquet(path)
     kind = blocks.schema["keys"].dataType.elementType.simpleString()
-    docs = blocks.select("part", "block", "keys", "lengths", "ids_crc32", "coded").mapInPandas(
-        _read_blocks, f"key {kind}, part int, block int, before long, ids binary"
-    )
     sizes = blocks.select("part", "block", "n_ids")
     # One row for each file, then one for each block of a file.
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))
@@ -345,11 +352,11 @@ def read_token_files(spark, path, key="doc_id"):
     starts = sizes.select(
         "part", "block", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("of_block")
     ).join(parts, "part")
-    return docs.join(starts, ["part", "block"]).select(
-        F.col("key").alias(key),
-        (F.col("of_part") + F.col("of_block") + F.col("before")).alias("start"),
-        "ids",
-    )
+    starts = starts.select("part", "block", (F.col("of_part") + F.col("of_block")).alias("start"))
+    placed = blocks.join(broadcast_if_small(starts)[0], ["part", "block"])
+    return placed.select(
+        "part", "block", "keys", "lengths", "ids_crc32", "coded", "start"
+    ).mapInPandas(_read_blocks, f"key {kind}, start long, ids binary").withColumnRenamed("key", key)
 
 
 def token_files(docs, tokenizer, key="doc_id", text="text", end=END_ID):

@@ -654,7 +654,7 @@ def test_pipeline_decodes(spark, documents):
 
 def test_all_operators_are_registered():
     numbers = {n.split("_")[0] for n in registry.queries() if n.startswith("op")}
-    assert numbers == {f"op{n}" for n in range(1, 11)} and "pipeline" in registry.queries()
+    assert numbers == {f"op{n}" for n in range(1, 14)} and "pipeline" in registry.queries()
 
 
 def test_digest_columns(spark, texts):

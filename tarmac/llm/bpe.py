@@ -13,10 +13,9 @@ Decoding runs tokens through a UTF-8 state machine whose state is the unfinished
 
 import base64
 import gc
+import struct
 from collections.abc import Iterator
-from itertools import chain
 
-import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import functions as F
@@ -107,6 +106,15 @@ class _State:
         self.final = next((out for _, node, out in paths if node == 0), ())
 
 
+def _pack(ids):
+    """Ids as little-endian unsigned 32-bit integers in one binary value."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _unpack(data):
+    return list(struct.unpack(f"<{len(data) // 4}I", data))
+
+
 class Transducer:
     """Encodes byte strings; states and moves appear as texts need them."""
 
@@ -176,7 +184,7 @@ class Transducer:
 
 
 class Encoder(dict):
-    """Ids of whole texts; maps the pieces used last to their ids."""
+    """Ids of whole texts; maps the pieces used last to their packed ids."""
 
     def __init__(self, ranks, pattern, halves=None):
         self.transducer = Transducer(ranks, halves)
@@ -189,14 +197,17 @@ class Encoder(dict):
             self.clear()
         ids = self.older.get(piece)
         if ids is None:
-            ids = self.transducer.encode(piece.encode())
+            ids = _pack(self.transducer.encode(piece.encode()))
         self[piece] = ids
         return ids
 
+    def packed(self, text):
+        """Ids of a text as little-endian unsigned 32-bit integers; none for a null text."""
+        return b"".join(map(self.__getitem__, self.pieces(text))) if text else b""
+
     def encode(self, text):
         """Ids of a text; none for a null text."""
-        pieces = self.pieces(text) if text else ()
-        return list(chain.from_iterable(map(self.__getitem__, pieces)))
+        return _unpack(self.packed(text))
 
 
 # Decoding
@@ -229,11 +240,18 @@ class Decoder:
     """Texts of ids. Bytes that are no UTF-8 become replacement characters.
 
     The machine's state is the bytes of the unfinished character, of which there are few
-    enough to keep a table of moves by token for each.
+    enough to keep a table of moves by token for each. Where no character is unfinished, a token
+    of whole characters is its text.
     """
 
     def __init__(self, ranks):
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.whole = {}
+        for rank, token in self.tokens.items():
+            try:
+                self.whole[rank] = token.decode()
+            except UnicodeDecodeError:
+                pass
         self._reset()
 
     def _reset(self):
@@ -273,15 +291,30 @@ class Decoder:
             yield _REPLACEMENT
 
     def decode(self, ids):
-        return "".join(self.stream(ids))
+        """The text of all ids; the machine runs from tokens of broken characters on, until none
+        is unfinished.
+        """
+        texts = list(map(self.whole.get, ids))
+        broken = [i for i, text in enumerate(texts) if text is None] if None in texts else ()
+        at = 0
+        for first in broken:
+            if first < at:
+                continue
+            at, state = first, self.start
+            while at < len(ids):
+                text, state = state[1].get(ids[at]) or self._move(state, ids[at])
+                texts[at] = text
+                at += 1
+                if not state[0]:
+                    break
+            else:
+                texts.append(_REPLACEMENT)
+        return "".join(texts)
 
 
 # Columns
 
 
-def _pack(ids):
-    """Ids as little-endian unsigned 32-bit integers in one binary value."""
-    return np.array(ids, "<u4").tobytes()
 
 
 def _share(spark, ranks):
@@ -302,14 +335,31 @@ def _frozen(batches, convert):
         gc.unfreeze()
 
 
+_held = {}
+
+
+def _tools(shared, pattern):
+    """This worker's encoder and decoder, kept for all tasks it runs with one vocabulary.
+
+    Their caches are bounded, and what the texts of one task have taught them serves the next.
+    """
+    vocabulary = shared.value
+    if _held.get("vocabulary") is not vocabulary or _held["pattern"] != pattern:
+        _held.clear()
+        ranks, halves = vocabulary
+        _held.update(vocabulary=vocabulary, pattern=pattern)
+        _held.update(encoder=Encoder(ranks, pattern, halves), decoder=Decoder(ranks))
+    return _held["encoder"], _held["decoder"]
+
+
 def encode_column(spark, text, ranks, pattern):
     """Ids of each text as little-endian unsigned 32-bit integers in one binary value."""
     shared = _share(spark, ranks)
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(shared.value[0], pattern, shared.value[1])
-        return _frozen(batches, lambda texts: pd.Series([_pack(encoder.encode(t)) for t in texts]))
+        encoder, _ = _tools(shared, pattern)
+        return _frozen(batches, lambda texts: pd.Series([encoder.packed(t) for t in texts]))
 
     return encode(text)
 
@@ -323,7 +373,7 @@ def decode_column(spark, ids, ranks):
         decoder = Decoder(shared.value)
         for packed in batches:
             yield pd.Series(
-                [decoder.decode(np.frombuffer(p or b"", "<u4").tolist()) for p in packed]
+                [decoder.decode(_unpack(p or b"")) for p in packed]
             )
 
     return decode(ids)
@@ -335,12 +385,11 @@ def round_trip_column(spark, text, ranks, pattern):
 
     @F.pandas_udf("ids binary, decoded string")
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shared.value[0], pattern, shared.value[1])
-        decoder = Decoder(shared.value[0])
+        encoder, decoder = _tools(shared, pattern)
 
         def convert(texts):
-            packed = [_pack(encoder.encode(t)) for t in texts]
-            decoded = [decoder.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
+            packed = [encoder.packed(t) for t in texts]
+            decoded = [decoder.decode(_unpack(p)) for p in packed]
             return pd.DataFrame({"ids": packed, "decoded": decoded})
 
         return _frozen(batches, convert)

@@ -253,9 +253,20 @@ class WordTokens:
         return [np.frombuffer(b"".join(map(of, words)), np.int32) for words in split]
 
 
+_held = {}
+
+
+def _tokens(shared):
+    """This worker's tokenizer, kept with the words it knows for all tasks that use it."""
+    if _held.get("source") is not shared.value:
+        _held.clear()
+        _held.update(source=shared.value, tokens=WordTokens(shared.value))
+    return _held["tokens"]
+
+
 def _write_blocks(shared, end):
     def write(batches):
-        tokens = WordTokens(shared.value)
+        tokens = _tokens(shared)
         part, made, keys, held, size = TaskContext.get().partitionId(), 0, [], [], 0
         for batch in batches:
             for at in range(0, len(batch), 256):

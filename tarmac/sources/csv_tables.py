@@ -39,8 +39,6 @@ def read_positional_csv(spark, path, schema, trim=False):
     )
 
 
-# Columns besides those of the layout, while ragged lines are read.
-_REST, _LINE = "_rest", "_line"
 SHORT, LONG, MALFORMED = "short", "long", "malformed"
 
 
@@ -57,32 +55,32 @@ def read_ragged_csv(spark, path, schema, trim=False):
     fields are dropped, and a line with a field that its type cannot hold is left out. The
     second holds the lines set aside for a look: ``line``, its number of ``fields``, ``reason``
     (``short``, ``long`` or ``malformed``, the last one first) and ``kept``, whether a row was
-    made of it. Blank lines are no lines.
+    made of it. Blank lines are no lines. A field holds no line break.
     """
-    names = schema.names
-    texts = ", ".join(f"`{name}` string" for name in [*names, _REST, _LINE])
-    # One column more than the layout has, so no line passes for regular and all keep their text;
-    # the parser is to see that column whichever columns are read.
-    lines = (
-        spark.read.options(**_FORMAT)
-        .option("ignoreLeadingWhiteSpace", trim)
-        .option("ignoreTrailingWhiteSpace", trim)
-        .option("columnPruning", False)
-        .csv(path, schema=texts, mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE)
-    )
-    if trim:
-        lines = lines.select([F.trim(c).alias(c) if c in names else F.col(c) for c in lines.columns])
-    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    texts = ", ".join(f"`{name}` string" for name in schema.names)
+    blanks = str(trim).lower()
+    options = {
+        **_FORMAT, "ignoreLeadingWhiteSpace": blanks, "ignoreTrailingWhiteSpace": blanks
+    }
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = lines.select("value", F.from_csv("value", texts, options).alias("fields"))
+    columns = {
+        f.name: F.trim(F.col("fields")[f.name]) if trim else F.col("fields")[f.name]
+        for f in schema.fields
+    }
+    typed = {f.name: columns[f.name].try_cast(f.dataType) for f in schema.fields}
     bad = F.lit(False)
     for name, value in typed.items():
-        bad = bad | (F.col(name).isNotNull() & value.isNull())
-    fields = _fields_in(F.col(_LINE))
+        bad = bad | (columns[name].isNotNull() & value.isNull())
+    fields = _fields_in(F.col("value"))
     reason = (
-        F.when(bad, MALFORMED).when(fields < len(names), SHORT).when(fields > len(names), LONG)
+        F.when(bad, MALFORMED)
+        .when(fields < len(schema.names), SHORT)
+        .when(fields > len(schema.names), LONG)
     )
-    rows = lines.where(~bad).select([value.alias(name) for name, value in typed.items()])
-    aside = lines.select(
-        F.col(_LINE).alias("line"),
+    rows = parsed.where(~bad).select([value.alias(name) for name, value in typed.items()])
+    aside = parsed.select(
+        F.col("value").alias("line"),
         fields.alias("fields"),
         reason.alias("reason"),
         (~bad).alias("kept"),

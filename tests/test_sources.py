@@ -280,7 +280,7 @@ def test_ragged_lines(spark, tmp_path):
     assert found.schema == RAGGED_SCHEMA
     assert {(r["line"][:2], r["fields"], r["reason"], r["kept"]) for r in aside.collect()} == {
         ("BB", 2, "short", True), ("CC", 1, "short", True), ("DD", 5, "long", True),
-        ("EE", 3, "malformed", False), ('"F', 4, "long", True), ('"H', 2, "short", True),
+        ("EE", 3, "malformed", False), ("FF", 4, "long", True), ('"H', 2, "short", True),
         ("II", 5, "malformed", False),
     }
 

@@ -329,9 +329,13 @@ _READ_ROWS = 512
 def _read_blocks(batches):
     for batch in batches:
         for row in batch.itertuples(index=False):
-            ids = decode_block(row.coded).astype("<u4")
+            damage = ValueError(f"block {row.block} of part {row.part} is damaged")
+            try:
+                ids = decode_block(row.coded).astype("<u4")
+            except (IndexError, ValueError, zlib.error) as error:
+                raise damage from error
             if zlib.crc32(ids.tobytes()) != row.ids_crc32:
-                raise ValueError(f"block {row.block} of part {row.part} is damaged")
+                raise damage
             ends = np.cumsum(row.lengths, dtype=np.int64)
             begins = ends - row.lengths
             for at in range(0, len(ends), _READ_ROWS):

@@ -31,15 +31,22 @@ UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
 _MARK = "\N{LOWER ONE EIGHTH BLOCK}"
 # Signs that a pattern of words takes in, though they are numbers and no letters: Ⅷ, ², ½, ①.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
-_WORDS = re.compile(rf"[^\W\d_{_NUMBERS}]{{1,{LONGEST}}}").findall
+_NUMBERS = frozenset(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha()
+)
+_WORDS = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}").findall
 _CODE_BITS = 21
 # Words in memory at once: counted, scored, or kept with their scores.
 _COUNTED, _SCORED, _KEPT = 400_000, 200_000, 300_000
 
 
 def words_of(text):
-    return _WORDS(text.lower()) if text else []
+    if not text:
+        return []
+    text = text.lower()
+    if not text.isascii() and (numbers := _NUMBERS.intersection(text)):
+        text = text.translate(dict.fromkeys(map(ord, numbers), " "))
+    return _WORDS(text)
 
 
 def sentence_pieces(path):

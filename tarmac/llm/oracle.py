@@ -112,3 +112,40 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept
 QUALIFY rank <= 2000
 """
+
+CONTAMINATION = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+    FROM documents
+), items AS (
+    SELECT item_id, words, least(13, len(words)) AS size
+    FROM (SELECT item_id, regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+          FROM benchmark)
+    WHERE len(words) > 0
+), wanted AS (
+    SELECT DISTINCT cast(item_id AS varchar) AS item_id, size,
+           array_to_string(words[i:i + size - 1], ' ') AS body
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM items)
+), found AS (
+    SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS body
+    FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+          FROM docs, (SELECT DISTINCT size FROM wanted) WHERE len(words) >= size)
+), hits AS (
+    SELECT doc_id, i, size, item_id FROM found JOIN wanted USING (size, body)
+), covered AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+           string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items
+    FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

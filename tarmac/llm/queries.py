@@ -153,6 +153,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_wu_manber": oracle.CONTAMINATION,
     "op11_passages": oracle.PASSAGES,
     "op12_dense_tiles": oracle.LEXICAL,
     "op13_setm": oracle.COLLOCATIONS,

@@ -16,6 +16,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 import corpus_pipeline
 from tarmac.llm import (
     bpe,
@@ -27,6 +28,7 @@ from tarmac.llm import (
     token_files,
 )
 from tests.conftest import DATA
+from tools.compare import compare, connect
 
 ROWS = [
     (1, None, None, None, None),
@@ -81,6 +83,11 @@ def test_contamination(spark, odd):
     assert contamination.contamination_report(odd.limit(0), bench).collect() == []
 
 
+def test_contamination_equals_its_sql(spark):
+    name = "op3_wu_manber"
+    assert compare(connect(DATA), registry.queries()[name](spark, DATA), name) is None
+
+
 def test_languages(spark, odd):
     pieces = language.sentence_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     rows = by_key(language.identify_languages(odd, pieces), "lang_pred", "score")

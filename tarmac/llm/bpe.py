@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import free_name
 
 # Entries of the caches of a worker. A full cache starts anew; of pieces, the last used stay.
-PIECES = 150_000
-STATES = 300_000
-PAIRS = 300_000
+PIECES = 100_000
+STATES = 200_000
+PAIRS = 200_000
 _WHOLE = float("inf")
 
 
@@ -345,7 +345,13 @@ def _tools(shared, pattern):
     """
     vocabulary = shared.value
     if _held.get("vocabulary") is not vocabulary or _held["pattern"] != pattern:
-        _held.clear()
+        if _held:
+            # States refer to one another; nothing frees them at once but this.
+            for state in _held.pop("encoder").transducer.states.values():
+                state.moves.clear()
+            _held.clear()
+            gc.unfreeze()
+            gc.collect()
         ranks, halves = vocabulary
         _held.update(vocabulary=vocabulary, pattern=pattern)
         _held.update(encoder=Encoder(ranks, pattern, halves), decoder=Decoder(ranks))

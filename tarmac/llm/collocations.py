@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import settings, shuffle_partitions
-from tarmac.operators.joins import BROADCAST_LIMIT, measured_bytes
+from tarmac.operators.joins import BROADCAST_LIMIT, broadcast_if_small, measured_bytes
 from tarmac.operators.ranking import with_rank
 from tarmac.sources import stage
 
@@ -215,7 +215,7 @@ def collocations(
             own = phrases[length - 1]
             if length < longest:
                 own = _not_covered(own, phrases[length])
-            cut = own.join(F.broadcast(totals), "lang").withColumn("cut", _best_cut(length))
+            cut = own.join(broadcast_if_small(totals)[0], "lang").withColumn("cut", _best_cut(length))
             rows.append(cut.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score"))
         order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
         ranked = with_rank(reduce(lambda a, b: a.union(b), rows), order, ["lang"])

@@ -1,108 +1,187 @@
 """Document scores by prediction by partial matching over bytes.
 
-The model predicts the bytes of each word, then a space, from up to five bytes before them in the
-word and the space that opens it; a second space in its place ends the text. Contexts form a
-trie of counts over all training words. A byte that the longest context never saw is
+The model predicts the bytes of a text whose words are each followed by one space; a second space
+ends it. A byte is predicted from the five bytes before it, spaces and earlier words included;
+before the first word stand five spaces, which nothing else can give. Contexts form a trie of
+counts over all training texts. A byte that the longest context never saw is
 reached by escapes to shorter ones, whose bytes already ruled out are excluded. How likely an
 escape is, is learnt for classes of contexts by leaving out each training byte once.
 
-Above the bytes stand two contexts of whole words. One is the word in the trie of training words, left for
-the bytes as often as training words occur only once. The other is the document's own words so far: it
-weighs as much as they are many, against ``OWN_WEIGHT`` for the pretrained model. Its
-code length is the same in any order of the words, so word counts give it in closed form.
-
 Neither the counts nor the vocabulary fit into memory at scale, so nothing is broadcast but the tables
 of contexts of one byte or none (65,536 entries at most). Texts are read once, in chunks of bounded
-size; each chunk becomes rows of word numbers and a dictionary of its words and of the grams
-(context and byte) they need. The dictionaries are summed up by key, the grams are
-scored once each, grouped by the last two bytes of their context, which hold all the counts an
-escape can lead to, and the values return to the chunks that asked for them.
+size; each chunk becomes rows of texts and a dictionary of its words and of the grams
+(context and byte) they need. The dictionaries are summed up by key, with a list of the chunks that
+asked; the grams are scored once each, grouped by the last two bytes of their context, which
+hold all the counts an escape can lead to, and the values return to those chunks, where they
+are read before the texts.
 """
 
 from collections import Counter, defaultdict
-from math import lgamma, log, log10
+from math import log10
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import ascii_lower, crc_of_id
 from tarmac.sources import stage
 
+# A gram has one byte more and travels through numpy as one 64-bit number.
 ORDER = 5
-OWN_WEIGHT = 1000.0
 HELD_OUT = 10
-CHUNK_BYTES = 16 * 1024 * 1024
+CHUNK_BYTES = 32 * 1024 * 1024
+# Texts of so many bytes are taken apart at once.
+BLOCK_BYTES = 1024 * 1024
+# Grams of blocks that wait to be merged, at least.
+MERGED = 500_000
 SMOOTHING = 0.1
 # Log probabilities of bytes travel as whole billionths.
 UNIT = 1e9
 
 
-def grams_of(word, order=ORDER):
-    """The contexts with the byte that follows each, for a word and the space after it."""
-    data = b" " + word + b" "
-    return [data[max(0, at - order) : at + 1] for at in range(1, len(data))]
-
-
-class _Numbers(dict):
-    def __missing__(self, word):
-        number = self[word] = len(self)
-        return number
+def grams_of(text, order=ORDER):
+    """The contexts with the byte that follows each, for a text and the space after it."""
+    data = b" " * order + text + b" "
+    return [data[at - order : at + 1] for at in range(order, len(data))]
+
+
+def _packed_grams(texts, order):
+    """The grams of all texts as numbers, text after text, and where those of each begin."""
+    opening = b" " * order
+    data = np.frombuffer(b"".join([opening + text + b" " for text in texts]), np.uint8)
+    grams = data[: len(data) - order].astype(np.int64)
+    for at in range(1, order + 1):
+        grams <<= 8
+        grams |= data[at : len(data) - order + at]
+    sizes = np.fromiter((len(text) + 1 for text in texts), np.int64, len(texts))
+    # Those that would run from a text into the next one.
+    ends = np.cumsum(sizes + order)[:-1] - order
+    grams = np.delete(grams, (ends[:, None] + np.arange(order)).ravel())
+    return grams, np.cumsum(sizes) - sizes
+
+
+def _entries(grams, order):
+    """Entries of the dictionary, one for each packed gram."""
+    entries = np.full((len(grams), order + 2), ord("g"), np.uint8)
+    entries[:, 1:] = grams.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 7 - order :]
+    data, width = entries.tobytes(), order + 2
+    return [data[at : at + width] for at in range(0, len(data), width)]
+
+
+def _packed(entries, order):
+    """Which entries of the dictionary are grams, and those packed."""
+    entries = entries.cast(pa.large_binary())
+    _, offsets, data = entries.buffers()
+    begins = np.frombuffer(offsets, np.int64)[entries.offset : entries.offset + len(entries)]
+    data = np.frombuffer(data, np.uint8)
+    is_gram = data[begins] == ord("g")
+    begins, grams = begins[is_gram] + 1, np.int64(0)
+    for at in range(order + 1):
+        grams = grams << 8 | data[begins + at].astype(np.int64)
+    return is_gram, grams
+
+
+def _summed(keys, counts):
+    """Sorted distinct keys with the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def _blocks(texts):
+    """Positions from and to of runs of texts of bounded size, or of one text."""
+    begin = size = 0
+    for at, text in enumerate(texts):
+        if at > begin and size + len(text) > BLOCK_BYTES:
+            yield begin, at
+            begin, size = at, 0
+        size += len(text) + 64
+    if len(texts) > begin:
+        yield begin, len(texts)
 
 
 class _Chunk:
-    def __init__(self):
-        self.numbers, self.docs, self.size = _Numbers(), [], 0
+    """Words and grams of the texts so far; of the texts only a block that is not yet taken apart."""
+
+    def __init__(self, number, order):
+        self.number, self.order, self.size = number, order, 0
+        self.words, self.others = Counter(), set()
+        self.docs, self.pending = [], 0
+        self.grams = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
     def add(self, key, held_out, text):
-        data = ascii_lower(text)
-        found = Counter(data.split())
-        found[b""] = 1
-        ids = np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found))
-        counts = np.fromiter(found.values(), np.int32, len(found))
-        self.docs.append((key, held_out, ids, counts))
-        self.size += len(data) + 64
-
-    def rows(self, chunk, order):
-        """One row for each document, one for each word and gram of the chunk."""
-        keys, held_out, ids, counts = zip(*self.docs)
-        yield pd.DataFrame(
-            {"chunk": chunk, "key": keys, "held_out": held_out, "ids": ids, "counts": counts}
-        )
-        learnt = [np.where(h, 0, c) for h, c in zip(held_out, counts)]
-        train = np.bincount(np.concatenate(ids), np.concatenate(learnt), len(self.numbers))
-        train = train.astype(np.int64)
-        grams = defaultdict(int)
-        for word, n in zip(self.numbers, train.tolist()):
-            for gram in grams_of(word, order):
-                grams[gram] += n
-        entries = [b"w" + word for word in self.numbers] + [b"g" + gram for gram in grams]
-        numbers = list(range(len(self.numbers))) + [-1] * len(grams)
-        seen = np.concatenate([train, np.fromiter(grams.values(), np.int64, len(grams))])
-        for at in range(0, len(entries), 100_000):
+        """Rows of texts, whenever a block of them is full."""
+        words = ascii_lower(text).split()
+        words.append(b"")
+        if held_out:
+            self.others.update(words)
+        else:
+            self.words.update(words)
+        # The end is an empty word, so a space follows each word.
+        self.docs.append((key, held_out, b" ".join(words)))
+        size = len(self.docs[-1][2]) + 64
+        self.size, self.pending = self.size + size, self.pending + size
+        if self.pending >= BLOCK_BYTES:
+            yield self._take_apart()
+
+    def _take_apart(self):
+        """Count the grams of the block and return its rows of texts."""
+        keys, held_out, texts = zip(*self.docs)
+        for held in (False, True):
+            block = [text for text, other in zip(texts, held_out) if other == held]
+            if block:
+                found, n = np.unique(_packed_grams(block, self.order)[0], return_counts=True)
+                self.grams[0].append(found)
+                self.grams[1].append(n * (not held))
+        if sum(map(len, self.grams[0][1:])) > max(MERGED, len(self.grams[0][0])):
+            self._merge()
+        self.docs, self.pending = [], 0
+        return pd.DataFrame({"chunk": self.number, "key": keys, "held_out": held_out, "data": texts})
+
+    def _merge(self):
+        summed = _summed(*map(np.concatenate, self.grams))
+        self.grams = [summed[0]], [summed[1]]
+
+    def rest(self):
+        """The last texts and one row for each word and gram of the chunk."""
+        if self.docs:
+            yield self._take_apart()
+        words = [*self.words, *(self.others - self.words.keys())]
+        counts = np.fromiter((self.words[word] for word in words), np.int64, len(words))
+        for at in range(0, len(words), 100_000):
             to = at + 100_000
-            yield pd.DataFrame(
-                {"chunk": chunk, "entry": entries[at:to], "number": numbers[at:to], "train": seen[at:to]}
-            )
+            entries = [b"w" + word for word in words[at:to]]
+            yield pd.DataFrame({"chunk": self.number, "entry": entries, "train": counts[at:to]})
+        self._merge()
+        (grams,), (counts,) = self.grams
+        for at in range(0, len(grams), 100_000):
+            to = at + 100_000
+            entries = _entries(grams[at:to], self.order)
+            yield pd.DataFrame({"chunk": self.number, "entry": entries, "train": counts[at:to]})
 
 
 def _chunks(order):
     def read(batches):
-        part, made, chunk = TaskContext.get().partitionId(), 0, _Chunk()
+        part, made, chunk = TaskContext.get().partitionId() << 32, 0, None
         for batch in batches:
             for key, held_out, text in zip(batch["key"], batch["held_out"], batch["text"]):
-                chunk.add(key, held_out, text)
+                chunk = chunk or _Chunk(part | made, order)
+                yield from map(_complete, chunk.add(key, held_out, text))
                 if chunk.size >= CHUNK_BYTES:
-                    yield from map(_complete, chunk.rows(part << 32 | made, order))
-                    made, chunk = made + 1, _Chunk()
-        if chunk.docs:
-            yield from map(_complete, chunk.rows(part << 32 | made, order))
+                    yield from map(_complete, chunk.rest())
+                    made, chunk = made + 1, None
+        if chunk:
+            yield from map(_complete, chunk.rest())
 
     return read
 
 
-_COLUMNS = ["chunk", "key", "held_out", "ids", "counts", "entry", "number", "train"]
+_COLUMNS = ["chunk", "key", "held_out", "data", "entry", "train"]
 
 
 def _complete(frame):
@@ -238,54 +317,60 @@ def _short_contexts(grams):
 # Scores
 
 
-def _own_words(ids, counts, logs):
-    """Natural log of a text's probability, given those of its words by the pretrained model."""
-    total = lgamma(OWN_WEIGHT) - lgamma(OWN_WEIGHT + int(counts.sum()))
-    total += float((logs[ids] + log(OWN_WEIGHT)).sum())
-    again = counts > 1
-    for n, share in zip(counts[again].tolist(), np.exp(logs[ids[again]]).tolist()):
-        total += lgamma(n + OWN_WEIGHT * share) - lgamma(1 + OWN_WEIGHT * share)
-    return total
-
+class _Dictionary:
+    """Counts of the words and scores of the grams that a chunk asked for."""
 
-def _score_chunk(tokens, distinct, once):
+    def __init__(self):
+        self.words, self.grams, self.logs, self.index = {}, [], [], None
+
+    def add(self, entries, values, order):
+        is_gram, grams = _packed(entries, order)
+        self.grams.append(grams)
+        self.logs.append(values[is_gram])
+        words = entries.filter(pa.array(~is_gram)).to_pylist()
+        self.words.update(zip((word[1:] for word in words), values[~is_gram].tolist()))
+
+    def score(self, texts, low, order):
+        """Tokens, known tokens, base score and score of each text."""
+        if self.index is None:
+            self.index, self.logs = pd.Index(np.concatenate(self.grams)), np.concatenate(self.logs)
+            self.grams = None
+        for begin, end in _blocks(texts):
+            found = [text.split() + [b""] for text in texts[begin:end]]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            starts = np.cumsum(sizes) - sizes
+            seen = (self.words[word] for words in found for word in words)
+            seen = np.fromiter(seen, np.int64, int(sizes.sum()))
+            base = np.add.reduceat(np.log10((seen + SMOOTHING) / low), starts)
+            met, first = _packed_grams(texts[begin:end], order)
+            logs = self.logs[self.index.get_indexer(met)]
+            known = np.add.reduceat((seen > 0).astype(np.int64), starts)
+            yield sizes, known, base, np.add.reduceat(logs, first) / UNIT
+
+
+def _score_chunks(tokens, distinct, order):
+    """Score the texts of each chunk, odd turns, by its dictionary, the even turn before."""
     low = tokens + SMOOTHING * (distinct + 1)
-    novel = once / tokens if once else 1 / (tokens + 1)
-
-    def score(docs, values):
-        is_word = values["number"] >= 0
-        words = values[is_word].sort_values("number")
-        grams = values[~is_word]
-        value = dict(zip((entry[1:] for entry in grams["entry"]), grams["value"]))
-        seen = words["value"].to_numpy()
-        by_bytes = np.fromiter(
-            (sum(value[gram] for gram in grams_of(entry[1:])) for entry in words["entry"]),
-            np.int64,
-            len(words),
-        )
-        with np.errstate(divide="ignore"):
-            whole = np.log(seen * ((1 - novel) / max(1, tokens)))
-        logs = np.logaddexp(whole, by_bytes / UNIT * log(10) + log(novel))
-        base = np.log10((seen + SMOOTHING) / low)
-        rows = []
-        for key, held_out, ids, counts in zip(
-            docs["key"], docs["held_out"], docs["ids"], docs["counts"]
-        ):
-            counts = counts.astype(np.int64)
-            rows.append(
-                (
-                    key,
-                    held_out,
-                    int(counts.sum()),
-                    int(counts[seen[ids] > 0].sum()),
-                    tokens,
-                    float((base[ids] * counts).sum()),
-                    _own_words(ids, counts, logs) / log(10),
-                )
-            )
-        return pd.DataFrame(rows, columns=[
-            "key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
-        ])
+    names = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def score(batches):
+        turn = dictionary = None
+        for batch in batches:
+            turns = batch.column("turn").to_numpy()
+            cuts = [0, *(np.flatnonzero(turns[1:] != turns[:-1]) + 1).tolist(), len(turns)]
+            for begin, end in zip(cuts, cuts[1:]):
+                part = batch.slice(begin, end - begin)
+                values = part.column("value").to_numpy()
+                if turns[begin] % 2 == 0:
+                    if turns[begin] != turn:
+                        turn, dictionary = turns[begin], _Dictionary()
+                    dictionary.add(part.column("entry"), values, order)
+                    continue
+                scores = dictionary.score(part.column("entry").to_pylist(), low, order)
+                sizes, known, base, logs = map(np.concatenate, zip(*scores))
+                train = np.full(len(sizes), tokens, np.int64)
+                columns = map(pa.array, (values != 0, sizes, known, train, base, logs))
+                yield pa.RecordBatch.from_arrays([part.column("key"), *columns], names)
 
     return score
 
@@ -295,11 +380,11 @@ def score_documents(docs, key="doc_id", text="text", held_out=None):
 
     Returns the key, ``held_out``, ``n_tokens`` (words and one end), ``n_known`` (tokens seen
     in training), ``train_tokens``, ``base_score`` (smoothed unigrams) and ``score``, the
-    model's log10 probability; other columns are left out. ``held_out`` is a boolean column,
-    by default whether crc32 of the key as text is divisible by ten; where it is null the
-    row is held out. A null text is empty and has only its end; a null key counts as the
-    empty text. Repeated rows count each time. If nothing is trained on, all bytes are
-    equally likely at first.
+    model's log10 probability of its words in their order; other columns are left out.
+    ``held_out`` is a boolean column, by default whether crc32 of the key as text is divisible
+    by ten; where it is null the row is held out. A null text is empty and has only its end; a
+    null key counts as the empty text. Repeated rows count each time. If nothing is trained
+    on, all bytes are equally likely.
     """
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
@@ -311,21 +396,17 @@ def score_documents(docs, key="doc_id", text="text", held_out=None):
         F.col(text).alias("text"),
     )
     path = stage.new_stage_path(spark, "chunks")
-    schema = (
-        f"chunk long, key {kind}, held_out boolean, ids array<int>, counts array<int>, "
-        "entry binary, number int, train long"
-    )
+    schema = f"chunk long, key {kind}, held_out boolean, data binary, entry binary, train long"
     rows.mapInPandas(_chunks(ORDER), schema).write.option("compression", "zstd").parquet(path)
     read = spark.read.schema(schema).parquet(path)
-    entries = read.where("entry IS NOT NULL").select("chunk", "entry", "number", "train")
-    totals = stage.keep(entries.groupBy("entry").agg(F.sum("train").alias("n")), "totals", "zstd")
+    entries = read.where("entry IS NOT NULL").groupBy("entry")
+    summed = entries.agg(F.sum("train").alias("n"), F.collect_list("chunk").alias("chunks"))
+    totals = stage.keep(summed, "totals", "zstd")
     is_word = F.expr("substring(entry, 1, 1) = X'77'")
     words, grams = totals.where(is_word), totals.where(~is_word)
-    tokens, distinct, once = (
-        words.where("n > 0").agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1)).first()
-    )
-    # The last two bytes before the predicted one; after the opening space alone, its mark too.
-    by_tail = grams.groupBy(F.expr("substring(entry, octet_length(entry) - 2, 2)").alias("tail"))
+    tokens, distinct = words.where("n > 0").agg(F.sum("n"), F.count("*")).first()
+    # The last two bytes before the predicted one.
+    by_tail = grams.select("entry", "n").groupBy(F.expr("substring(entry, octet_length(entry) - 2, 2)").alias("tail"))
     short = _short_contexts(grams)
     met = by_tail.applyInPandas(
         _count_escapes(spark.sparkContext.broadcast((short, None))),
@@ -336,17 +417,20 @@ def score_documents(docs, key="doc_id", text="text", held_out=None):
     escapes = escape_estimates([(tuple(row[:3]), *row[3:]) for row in classes.collect()])
     shared = spark.sparkContext.broadcast((short, escapes))
     scored = by_tail.applyInPandas(_score_grams(shared), "entry binary, value long")
-    values = words.select("entry", F.col("n").alias("value")).union(scored)
-    asked = entries.select("chunk", "entry", "number").join(values, "entry")
+    scored = scored.join(grams.select("entry", "chunks"), "entry")
+    values = words.select("entry", F.col("n").alias("value"), "chunks").union(scored)
+    asked = values.select(F.explode("chunks").alias("chunk"), "entry", "value").select(
+        F.expr("2 * chunk").alias("turn"), "entry", "value", F.lit(None).cast(kind).alias("key")
+    )
+    texts = read.where("entry IS NULL").select(
+        F.expr("2 * chunk + 1").alias("turn"), "data", F.col("held_out").cast("long"), "key"
+    )
     return (
-        spark.read.schema(schema)
-        .parquet(path)
-        .where("entry IS NULL")
-        .select("chunk", "key", "held_out", "ids", "counts")
-        .groupBy("chunk")
-        .cogroup(asked.groupBy("chunk"))
-        .applyInPandas(
-            _score_chunk(tokens or 0, distinct, once),
+        asked.union(texts)
+        .repartition(F.shiftright("turn", 1))
+        .sortWithinPartitions("turn")
+        .mapInArrow(
+            _score_chunks(tokens or 0, distinct, ORDER),
             f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
             "base_score double, score double",
         )

@@ -193,6 +193,63 @@ def test_ppm_probabilities_sum_to_one():
         assert total == pytest.approx(1)
 
 
+def _slow_ppm(texts):
+    """Log10 probability of a byte after all text before it, from counts of every context."""
+    grams = Counter()
+    for text in texts:
+        grams.update(ppm.grams_of(b"".join(word + b" " for word in words(text))))
+    nodes = {}
+    for gram, n in grams.items():
+        for begin in range(6):
+            nodes.setdefault(gram[begin:5], Counter())[gram[5]] += n
+    contexts = ppm._Contexts({c: dict(node) for c, node in nodes.items() if len(c) < 2})
+    for gram, n in grams.items():
+        contexts.learn(gram[:5], gram[5], n)
+    met = {}
+    for gram, n in grams.items():
+        for class_, escapes, hits in contexts.surprises(gram[:5], gram[5], n):
+            seen = met.setdefault(class_, [0, 0])
+            seen[0] += escapes
+            seen[1] += hits
+
+    def probability(before, byte):
+        gone, ruled_out = 1.0, set()
+        for begin in range(6):
+            node = nodes.get(before[-5:][begin:], {})
+            left = {b: n for b, n in node.items() if b not in ruled_out}
+            if not left:
+                continue
+            total, distinct = sum(left.values()), len(left)
+            escapes, hits = met.get(ppm._class_of(5 - begin, total, distinct), (None, 0))
+            escape = distinct / (total + distinct)
+            if escapes is not None:
+                escape = (escapes + 0.5) / (escapes + hits + 1)
+            if byte in left:
+                return math.log10(gone * (1 - escape) * left[byte] / total)
+            gone *= escape
+            ruled_out |= set(left)
+        return math.log10(gone / (256 - len(ruled_out)))
+
+    return probability
+
+
+def test_ppm_sees_across_spaces(spark, monkeypatch):
+    train = ["the cat sat on the mat", "The cat ate\tthe rat", None, "a cat \u00e9t\u00e9 ", "the cat sat on the mat"]
+    others = ["the cat sat", "sat the cat", "a dog barks at the zoo", "", None, "x " * 40]
+    rows = [(i, t, i >= len(train)) for i, t in enumerate(train + others)]
+    table = spark.createDataFrame(rows, "id long, body string, other boolean")
+    probability = _slow_ppm([t or "" for t in train])
+    for bound in (ppm.BLOCK_BYTES, 70):
+        monkeypatch.setattr(ppm, "BLOCK_BYTES", bound)
+        found = ppm.score_documents(table, "id", "body", F.col("other")).collect()
+        score = {r["id"]: r["score"] for r in found}
+        for i, text, _ in rows:
+            data = b" " * 5 + b"".join(word + b" " for word in words(text or "")) + b" "
+            expected = sum(probability(data[:at], data[at]) for at in range(5, len(data)))
+            assert score[i] == pytest.approx(expected, abs=1e-6)
+    assert score[len(train)] > score[len(train) + 1] + 1
+
+
 # 3
 
 

@@ -37,6 +37,8 @@ def bucketizer(*columns):
 
 
 OUTSIDE = -1.0
+# Rows that a task of a training holds decoded, at some 150 bytes each.
+TASK_ROWS = 250_000
 # Bytes of an index row besides its name.
 _ROW_BYTES = 40
 
@@ -103,6 +105,19 @@ def spread(rows, least_rows):
     return rows.withColumn("parts", parts).select("*", part).select(*others, share.alias("weight"))
 
 
+def dealt(rows):
+    """Training rows in partitions of bounded size.
+
+    A training keeps its rows decoded and reads each partition whole in every pass. A file's
+    part of bounded bytes can hold any number of compact rows, as they compress well.
+    """
+    number = rows.count()
+    if number <= TASK_ROWS:
+        return rows
+    parts = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(parts, -(-number // TASK_ROWS)))
+
+
 def category_counts(table, weight=None):
     """Rows per column and category; ``weight`` names a column of repeat counts."""
     pairs = [

@@ -10,6 +10,7 @@ from tarmac.operators.encoding import (
     bucketizer,
     check_bucket_bounds,
     compact,
+    dealt,
     fit_category_indexer,
     label_indexer,
     normalizer,
@@ -74,10 +75,10 @@ def fit_classifier(train, encoders, model):
     deviation that weights change slightly, so its last digits may differ.
     """
     if model != "tree":
-        return _logistic().fit(train)
+        return _logistic().fit(dealt(train))
     largest = max(encoders[0].sizes.values()) + 1
     bins = max(TREE_MIN_BINS, largest)
-    return _tree(bins).fit(spread(train, bins))
+    return _tree(bins).fit(dealt(spread(train, bins)))
 
 
 def evaluate(classifier, encoded):

@@ -95,6 +95,31 @@ def test_few_combinations_still_fill_the_bins(spark, features):
     assert fitted.stages[-1].depth >= 0
 
 
+@pytest.mark.parametrize("model", training.MODELS)
+def test_no_task_of_a_training_holds_all_rows(features, monkeypatch, model):
+    fit, sizes = {"tree": "_tree", "logistic": "_logistic"}[model], []
+    made = getattr(training, fit)
+
+    class Watched:
+        def __init__(self, *args):
+            self.estimator = made(*args)
+
+        def fit(self, train):
+            parts = train.groupBy(F.spark_partition_id().alias("part"))
+            agg = parts.agg(F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()
+            sizes.append((max(r["n"] for r in agg), sum(r["n"] for r in agg), sum(r["weight"] for r in agg)))
+            return self.estimator.fit(train)
+
+    monkeypatch.setattr(training, fit, Watched)
+    _, evaluation = training.train_and_evaluate(features.coalesce(1), model)
+    expected = {r["set"]: tuple(r) for r in evaluation.collect()}
+    monkeypatch.setattr(encoding, "TASK_ROWS", 200)
+    _, evaluation = training.train_and_evaluate(features.coalesce(1), model)
+    assert {r["set"]: tuple(r) for r in evaluation.collect()} == expected
+    (whole, *before), (largest, *after) = sizes
+    assert before == after and largest <= 220 < whole
+
+
 def test_fitted_pipeline_predicts_feature_rows(features):
     fitted, evaluation = training.train_and_evaluate(features, "tree")
     by_row = metrics.confusion_metrics(

@@ -24,8 +24,8 @@ from tarmac.llm.common import free_name
 
 # Entries of the caches of a worker. A full cache starts anew; of pieces, the last used stay.
 PIECES = 100_000
-STATES = 200_000
-PAIRS = 200_000
+STATES = 250_000
+PAIRS = 250_000
 _WHOLE = float("inf")
 
 
@@ -121,15 +121,18 @@ class Transducer:
     def __init__(self, ranks, halves=None):
         self.merges = Merges(ranks, halves)
         self.ranks = ranks
-        self.child, self.token_at = {}, {}
+        child, token_at = {}, {}
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                node = self.child.setdefault(node << 8 | byte, len(self.child) + 1)
+                node = child.setdefault(node << 8 | byte, len(child) + 1)
             if self.merges.reachable(rank):
-                self.token_at[node] = rank
-        # A path inside the trie lives on only where the trie does.
-        self.inner = {key >> 8 for key in self.child}
+                token_at[node] = rank
+        # The next node, 0 where the trie ends and no path inside it lives on, and the token there.
+        inner = {key >> 8 for key in child}
+        self.steps = {
+            key: (node if node in inner else 0, token_at.get(node)) for key, node in child.items()
+        }
         self.states = {}
         self.start = self._state(((None, 0, ()),))
 
@@ -147,15 +150,14 @@ class Transducer:
 
     def _move(self, state, byte):
         paths = []
-        child, token_at, adjacent = self.child.get, self.token_at.get, self.merges.adjacent
-        inner = self.inner
+        step, adjacent = self.steps.get, self.merges.adjacent
         for last, node, out in state.paths:
-            node = child(node << 8 | byte)
-            if node is None:
+            found = step(node << 8 | byte)
+            if found is None:
                 continue
-            if node in inner:
+            node, token = found
+            if node:
                 paths.append((last, node, out))
-            token = token_at(node)
             if token is not None and (last is None or adjacent(last, token)):
                 paths.append((token, 0, (*out, token)))
         outs = [out for _, _, out in paths]
@@ -326,12 +328,20 @@ def _share(spark, ranks):
 
 
 def _frozen(batches, convert):
-    """Convert each batch; the long-lived objects of the tables are kept from the collector."""
+    """Convert each batch; the long-lived objects of the tables are kept from the collector.
+
+    It does not run within a batch either, whose many new states would have it look through
+    all of them again and again; states that are given up are taken apart at once.
+    """
     try:
         for batch in batches:
-            yield convert(batch)
+            gc.disable()
+            done = convert(batch)
+            gc.enable()
+            yield done
             gc.freeze()
     finally:
+        gc.enable()
         gc.unfreeze()
 
 

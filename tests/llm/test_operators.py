@@ -2,6 +2,7 @@
 
 import base64
 import bz2
+import gc
 import gzip
 import hashlib
 import lzma
@@ -336,6 +337,18 @@ def test_decoder_on_broken_bytes():
         assert decoder.decode(list(data)) == data.decode("utf-8", "replace")
 
 
+def test_bpe_collector_rests_within_a_batch():
+    def convert(batch):
+        if batch is None:
+            raise ValueError
+        return batch, gc.isenabled()
+
+    assert list(bpe._frozen([1, 2], convert)) == [(1, False), (2, False)] and gc.isenabled()
+    with pytest.raises(ValueError):
+        list(bpe._frozen([None], convert))
+    assert gc.isenabled() and not gc.get_freeze_count()
+
+
 # 6
 
 

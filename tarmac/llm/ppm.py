@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import ascii_lower, crc_of_id
+from tarmac.llm.common import ascii_lower, crc_of_id, settings
 from tarmac.sources import stage
 
 # A gram has one byte more and travels through numpy as one 64-bit number.
@@ -34,6 +34,8 @@ HELD_OUT = 10
 CHUNK_BYTES = 32 * 1024 * 1024
 # Texts of so many bytes are taken apart at once.
 BLOCK_BYTES = 1024 * 1024
+# Rows that go to a worker at once; texts make large ones.
+BATCH_ROWS = 2000
 # Grams of blocks that wait to be merged, at least.
 MERGED = 500_000
 SMOOTHING = 0.1
@@ -366,11 +368,14 @@ def _score_chunks(tokens, distinct, order):
                         turn, dictionary = turns[begin], _Dictionary()
                     dictionary.add(part.column("entry"), values, order)
                     continue
-                scores = dictionary.score(part.column("entry").to_pylist(), low, order)
-                sizes, known, base, logs = map(np.concatenate, zip(*scores))
-                train = np.full(len(sizes), tokens, np.int64)
-                columns = map(pa.array, (values != 0, sizes, known, train, base, logs))
-                yield pa.RecordBatch.from_arrays([part.column("key"), *columns], names)
+                for at in range(0, len(part), BATCH_ROWS):
+                    some = part.slice(at, BATCH_ROWS)
+                    scores = dictionary.score(some.column("entry").to_pylist(), low, order)
+                    sizes, known, base, logs = map(np.concatenate, zip(*scores))
+                    train = np.full(len(sizes), tokens, np.int64)
+                    held_out = values[at : at + BATCH_ROWS] != 0
+                    columns = map(pa.array, (held_out, sizes, known, train, base, logs))
+                    yield pa.RecordBatch.from_arrays([some.column("key"), *columns], names)
 
     return score
 
@@ -397,7 +402,9 @@ def score_documents(docs, key="doc_id", text="text", held_out=None):
     )
     path = stage.new_stage_path(spark, "chunks")
     schema = f"chunk long, key {kind}, held_out boolean, data binary, entry binary, train long"
-    rows.mapInPandas(_chunks(ORDER), schema).write.option("compression", "zstd").parquet(path)
+    with settings(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        chunks = rows.mapInPandas(_chunks(ORDER), schema)
+        chunks.write.option("compression", "zstd").parquet(path)
     read = spark.read.schema(schema).parquet(path)
     entries = read.where("entry IS NOT NULL").groupBy("entry")
     summed = entries.agg(F.sum("train").alias("n"), F.collect_list("chunk").alias("chunks"))
@@ -425,7 +432,7 @@ def score_documents(docs, key="doc_id", text="text", held_out=None):
     texts = read.where("entry IS NULL").select(
         F.expr("2 * chunk + 1").alias("turn"), "data", F.col("held_out").cast("long"), "key"
     )
-    return (
+    scores = (
         asked.union(texts)
         .repartition(F.shiftright("turn", 1))
         .sortWithinPartitions("turn")
@@ -436,3 +443,6 @@ def score_documents(docs, key="doc_id", text="text", held_out=None):
         )
         .withColumnRenamed("key", key)
     )
+    # Written here, as the size of a batch is a setting of the running job.
+    with settings(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        return stage.keep(scores, "scores", "zstd")

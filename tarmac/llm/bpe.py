@@ -23,9 +23,13 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import free_name
 
 # Entries of the caches of a worker. A full cache starts anew; of pieces, the last used stay.
-PIECES = 100_000
-STATES = 250_000
+PIECES = 200_000
+MOVES = 300_000
 PAIRS = 250_000
+# Bytes at the start of a piece whose moves are kept as one.
+HEAD = 4
+# Rows that are encoded, and handed on, at once.
+ROWS = 256
 _WHOLE = float("inf")
 
 
@@ -43,7 +47,7 @@ class Merges:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.halves = {} if halves is None else halves
-        self.pairs = {}
+        self.pairs, self.width = {}, max(ranks.values(), default=0) + 1
 
     def merge(self, data, below=_WHOLE):
         """Tokens of a short byte string by the merges of lower rank than ``below``."""
@@ -69,7 +73,7 @@ class Merges:
         return len(self.tokens[token]) == 1 or self.split(token) is not None
 
     def adjacent(self, left, right):
-        key = left << 32 | right
+        key = left * self.width + right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= PAIRS:
@@ -97,15 +101,6 @@ class Merges:
                 return True
 
 
-class _State:
-    __slots__ = ("final", "moves", "paths")
-
-    def __init__(self, paths):
-        self.paths = paths
-        self.moves = {}
-        self.final = next((out for _, node, out in paths if node == 0), ())
-
-
 def _pack(ids):
     """Ids as little-endian unsigned 32-bit integers in one binary value."""
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -125,50 +120,76 @@ class Transducer:
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                node = child.setdefault(node << 8 | byte, len(child) + 1)
+                node = child.setdefault(byte << 32 | node, len(child) + 1)
             if self.merges.reachable(rank):
                 token_at[node] = rank
         # The next node, 0 where the trie ends and no path inside it lives on, and the token there.
-        inner = {key >> 8 for key in child}
+        inner = {key & 0xFFFFFFFF for key in child}
         self.steps = {
             key: (node if node in inner else 0, token_at.get(node)) for key, node in child.items()
         }
-        self.states = {}
-        self.start = self._state(((None, 0, ()),))
+        # The state and the output after the first bytes of a piece.
+        self.moves, self.heads = {}, {}
+        self._reset()
+
+    def _reset(self):
+        """Only the start state, which has number 0."""
+        self.numbers, self.paths = {}, []
+        self.moves.clear()
+        self.heads.clear()
+        self._state(((None, 0, ()),))
 
     def _state(self, paths):
-        state = self.states.get(paths)
-        if state is None:
-            if len(self.states) >= STATES:
-                for old in self.states.values():
-                    old.moves.clear()
-                self.states = {}
-                if hasattr(self, "start"):
-                    self.states[self.start.paths] = self.start
-            state = self.states[paths] = _State(paths)
-        return state
+        number = self.numbers.get(paths)
+        if number is None:
+            number = self.numbers[paths] = len(self.paths)
+            self.paths.append(paths)
+        return number
 
     def _move(self, state, byte):
-        paths = []
-        step, adjacent = self.steps.get, self.merges.adjacent
-        for last, node, out in state.paths:
-            found = step(node << 8 | byte)
+        """The number of the next state and the output; a full table starts anew from ``state``."""
+        before = self.paths[state]
+        if len(self.moves) >= MOVES:
+            self._reset()
+            state = self._state(before)
+        paths, whole = [], None
+        step, merges = self.steps.get, self.merges
+        known, width, byte = merges.pairs.get, merges.width, byte << 32
+        for last, node, out in before:
+            found = step(byte | node)
             if found is None:
                 continue
             node, token = found
             if node:
                 paths.append((last, node, out))
-            if token is not None and (last is None or adjacent(last, token)):
-                paths.append((token, 0, (*out, token)))
-        outs = [out for _, _, out in paths]
-        # What the first and the last output in order have in common, all have.
-        first, final = min(outs), max(outs)
-        agreed = 0
-        while agreed < len(first) and first[agreed] == final[agreed]:
-            agreed += 1
-        if agreed:
-            paths = [(last, node, out[agreed:]) for last, node, out in paths]
-        move = state.moves[byte] = (self._state(tuple(paths)), first[:agreed])
+            # The bytes so far have one sequence of tokens only.
+            if token is not None and whole is None:
+                if last is None:
+                    beside = True
+                else:
+                    beside = known(last * width + token)
+                    if beside is None:
+                        beside = merges.adjacent(last, token)
+                if beside:
+                    whole = (token, 0, (*out, token))
+        if whole:
+            paths.append(whole)
+        agreed = ()
+        if len(paths) == 1:
+            last, node, agreed = paths[0]
+            if agreed:
+                paths = [(last, node, ())]
+        else:
+            outs = [out for _, _, out in paths]
+            # What the first and the last output in order have in common, all have.
+            first, final = min(outs), max(outs)
+            if first and first[0] == final[0]:
+                size = 1
+                while size < len(first) and first[size] == final[size]:
+                    size += 1
+                agreed = first[:size]
+                paths = [(last, node, out[size:]) for last, node, out in paths]
+        move = self.moves[byte | state] = (self._state(tuple(paths)), agreed)
         return move
 
     def encode(self, piece):
@@ -176,12 +197,23 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        state, ids = self.start, []
-        for byte in piece:
-            state, out = state.moves.get(byte) or self._move(state, byte)
+        known, head = self.moves.get, piece[:HEAD]
+        begun = self.heads.get(head)
+        if begun is None:
+            state, ids = 0, ()
+            for byte in head:
+                state, out = known(byte << 32 | state) or self._move(state, byte)
+                ids += out
+            begun = self.heads[head] = state, ids
+        state, ids = begun[0], [*begun[1]]
+        for byte in piece[HEAD:]:
+            state, out = known(byte << 32 | state) or self._move(state, byte)
             if out:
                 ids += out
-        ids += state.final
+        for _, node, out in self.paths[state]:
+            if node == 0:
+                ids += out
+                break
         return tuple(ids)
 
 
@@ -331,7 +363,7 @@ def _frozen(batches, convert):
     """Convert each batch; the long-lived objects of the tables are kept from the collector.
 
     It does not run within a batch either, whose many new states would have it look through
-    all of them again and again; states that are given up are taken apart at once.
+    all of them again and again; no table refers back to what refers to it.
     """
     try:
         for batch in batches:
@@ -345,6 +377,13 @@ def _frozen(batches, convert):
         gc.unfreeze()
 
 
+def _slices(batches):
+    """A few rows of each batch at a time, so that results are never held for a whole batch."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.iloc[at : at + ROWS]
+
+
 _held = {}
 
 
@@ -355,13 +394,8 @@ def _tools(shared, pattern):
     """
     vocabulary = shared.value
     if _held.get("vocabulary") is not vocabulary or _held["pattern"] != pattern:
-        if _held:
-            # States refer to one another; nothing frees them at once but this.
-            for state in _held.pop("encoder").transducer.states.values():
-                state.moves.clear()
-            _held.clear()
-            gc.unfreeze()
-            gc.collect()
+        # Nothing in the tables refers back, so those of an earlier vocabulary go at once.
+        _held.clear()
         ranks, halves = vocabulary
         _held.update(vocabulary=vocabulary, pattern=pattern)
         _held.update(encoder=Encoder(ranks, pattern, halves), decoder=Decoder(ranks))
@@ -375,7 +409,9 @@ def encode_column(spark, text, ranks, pattern):
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder, _ = _tools(shared, pattern)
-        return _frozen(batches, lambda texts: pd.Series([encoder.packed(t) for t in texts]))
+        return _frozen(
+            _slices(batches), lambda texts: pd.Series([encoder.packed(t) for t in texts])
+        )
 
     return encode(text)
 
@@ -387,10 +423,8 @@ def decode_column(spark, ids, ranks):
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decoder = Decoder(shared.value)
-        for packed in batches:
-            yield pd.Series(
-                [decoder.decode(_unpack(p or b"")) for p in packed]
-            )
+        for packed in _slices(batches):
+            yield pd.Series([decoder.decode(_unpack(p or b"")) for p in packed])
 
     return decode(ids)
 
@@ -408,7 +442,7 @@ def round_trip_column(spark, text, ranks, pattern):
             decoded = [decoder.decode(_unpack(p)) for p in packed]
             return pd.DataFrame({"ids": packed, "decoded": decoded})
 
-        return _frozen(batches, convert)
+        return _frozen(_slices(batches), convert)
 
     return both(text)
 

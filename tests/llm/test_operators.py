@@ -13,6 +13,7 @@ from collections import Counter
 from urllib.parse import quote
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -732,3 +733,29 @@ def test_digest_columns(spark, texts):
     for row in rows:
         text = texts[row["doc_id"]]
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_full_tables_start_anew(monkeypatch):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(5)
+    pieces = ["".join(rng.choices("abcdeéß ", k=rng.randint(1, 30))).encode() for _ in range(300)]
+    plain = bpe.Transducer(ranks)
+    expected = [plain.encode(piece) for piece in pieces]
+    assert expected == [piece_ids(plain.merges, ranks, piece) for piece in pieces]
+    monkeypatch.setattr(bpe, "MOVES", 50)
+    small = bpe.Transducer(ranks, plain.merges.halves)
+    for piece, ids in zip(pieces, expected):
+        assert small.encode(piece) == ids
+        assert len(small.moves) <= 50 and len(small.paths) <= 52
+
+
+def piece_ids(merges, ranks, piece):
+    return (ranks[piece],) if piece in ranks else tuple(merges.merge(piece))
+
+
+def test_encoder_holds_a_few_rows_at_a_time(monkeypatch):
+    monkeypatch.setattr(bpe, "ROWS", 3)
+    texts = pd.Series([f"text {i}" for i in range(8)], index=range(8, 16))
+    slices = list(bpe._slices([texts, texts[:0]]))
+    assert [len(part) for part in slices] == [3, 3, 2]
+    assert [t for part in slices for t in part] == list(texts)

@@ -20,7 +20,7 @@ from tarmac.operators.metrics import confusion_metrics, report_lines
 from tarmac.operators.sampling import hash_split_weights, random_split
 from tarmac.plans.features import read_features
 from tarmac.sources.sinks import write_lines
-from tarmac.sources.stage import job, keep
+from tarmac.sources.stage import job, keep, shuffle_partitions_for
 
 MODELS = ("tree", "logistic")
 
@@ -50,11 +50,12 @@ def split_and_compact(features, by_content=True):
     This is the only time the features are read. Values outside the buckets show in the written
     rows, which are few, and fail there.
     """
-    if by_content:
-        rows = compact(hash_split_weights(features), "set", weight="weight")
-    else:
-        rows = compact(random_split(features), "set")
-    rows = keep(rows, "training-rows")
+    with shuffle_partitions_for(features):
+        if by_content:
+            rows = compact(hash_split_weights(features), "set", weight="weight")
+        else:
+            rows = compact(random_split(features), "set")
+        rows = keep(rows, "training-rows")
     check_bucket_bounds(rows)
     return rows
 

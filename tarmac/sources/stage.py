@@ -22,6 +22,9 @@ _JOB = "tarmac.stage.job"
 KEEP_HOURS, _KEEP = 168, "tarmac.stage.keep.hours"
 _PREFIX = "tarmac-stages-"
 _opened = set()
+# Bytes of files behind one partition of a shuffle of their whole rows, which takes some
+# times as many bytes as compressed columns do.
+PARTITION_BYTES = 4 << 20
 
 
 def stage_root(spark):
@@ -115,6 +118,27 @@ def keep(table, name, compression="snappy", path=None):
     return spark.read.schema(table.schema).parquet(path)
 
 
+@contextmanager
+def shuffle_partitions_for(table):
+    """More shuffle partitions for the jobs inside if the files of the table are large.
+
+    A fixed number of partitions would let the part of a task grow with the table. Only the
+    sizes of the files are looked up; a table without files leaves the number as it is.
+    """
+    spark = table.sparkSession
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    size = 0
+    for file in table.inputFiles():
+        files, path = _files(spark, spark._jvm.java.net.URI(file))
+        size += files.getFileStatus(path).getLen()
+    spark.conf.set(name, str(max(int(before), -(-size // PARTITION_BYTES))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def keep_all(**tables):
     """Write independent tables at the same time and return the written copies.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tarmac import schemas
 from tarmac.operators import encoding, joins, metrics, sampling
 from tarmac.plans import training
+from tarmac.sources import stage
 from tests.conftest import plan, rows
 
 
@@ -383,3 +384,19 @@ def test_equal_rows_are_shared_out(spark):
         assert found[label, "Train"] + found[label, "Test"] == 10_003
     taken = sampling.hash_sample(table).groupBy("Delay").count().collect()
     assert all(r["count"] in (2000, 2001) for r in taken)
+
+
+def test_split_of_large_files_has_more_partitions(spark, features, conf, monkeypatch):
+    """A session's fixed number of partitions would let one task's part grow with the table."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    few = training.split_and_compact(features)
+    path = stage.new_stage_path(spark, "odd name %41")
+    kept = stage.keep(features.repartition(3), "features", path=path)
+    monkeypatch.setattr(stage, "PARTITION_BYTES", 2000)
+    many = training.split_and_compact(kept)
+    assert len(few.inputFiles()) <= 4 < len(many.inputFiles())
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    with pytest.raises(ValueError), stage.shuffle_partitions_for(features):
+        raise ValueError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"

@@ -9,6 +9,7 @@ score every document.
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 from operator import eq
 
 import numpy as np
@@ -16,7 +17,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import free_name
+from tarmac.llm.common import free_name, settings
+from tarmac.sources import stage
 
 # Bounds of the rows that the classifiers are fitted on; all rows are scored.
 LABELLED, UNLABELLED = 8_000, 8_000
@@ -25,8 +27,12 @@ SURE = 0.98
 EXCHANGED = 500
 PENALTY = 1.0
 THRESHOLD = 0.5
+# Rows whose features come to the driver at once.
+PART_ROWS = 1024
 _CALIBRATION = 5
 _BUCKETS = 64
+# Columns whose mean and scale are found at once.
+_COLUMNS = 64
 
 _MARKS = b".,!?'\"-:;|#$%&*()/"
 _KINDS = 7 + len(_MARKS)
@@ -92,11 +98,20 @@ def metadata_features(text, language, source):
 
 
 class Logistic:
-    """Logistic regression with an L2 penalty, by Newton steps; scales its inputs."""
+    """Logistic regression with an L2 penalty, by Newton steps; scales its inputs.
 
-    def fit(self, x, y, penalty=PENALTY, steps=12):
-        self.mean = x.mean(axis=0, dtype=np.float64)
-        self.scale = np.sqrt(np.mean(np.square(x), axis=0, dtype=np.float64) - self.mean**2 + 1e-12)
+    ``rows`` names the rows of ``x`` that take part, by default all. They are copied a few
+    at a time only.
+    """
+
+    def fit(self, x, y, rows=slice(None), penalty=PENALTY, steps=12):
+        self.mean, self.scale = np.empty(x.shape[1]), np.empty(x.shape[1])
+        for at in range(0, x.shape[1], _COLUMNS):
+            some = slice(at, at + _COLUMNS)
+            part = x[:, some][rows]
+            self.mean[some] = part.mean(axis=0, dtype=np.float64)
+            self.scale[some] = np.mean(np.square(part), axis=0, dtype=np.float64)
+        self.scale = np.sqrt(self.scale - self.mean**2 + 1e-12)
         self.scale[self.scale < 1e-4] = 1
         size = x.shape[1] + 1
         ridge = np.eye(size) * penalty
@@ -104,8 +119,8 @@ class Logistic:
         self.weights = np.zeros(size)
         for _ in range(steps):
             gradient, curve = -ridge @ self.weights, ridge.copy()
-            for at in range(0, len(x), 1024):
-                z = self._scaled(x[at : at + 1024])
+            for at, part in _parts(x, rows):
+                z = self._scaled(part)
                 p = _sigmoid(z @ self.weights)
                 gradient += z.T @ (y[at : at + 1024] - p)
                 curve += (z * (p * (1 - p) + 1e-6)[:, None]).T @ z
@@ -119,11 +134,18 @@ class Logistic:
         z = np.clip((x - self.mean) / self.scale, -10, 10)
         return np.column_stack([z, np.ones(len(z))])
 
-    def logit(self, x):
-        parts = [self._scaled(x[at : at + 1024]) @ self.weights for at in range(0, len(x), 1024)]
+    def logit(self, x, rows=slice(None)):
+        parts = [self._scaled(part) @ self.weights for _, part in _parts(x, rows)]
         return np.concatenate([np.empty(0), *parts])
 
 
+def _parts(x, rows):
+    """The rows of ``x``, 1,024 at a time, each time with the number of those before."""
+    numbers = np.arange(len(x))[rows]
+    for at in range(0, len(numbers), 1024):
+        yield at, x[numbers[at : at + 1024]]
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -131,41 +153,43 @@ def _sigmoid(x):
 class CoTraining:
     """The two classifiers, their calibration, and the mix of both."""
 
-    def fit(self, views, labels, aside, unlabelled):
-        """``views`` and ``unlabelled`` hold the features of each view; ``aside`` marks the rows
-        kept for calibration."""
-        fit, y = ~aside, labels.astype(float)
-        own = [[view[fit]] for view in views]
-        marks = [[y[fit]], [y[fit]]]
-        free = np.ones(len(unlabelled[0]), dtype=bool)
-        self.views = [Logistic().fit(view[fit], y[fit]) for view in views]
+    def fit(self, views, labels, aside):
+        """``views`` hold the features of each view, ``labels`` NaN for rows without; ``aside``
+        marks the rows kept for calibration if they have a label."""
+        has = ~np.isnan(labels)
+        y = labels[has]
+        fit, aside = np.flatnonzero(has & ~aside), np.flatnonzero(has & aside)
+        own = [[fit], [fit]]
+        marks = [[labels[fit]], [labels[fit]]]
+        free = ~has
+        self.views = [Logistic().fit(view, labels[fit], fit) for view in views]
         for _ in range(ROUNDS):
             for teacher, learner in ((0, 1), (1, 0)):
                 at = np.flatnonzero(free)
-                sure = _sigmoid(self.views[teacher].logit(unlabelled[teacher][at]))
+                sure = _sigmoid(self.views[teacher].logit(views[teacher], at))
                 # As many of each class as the labelled rows have.
                 for label, p in ((1.0, sure), (0.0, 1 - sure)):
                     most = int(EXCHANGED * np.mean(y == label))
                     best = np.argsort(-p, kind="stable")[:most]
                     best = at[best[p[best] >= SURE]]
                     free[best] = False
-                    own[learner].append(unlabelled[learner][best])
+                    own[learner].append(best)
                     marks[learner].append(np.full(len(best), label))
             self.views = [
-                Logistic().fit(np.concatenate(x), np.concatenate(m)) for x, m in zip(own, marks)
+                Logistic().fit(view, np.concatenate(m), np.concatenate(rows))
+                for view, rows, m in zip(views, own, marks)
             ]
-        kept = [view[aside] for view in views]
         self.calibrations = [
-            Logistic().fit(model.logit(x)[:, None], y[aside])
-            for model, x in zip(self.views, kept)
+            Logistic().fit(model.logit(x, aside)[:, None], labels[aside])
+            for model, x in zip(self.views, views)
         ]
-        self.mix = Logistic().fit(self._calibrated(kept), y[aside])
+        self.mix = Logistic().fit(self._calibrated(views, aside), labels[aside])
         return self
 
-    def _calibrated(self, views):
+    def _calibrated(self, views, rows=slice(None)):
         return np.column_stack(
             [
-                calibration.logit(model.logit(x)[:, None])
+                calibration.logit(model.logit(x, rows)[:, None])
                 for model, calibration, x in zip(self.views, self.calibrations, views)
             ]
         )
@@ -176,32 +200,81 @@ class CoTraining:
         return np.column_stack([_sigmoid(logits), _sigmoid(self.mix.logit(logits))])
 
 
-def _features(batches):
-    for batch in batches:
-        content = [content_features(t).astype("<f4").tobytes() for t in batch["text"]]
-        metadata = [
-            metadata_features(*row).astype("<f4").tobytes()
-            for row in zip(batch["text"], batch["language"], batch["source"])
-        ]
-        yield pd.DataFrame(
-            {"label": batch["label"], "key": batch["key"], "content": content, "metadata": metadata}
-        )
+def _features(size):
+    """Features, numbered in parts of ``size`` rows at most."""
+
+    def features(batches):
+        part = 0
+        for batch in batches:
+            for at in range(0, len(batch), size):
+                some = batch[at : at + size]
+                content = [content_features(t).astype("<f4").tobytes() for t in some["text"]]
+                metadata = [
+                    metadata_features(*row).astype("<f4").tobytes()
+                    for row in zip(some["text"], some["language"], some["source"])
+                ]
+                yield pd.DataFrame(
+                    {
+                        "part": part,
+                        "label": some["label"],
+                        "key": some["key"],
+                        "content": content,
+                        "metadata": metadata,
+                    }
+                )
+                part += 1
+
+    return features
 
 
 def _sampled(rows, most):
-    """Features of the ``most`` rows of least key hash."""
-    chosen = rows.orderBy("key", "text").limit(most)
-    table = chosen.mapInPandas(
-        _features, "label double, key long, content binary, metadata binary"
-    ).toPandas()
-    table = table.sort_values(["key", "content"], kind="stable")
-    if table.empty:
-        return [np.empty((0, 0), "<f4")] * 2, np.empty(0), np.empty(0, np.int64)
-    unpacked = [
-        np.frombuffer(b"".join(table.pop(name)), "<f4").reshape(len(table), -1)
-        for name in ("content", "metadata")
-    ]
-    return unpacked, table["label"].to_numpy(dtype=float), table["key"].to_numpy(dtype=np.int64)
+    """Features, labels and keys of the ``most`` rows of least key hash.
+
+    The features are written first and come to the driver a part at a time, each straight into
+    its place, so the driver holds them once and no job sends it more than a part.
+    """
+    spark = rows.sparkSession
+    path = stage.new_stage_path(spark, "quality-sample")
+    features = (
+        rows.orderBy("key", "text")
+        .limit(most)
+        .mapInPandas(
+            _features(PART_ROWS),
+            "part int, label double, key long, content binary, metadata binary",
+        )
+    )
+    # A file for each part, so a part is read without the others.
+    with settings(spark, **{"spark.sql.files.maxRecordsPerFile": str(PART_ROWS)}):
+        kept = stage.keep(features, "quality-sample", path=path)
+    total, last = kept.agg(F.count("*"), F.max("part")).first()
+    views, labels, keys, at = [], np.empty(total), np.empty(total, np.int64), 0
+    for part in range(last + 1 if total else 0):
+        table = kept.where(F.col("part") == part).toPandas()
+        place = slice(at, at + len(table))
+        labels[place], keys[place] = table["label"].to_numpy(dtype=float), table["key"]
+        for n, name in enumerate(("content", "metadata")):
+            found = np.frombuffer(b"".join(table.pop(name)), "<f4").reshape(len(table), -1)
+            if part == 0:
+                views.append(np.empty((total, found.shape[1]), "<f4"))
+            views[n][place] = found
+        at += len(table)
+    stage.delete(spark, path)
+    if not total:
+        return [np.empty((0, 0), "<f4")] * 2, labels, keys
+    order = _order(keys, views[0])
+    if (order != np.arange(total)).any():
+        for n in range(len(views)):
+            views[n] = views[n][order]
+    return views, labels[order], keys[order]
+
+
+def _order(keys, content):
+    """Order by key, that of equal keys by the bytes of the content."""
+    found = []
+    for _, run in groupby(np.argsort(keys, kind="stable").tolist(), keys.__getitem__):
+        run = list(run)
+        found += sorted(run, key=lambda at: content[at].tobytes()) if len(run) > 1 else run
+    return np.array(found, np.int64)
 
 
 def fit_quality(docs, labels, key="doc_id", text="text", language="lang", source="source"):
@@ -235,9 +308,7 @@ def fit_quality(docs, labels, key="doc_id", text="text", language="lang", source
     for part in (has & aside, has & ~aside):
         if len(np.unique(marks[part])) < 2:
             return None
-    return CoTraining().fit(
-        [view[has] for view in views], marks[has], aside[has], [view[~has] for view in views]
-    )
+    return CoTraining().fit(views, marks, aside)
 
 
 _RESULT = (

@@ -8,6 +8,7 @@ import hashlib
 import lzma
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from urllib.parse import quote
@@ -403,6 +404,44 @@ def test_quality_separates_junk(spark):
     assert kept.columns == docs.columns and 380 <= kept.count() <= 420
 
 
+def test_quality_sample_comes_to_the_driver_in_parts(spark, monkeypatch):
+    rows = [(i % 90, f"text {i} " * (i % 7), "en", "s", 300) for i in range(120)]
+    docs = spark.createDataFrame(rows, DOCS).selectExpr(
+        "IF(doc_id % 2 = 0, doc_id % 4 / 2, NULL) AS label", "doc_id AS key", "text", "lang AS language", "source"
+    )
+    whole = quality._sampled(docs, 100)
+    sizes, collect = [], type(docs).toPandas
+
+    def counted(frame):
+        found = collect(frame)
+        sizes.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(docs), "toPandas", counted)
+    monkeypatch.setattr(quality, "PART_ROWS", 16)
+    views, marks, order = quality._sampled(docs, 100)
+    assert sum(sizes) == len(order) == 100 and max(sizes) <= 16
+    assert order.tolist() == sorted(k for k, *_ in rows)[:100]
+    texts = sorted((k, quality.content_features(t).astype("<f4").tobytes()) for k, t, *_ in rows)[:100]
+    assert [v.tobytes() for v in views[0]] == [content for _, content in texts]
+    assert np.array_equal(marks, whole[1], equal_nan=True)
+    assert all(np.array_equal(a, b) for a, b in zip(views, whole[0]))
+
+
+def test_logistic_of_some_rows_copies_a_few_columns_at_a_time():
+    rng = np.random.default_rng(3)
+    x = rng.random((6000, 400)).astype("<f4")
+    rows, y = rng.permutation(6000)[:5000], (rng.random(5000) < 0.5).astype(float)
+    tracemalloc.start()
+    some = quality.Logistic().fit(x, y, rows, steps=0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < x[rows].nbytes / 2
+    some, copied = some.fit(x, y, rows), quality.Logistic().fit(x[rows], y)
+    assert np.array_equal(some.weights, copied.weights) and np.array_equal(some.scale, copied.scale)
+    assert np.array_equal(some.logit(x, rows), copied.logit(x[rows]))
+
+
 # 8
 
 

@@ -17,6 +17,7 @@ are read before the texts.
 """
 
 from collections import Counter, defaultdict
+from itertools import chain
 from math import log10
 
 import numpy as np
@@ -323,25 +324,34 @@ class _Dictionary:
     """Counts of the words and scores of the grams that a chunk asked for."""
 
     def __init__(self):
-        self.words, self.grams, self.logs, self.index = {}, [], [], None
+        self.entries, self.counts, self.words = [], [], None
+        self.grams, self.logs, self.index = [], [], None
 
     def add(self, entries, values, order):
         is_gram, grams = _packed(entries, order)
         self.grams.append(grams)
         self.logs.append(values[is_gram])
-        words = entries.filter(pa.array(~is_gram)).to_pylist()
-        self.words.update(zip((word[1:] for word in words), values[~is_gram].tolist()))
+        self.entries.append(entries.filter(pa.array(~is_gram)))
+        self.counts.append(values[~is_gram])
+
+    def _complete(self):
+        """Tables of all entries; frequent words lie together, so most of the look-ups stay in a cache."""
+        counts = np.concatenate(self.counts)
+        order = np.argsort(-counts, kind="stable")
+        words = pa.concat_arrays(self.entries).take(pa.array(order)).to_pylist()
+        self.words = dict(zip((word[1:] for word in words), counts[order].tolist()))
+        self.index, self.logs = pd.Index(np.concatenate(self.grams)), np.concatenate(self.logs)
+        self.entries = self.counts = self.grams = None
 
     def score(self, texts, low, order):
         """Tokens, known tokens, base score and score of each text."""
         if self.index is None:
-            self.index, self.logs = pd.Index(np.concatenate(self.grams)), np.concatenate(self.logs)
-            self.grams = None
+            self._complete()
         for begin, end in _blocks(texts):
             found = [text.split() + [b""] for text in texts[begin:end]]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             starts = np.cumsum(sizes) - sizes
-            seen = (self.words[word] for words in found for word in words)
+            seen = map(self.words.__getitem__, chain.from_iterable(found))
             seen = np.fromiter(seen, np.int64, int(sizes.sum()))
             base = np.add.reduceat(np.log10((seen + SMOOTHING) / low), starts)
             met, first = _packed_grams(texts[begin:end], order)
@@ -406,9 +416,14 @@ def score_documents(docs, key="doc_id", text="text", held_out=None):
         chunks = rows.mapInPandas(_chunks(ORDER), schema)
         chunks.write.option("compression", "zstd").parquet(path)
     read = spark.read.schema(schema).parquet(path)
-    entries = read.where("entry IS NOT NULL").groupBy("entry")
-    summed = entries.agg(F.sum("train").alias("n"), F.collect_list("chunk").alias("chunks"))
-    totals = stage.keep(summed, "totals", "zstd")
+    # An entry is in a chunk once, so sums before the shuffle would only cost; after it the
+    # entries are sorted once and summed as they come.
+    entries = read.where("entry IS NOT NULL").select("entry", "chunk", "train").repartition("entry")
+    summed = entries.groupBy("entry").agg(
+        F.sum("train").alias("n"), F.collect_list("chunk").alias("chunks")
+    )
+    with settings(spark, **{"spark.sql.execution.useObjectHashAggregateExec": "false"}):
+        totals = stage.keep(summed, "totals", "zstd")
     is_word = F.expr("substring(entry, 1, 1) = X'77'")
     words, grams = totals.where(is_word), totals.where(~is_word)
     tokens, distinct = words.where("n > 0").agg(F.sum("n"), F.count("*")).first()

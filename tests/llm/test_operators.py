@@ -16,6 +16,7 @@ from urllib.parse import quote
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -268,6 +269,32 @@ def _slow_contamination(text, items, size=13):
     return len(found), len(hit), sorted(named)
 
 
+def test_ppm_entries_are_summed_after_one_shuffle(spark, monkeypatch):
+    plans, keep = {}, ppm.stage.keep
+
+    def kept(frame, name, *rest):
+        plans[name] = plan(frame)
+        return keep(frame, name, *rest)
+
+    monkeypatch.setattr(ppm.stage, "keep", kept)
+    table = spark.createDataFrame([(i, f"word{i % 3} and more") for i in range(40)], "doc_id long, text string")
+    assert ppm.score_documents(table).count() == 40
+    # No aggregate before the shuffle, where each entry of a chunk is alone, and none that sorts anew.
+    before = plans["totals"].split("Exchange")
+    assert len(before) == 2 and "Aggregate" not in before[1]
+    assert "ObjectHashAggregate" not in before[0] and before[0].count("Sort ") == 1
+
+
+def test_ppm_dictionary_puts_frequent_words_first():
+    entries = pa.array([b"wrare", b"gabcdef", b"woften", b"w"], pa.binary())
+    dictionary = ppm._Dictionary()
+    dictionary.add(entries[:2], np.array([1, -5]), 5)
+    dictionary.add(entries[2:], np.array([9, 4]), 5)
+    dictionary._complete()
+    assert list(dictionary.words.items()) == [(b"often", 9), (b"", 4), (b"rare", 1)]
+    assert dictionary.index.tolist() == [int.from_bytes(b"abcdef")] and dictionary.logs.tolist() == [-5]
+
+
 def test_contamination_against_brute_force(spark, monkeypatch):
     rng = random.Random(5)
     vocabulary = ["a", "b", "the", "Über", "x9", "日本"]

@@ -12,11 +12,16 @@ arrays, each lane with its own coder and all with one model, which learns from a
 each step.
 """
 
+import json
+import re
 import zlib
 from array import array
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -26,29 +31,41 @@ from tarmac.operators.joins import broadcast_if_small
 from tarmac.sources import stage
 
 BLOCK_IDS = 1 << 19
-LANE_IDS = 256
+LANE_IDS = 128
 END_ID = 1
 _SHARE_BITS, _MIX_BITS = 16, 8
 _TOTAL_BITS = _SHARE_BITS + _MIX_BITS
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-_WORD, _HIGH = np.uint64(16), np.uint64(48)
-_SLOTS = 1 << 20
-_KNOWN = 300_000
-_SURE = 15
-_RENEW = 4
+_TOTAL, _WORD, _ONE, _WIDE = (np.uint64(n) for n in (_TOTAL_BITS, 32, 1, 1 << 32))
+_SLOT_BITS = 18
+_SLOTS, _HASH_SHIFT = 1 << _SLOT_BITS, np.uint32(32 - _SLOT_BITS)
+_SURE_BITS = 4
+_SURE = (1 << _SURE_BITS) - 1
+_RENEW = 8
+# Text that is tokenised at once, and pieces that a worker knows.
+_TEXT_BYTES = 8 << 20
+_KNOWN = 500_000
+# Characters that are not plain. Plain ones are neither combined nor split by normalization, and
+# lower-casing gives plain ones again.
+_OTHER = "[^!-~\u00a1-\u012f\u0131-\u017f]"
+# Patterns that the regex module reads as the library does.
+_PATTERNS = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",)
 
 
 class _Model:
-    """Predictions shared by the lanes of a block; coder and decoder run it alike."""
+    """Predictions shared by the lanes of a block; coder and decoder run it alike.
+
+    One table holds both orders, an entry being a follower and how sure it is. Arrays of two rows
+    are the predictions of the one and the two last ids.
+    """
 
     def __init__(self, symbols, lanes):
         self.counts = np.ones(symbols, dtype=np.int64)
-        self.followers = [np.zeros(n, dtype=np.int64) for n in (symbols, _SLOTS)]
-        self.sure = [np.zeros(n, dtype=np.int64) for n in (symbols, _SLOTS)]
-        self.last = np.zeros(lanes, dtype=np.int64)
-        self.context = [self.last, np.zeros(lanes, dtype=np.int64)]
+        self.table = np.zeros(symbols + _SLOTS, dtype=np.int32)
+        self.last = np.zeros(lanes, dtype=np.uint32)
+        self.context = np.zeros((2, lanes), dtype=np.int64)
+        self.context[1] = symbols
         self.right = np.zeros((3, (_SURE + 1) ** 2), dtype=np.int64)
-        self.waiting, self.steps = [], 0
+        self.waiting, self.steps, self.due = [], 0, 1
         self._renew()
 
     def _renew(self):
@@ -56,114 +73,124 @@ class _Model:
         symbols = len(self.counts)
         share = 1 + self.counts * ((1 << _SHARE_BITS) - symbols) // self.counts.sum()
         share[share.argmax()] += (1 << _SHARE_BITS) - share.sum()
-        self.share = share
-        self.below = np.concatenate(([0], np.cumsum(share)))
-        self.owner = np.repeat(np.arange(symbols), share)
-        seen, one, two = self.right
+        self.share = share.astype(np.int32)
+        self.below = np.cumsum(self.share, dtype=np.int32) - self.share
+        self._owner = None
         most = (1 << _MIX_BITS) - 16
-        self.weights = [most * (2 * n + 1) // (2 * seen + 4) for n in (one, two)]
+        weights = most * (2 * self.right[1:] + 1) // (2 * self.right.sum(axis=0) + 4)
+        self.masses = (weights << _SHARE_BITS).astype(np.int32)
+        self.rests = ((1 << _MIX_BITS) - weights.sum(axis=0)).astype(np.int32)
 
     def predict(self):
         """Followers of the one and two last ids, with their weights in the mix."""
-        sure = [table[at] for table, at in zip(self.sure, self.context)]
-        self.class_ = sure[0] * (_SURE + 1) + sure[1]
-        self.guess = [table[at] for table, at in zip(self.followers, self.context)]
-        self.sure_now = sure
-        one, two = (weights[self.class_] for weights in self.weights)
-        self.mass = one << _SHARE_BITS, two << _SHARE_BITS
-        self.rest = (1 << _MIX_BITS) - one - two
+        self.entry = self.table.take(self.context)
+        self.guess = self.entry >> _SURE_BITS
+        self.sure = self.entry & _SURE
+        self.class_ = (self.sure[0] << _SURE_BITS) + self.sure[1]
+        self.mass = self.masses.take(self.class_, axis=1)
+        self.rest = self.rests.take(self.class_)
 
     def range_of(self, symbols):
         """Start and width of each symbol in the mixed distribution."""
-        (g1, g2), (m1, m2) = self.guess, self.mass
-        start = self.rest * self.below[symbols] + m1 * (g1 < symbols) + m2 * (g2 < symbols)
-        width = self.rest * self.share[symbols] + m1 * (g1 == symbols) + m2 * (g2 == symbols)
+        self.hit = self.guess == symbols
+        start = self.rest * self.below.take(symbols)
+        width = self.rest * self.share.take(symbols)
+        for guess, mass, hit in zip(self.guess, self.mass, self.hit):
+            start += mass * (guess < symbols)
+            width += mass * hit
         return start, width
 
     def symbol_at(self, value):
         """The symbol whose range holds each value."""
-        (g1, g2), (m1, m2) = self.guess, self.mass
-        swap = g2 < g1
-        first, second = np.where(swap, g2, g1), np.where(swap, g1, g2)
-        mass1, mass2 = np.where(swap, m2, m1), np.where(swap, m1, m2)
-        mass1 = np.where(g1 == g2, m1 + m2, mass1)
-        mass2 = np.where(g1 == g2, 0, mass2)
-        start1 = self.rest * self.below[first]
-        end1 = start1 + self.rest * self.share[first] + mass1
-        start2 = self.rest * self.below[second] + mass1
-        end2 = start2 + self.rest * self.share[second] + mass2
-        past1, past2 = value >= end1, value >= end2
-        plain = value - np.where(past1, mass1, 0) - np.where(past2, mass2, 0)
-        found = self.owner[np.clip(plain // self.rest, 0, (1 << _SHARE_BITS) - 1)]
-        found = np.where((value >= start1) & ~past1, first, found)
-        return np.where((value >= start2) & ~past2 & (g1 != g2), second, found)
+        if self._owner is None:
+            self._owner = np.repeat(np.arange(len(self.share), dtype=np.int32), self.share)
+        guess, other, mass = self.guess, self.guess[::-1], self.mass[::-1]
+        start = self.rest * self.below.take(guess) + mass * (other < guess)
+        end = start + self.rest * self.share.take(guess) + self.mass + mass * (other == guess)
+        past = value >= end
+        inside = (value >= start) & ~past
+        plain = value - self.mass[0] * past[0] - self.mass[1] * past[1]
+        found = self._owner.take(plain // self.rest, mode="clip")
+        np.copyto(found, guess[0], where=inside[0])
+        np.copyto(found, guess[1], where=inside[1])
+        return found
 
     def learn(self, symbols):
-        hits = [guess == symbols for guess in self.guess]
-        for table, sure, now, at, hit in zip(
-            self.followers, self.sure, self.sure_now, self.context, hits
-        ):
-            sure[at] = np.where(hit, np.minimum(now + 1, _SURE), now >> 1)
-            new = now == 0
-            table[at[new]] = symbols[new]
-        self.waiting.append((symbols, self.class_, hits[0] & ~hits[1], hits[1]))
-        self.context = [symbols, (symbols * 0x9E3779B1 ^ self.last * 0x85EBCA6B) % _SLOTS]
-        self.last = symbols
+        entry, sure, hit = self.entry, self.sure, self.hit
+        missed = np.where(sure == 0, symbols << _SURE_BITS, entry - sure + (sure >> 1))
+        self.table[self.context] = np.where(hit, entry + (sure < _SURE), missed)
+        own = symbols.astype(np.uint32)
+        mixed = own * np.uint32(0x9E3779B1) ^ self.last * np.uint32(0x85EBCA6B)
+        self.context[0] = symbols
+        self.context[1] = (mixed >> _HASH_SHIFT) + np.uint32(len(self.counts))
+        self.last = own
+        kind = np.where(hit[1], 2 << 2 * _SURE_BITS, hit[0].astype(np.int32) << 2 * _SURE_BITS)
+        self.waiting.append((symbols, self.class_ + kind))
         self.steps += 1
-        if self.steps < 16 or self.steps % _RENEW == 0:
-            symbols, classes, one, two = map(np.concatenate, zip(*self.waiting))
-            self.waiting = []
+        if self.steps == self.due:
+            symbols, classes = map(np.concatenate, zip(*self.waiting))
+            self.waiting, self.due = [], self.steps + max(1, self.steps // _RENEW)
             self.counts += 32 * np.bincount(symbols, minlength=len(self.counts))
-            for n, part in enumerate((classes, classes[one], classes[two])):
-                self.right[n] += np.bincount(part, minlength=self.right.shape[1])
+            self.right += np.bincount(classes, minlength=self.right.size).reshape(3, -1)
             self._renew()
 
 
-def _narrow(low, width, start, size):
-    part = width >> np.uint64(_TOTAL_BITS)
-    return low + part * start.astype(np.uint64), part * size.astype(np.uint64)
-
-
 def _lanes(ids):
     return max(1, -(-len(ids) // LANE_IDS))
 
 
+def _start(lanes):
+    return np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
+
+
+def _narrow(low, width, part, start, size):
+    low += part * start.astype(np.uint64)
+    np.multiply(part, size.astype(np.uint64), out=width)
+
+
+def _shift(low, width):
+    """Lanes whose range is below a word, and their next words. A range across two words is cut to
+    the lower one, so that the word is certain; the range is widened by a word."""
+    go = np.flatnonzero(width < _WIDE)
+    at, size = low.take(go), width.take(go)
+    across = (at ^ (at + size - _ONE)) >= _WIDE
+    size[across] = _WIDE - (at[across] & (_WIDE - _ONE))
+    low[go] = at << _WORD
+    width[go] = size << _WORD
+    return go, at >> _WORD
+
+
 def encode_block(ids):
     """Bytes from which ``decode_block`` makes the ids again; at most 65,536 different ids."""
     ids = np.asarray(ids, dtype=np.int64)
     lanes = _lanes(ids)
     steps = -(-len(ids) // lanes)
-    alphabet = np.flatnonzero(np.bincount(ids)) if len(ids) else ids
+    seen = np.bincount(ids) if len(ids) else ids
+    alphabet = np.flatnonzero(seen)
     head = np.array([len(ids), len(alphabet)], "<u4").tobytes()
     head += zlib.compress(np.diff(alphabet, prepend=0).astype("<u4").tobytes())
     if not len(ids):
         return np.array([len(head)], "<u4").tobytes() + head
-    padded = np.zeros(lanes * steps, dtype=np.int64)
+    padded = np.zeros(lanes * steps, dtype=np.int32)
     if len(alphabet) > 1 << _SHARE_BITS:
         raise ValueError(f"{len(alphabet)} different ids in a block, at most {1 << _SHARE_BITS}")
-    place = np.zeros(alphabet[-1] + 1, dtype=np.int64)
+    place = np.zeros(alphabet[-1] + 1, dtype=np.int32)
     place[alphabet] = np.arange(len(alphabet))
     padded[: len(ids)] = place[ids]
     columns = np.ascontiguousarray(padded.reshape(lanes, steps).T)
     model = _Model(len(alphabet), lanes)
-    low = np.zeros(lanes, dtype=np.uint64)
-    width = np.full(lanes, np.iinfo(np.uint64).max, dtype=np.uint64)
+    low, width = _start(lanes)
     out_lanes, out_words = [], []
     for column in columns:
         model.predict()
-        low, width = _narrow(low, width, *model.range_of(column))
-        while True:
-            go, width = _ready(low, width)
-            if not len(go):
-                break
-            out_lanes.append(go)
-            out_words.append((low[go] >> _HIGH).astype("<u2"))
-            low[go] <<= _WORD
-            width[go] <<= _WORD
+        _narrow(low, width, width >> _TOTAL, *model.range_of(column))
+        go, words = _shift(low, width)
+        out_lanes.append(go)
+        out_words.append(words.astype("<u4"))
         model.learn(column)
-    for shift in (48, 32, 16, 0):
-        out_lanes.append(np.arange(lanes))
-        out_words.append((low >> np.uint64(shift)).astype("<u2"))
+    # The first word that begins inside the range; zeros may follow it.
+    out_lanes.append(np.arange(lanes))
+    out_words.append((low + (_WIDE - _ONE) >> _WORD).astype("<u4"))
     order = np.concatenate(out_lanes)
     order = order.astype(np.uint16) if lanes <= 1 << 16 else order
     words = np.concatenate(out_words)[np.argsort(order, kind="stable")]
@@ -172,16 +199,6 @@ def encode_block(ids):
     return np.array([len(p) for p in parts[:2]], "<u4").tobytes() + b"".join(parts)
 
 
-def _ready(low, width):
-    """Lanes whose next word is certain, after cutting ranges that are too small to go on."""
-    certain = (low ^ (low + width)) < _TOP
-    small = width < _BOTTOM
-    cut = small & ~certain
-    if cut.any():
-        width = np.where(cut, -low & (_BOTTOM - np.uint64(1)), width)
-    return np.flatnonzero(certain | small), width
-
-
 def decode_block(data):
     head = int(np.frombuffer(data, "<u4", 1)[0])
     at = 4 if len(data) == 4 + head else 8
@@ -193,31 +210,30 @@ def decode_block(data):
     size = int(np.frombuffer(data, "<u4", 1, 4)[0])
     at += head
     sizes = np.frombuffer(zlib.decompress(data[at : at + size]), "<u4").astype(np.int64)
-    words = np.frombuffer(data, "<u2", offset=at + size).astype(np.uint64)
+    words = np.frombuffer(data, "<u4", offset=at + size).astype(np.uint64)
     lanes = len(sizes)
-    place = np.cumsum(sizes) - sizes
-    code = np.zeros(lanes, dtype=np.uint64)
-    for _ in range(4):
-        code = code << _WORD | words[place]
-        place += 1
+    end = np.cumsum(sizes)
+    place = end - sizes
+
+    def read(go):
+        """The next words of lanes, zero behind their last."""
+        at = place[go]
+        place[go] += 1
+        return np.where(at < end[go], words.take(at, mode="clip"), np.uint64(0))
+
+    every = np.arange(lanes)
+    code = read(every) << _WORD | read(every)
     model = _Model(symbols, lanes)
-    low = np.zeros(lanes, dtype=np.uint64)
-    width = np.full(lanes, np.iinfo(np.uint64).max, dtype=np.uint64)
+    low, width = _start(lanes)
     columns = []
     for _ in range(-(-total // lanes)):
         model.predict()
-        part = width >> np.uint64(_TOTAL_BITS)
+        part = width >> _TOTAL
         value = np.minimum((code - low) // part, np.uint64((1 << _TOTAL_BITS) - 1))
-        column = model.symbol_at(value.astype(np.int64))
-        low, width = _narrow(low, width, *model.range_of(column))
-        while True:
-            go, width = _ready(low, width)
-            if not len(go):
-                break
-            code[go] = code[go] << _WORD | words[place[go]]
-            place[go] += 1
-            low[go] <<= _WORD
-            width[go] <<= _WORD
+        column = model.symbol_at(value.astype(np.int32))
+        _narrow(low, width, part, *model.range_of(column))
+        go, _ = _shift(low, width)
+        code[go] = code[go] << _WORD | read(go)
         model.learn(column)
         columns.append(column)
     return alphabet[np.stack(columns, axis=1).reshape(-1)[:total]]
@@ -226,31 +242,146 @@ def decode_block(data):
 # Tokenising
 
 
+def _byte_letters():
+    """Letters by which byte-level vocabularies write the bytes that do not stand for themselves;
+    a space stays one."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [n for n in range(256) if n not in shown]
+    return {n: chr(256 + i) for i, n in enumerate(rest) if n != ord(" ")}
+
+
+def _plain_pattern(source):
+    """The pattern that cuts lower-cased plain words into the pieces that the model encodes; None
+    if the tokenizer takes other steps than these."""
+    steps = [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ]
+    before = (source.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+    split, letters = before if len(before) == 2 else ({}, {})
+    pattern = split.get("pattern", {}).get("Regex")
+    known = (
+        source.get("normalizer") == {"type": "Sequence", "normalizers": steps}
+        and split.get("type") == "Split"
+        and split.get("behavior") == "Removed"
+        and split.get("invert") is True
+        and pattern in _PATTERNS
+        and letters.get("type") == "ByteLevel"
+        and not letters.get("add_prefix_space")
+        and letters.get("use_regex") is False
+        and source["model"].get("type") == "BPE"
+        and source["model"].get("end_of_word_suffix")
+        and not source["model"].get("dropout")
+        and not any(source.get(k) for k in ("truncation", "padding", "post_processor"))
+        and not any(
+            t["normalized"] or t["content"].isalpha() for t in source.get("added_tokens", [])
+        )
+    )
+    return pattern if known else None
+
+
 class WordTokens:
     """Ids of texts by a tokenizer for which white space ends every token.
 
-    The words of a batch are encoded once each, and kept as packed ids.
+    The different words of a batch are cut into pieces as the tokenizer does, and its model encodes
+    each different piece once; the ids are kept, packed. That holds for plain words, of characters
+    whose normalization is lower-casing. Other words are pieces that the whole tokenizer encodes.
     """
 
     def __init__(self, tokenizer):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.known = {}
+        source = json.loads(tokenizer)
+        self.pattern = _plain_pattern(source)
+        if self.pattern:
+            self.find = regex.compile(rf"{self.pattern}|\n").findall
+            marks = [re.escape(t["content"]) for t in source.get("added_tokens", [])]
+            self.other = "|".join([_OTHER, *(f"(?i:{mark})" for mark in marks)])
+            self.pieces = Tokenizer(self.tokenizer.model)
+            self.pieces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            suffix = source["model"]["end_of_word_suffix"]
+            vocab = source["model"]["vocab"]
+            self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+            self.ends[[n for token, n in vocab.items() if token.endswith(suffix)]] = True
+            self.letters = _byte_letters()
+        self.known = {"": b""}
 
     def __call__(self, texts):
-        split = [text.split(" ") if text else [] for text in texts]
-        new = {word for word in set().union(*split) if word not in self.known}
-        if len(self.known) + len(new) > _KNOWN:
-            self.known, new = {}, set().union(*split)
-        new = list(new)
-        encode = self.tokenizer.encode_batch_fast
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, found in zip(part, encode(part, add_special_tokens=False)):
-                self.known[word] = array("i", found.ids).tobytes()
-        of = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(of, words)), np.int32) for words in split]
+        """Ids of an Arrow array of texts, one after the other, and how many each text has."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        different = words.flatten().dictionary_encode()
+        cut = different.dictionary
+        if self.pattern:
+            plain = pc.invert(pc.match_substring_regex(cut, self.other))
+            cut = pc.if_else(plain, pc.utf8_lower(cut), cut)
+            some = pc.and_not(plain, pc.utf8_is_alpha(cut))
+            cut = pc.replace_with_mask(cut, some, self._cut(cut.filter(some)))
+        cut = pc.ascii_split_whitespace(cut)
+        ids, sizes = _gather(*self._encode(cut.flatten().dictionary_encode()))
+        ids, sizes = _gather(ids, _sums(sizes, cut), different.indices)
+        return ids, _sums(sizes, words)
+
+    def _cut(self, words):
+        """Plain words with spaces between their pieces, by one search through all of them."""
+        found = self.find("\n".join([*words.to_numpy(zero_copy_only=False), ""]))
+        return pa.array(" ".join(found).split("\n")[: len(words)], words.type)
+
+    def _encode(self, pieces):
+        names = pieces.dictionary.to_numpy(zero_copy_only=False)
+        new = np.array([name not in self.known for name in names], dtype=bool)
+        if len(self.known) + new.sum() > _KNOWN:
+            self.known, new = {"": b""}, names != ""
+        plain = new & False
+        if self.pattern:
+            other = pc.match_substring_regex(pieces.dictionary, self.other)
+            plain = new & ~other.to_numpy(zero_copy_only=False)
+        self._learn(names[plain])
+        for name in names[new & ~plain]:
+            self.known[name] = _packed(self.tokenizer.encode(name, add_special_tokens=False).ids)
+        packed = [self.known[name] for name in names]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        return np.frombuffer(b"".join(packed), np.int32), sizes, pieces.indices
+
+    def _learn(self, pieces):
+        """Many pieces go to the model at once; the last token of each says that it ends one."""
+        for at in range(0, len(pieces), 256):
+            some = pieces[at : at + 256]
+            found = self._ids_of(some)
+            ends = np.flatnonzero(self.ends[found]) + 1
+            if len(ends) == len(some):
+                parts = [found[a:b] for a, b in zip([0, *ends], ends)]
+            else:
+                parts = [self._ids_of([piece]) for piece in some]
+            self.known.update(zip(some, [part.tobytes() for part in parts]))
+
+    def _ids_of(self, pieces):
+        text = " ".join([piece if piece.isascii() else self._shown(piece) for piece in pieces])
+        found = self.pieces.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, dtype=np.int32)
+
+    def _shown(self, piece):
+        return piece.encode().decode("latin-1").translate(self.letters)
+
+
+def _packed(ids):
+    return array("i", ids).tobytes()
+
+
+def _gather(ids, sizes, at):
+    """The runs of ids at the places of an Arrow array, one after the other, and their sizes."""
+    at, begins = at.to_numpy(), np.cumsum(sizes) - sizes
+    begins, sizes = begins[at], sizes[at]
+    ends = np.cumsum(sizes)
+    places = np.repeat(begins - ends + sizes, sizes) + np.arange(sizes.sum())
+    return ids[places], sizes
+
+
+def _sums(sizes, lists):
+    """Sums of the sizes in each list of an Arrow array."""
+    offsets = lists.offsets.to_numpy()
+    return np.diff(np.append(0, np.cumsum(sizes))[offsets - offsets[0]])
 
 
 _held = {}
@@ -264,39 +395,55 @@ def _tokens(shared):
     return _held["tokens"]
 
 
+def _parts(batch):
+    """Rows of some megabytes of text."""
+    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(size, dtype=np.int64) // _TEXT_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
 def _write_blocks(shared, end):
     def write(batches):
         tokens = _tokens(shared)
-        part, made, keys, held, size = TaskContext.get().partitionId(), 0, [], [], 0
+        part, made, keys, lengths, held, size = TaskContext.get().partitionId(), 0, [], [], [], 0
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                rows = batch[at : at + 256]
-                for key, ids in zip(rows["key"], tokens(rows["text"])):
-                    keys.append(key)
-                    held.append(np.append(ids, np.int32(end)))
+            for rows in _parts(batch):
+                ids, sizes = tokens(rows.column("text"))
+                # Each document's ids, then ``end``.
+                ids = np.insert(ids, np.cumsum(sizes), np.int32(end))
+                ends = np.cumsum(sizes + 1)
+                done = begin = 0
+                # Blocks are full with the document that makes them so.
+                while done < len(ends):
+                    last = int(np.searchsorted(ends, begin + BLOCK_IDS - size))
+                    full, last = last < len(ends), min(last + 1, len(ends))
+                    keys.append(rows.column("key").slice(done, last - done))
+                    lengths.append(sizes[done:last] + 1)
+                    held.append(ids[begin : ends[last - 1]])
                     size += len(held[-1])
-                    if size >= BLOCK_IDS:
-                        yield _block(part, made, keys, held)
-                        made, keys, held, size = made + 1, [], [], 0
+                    done, begin = last, int(ends[last - 1])
+                    if full:
+                        yield _block(part, made, keys, lengths, held)
+                        made, keys, lengths, held, size = made + 1, [], [], [], 0
         if keys:
-            yield _block(part, made, keys, held)
+            yield _block(part, made, keys, lengths, held)
 
     return write
 
 
-def _block(part, number, keys, held):
-    ids = np.concatenate(held)
-    return pd.DataFrame(
-        {
-            "part": [part],
-            "block": [number],
-            "keys": [keys],
-            "lengths": [[len(x) for x in held]],
-            "n_ids": [len(ids)],
-            "ids_crc32": [zlib.crc32(ids.astype("<u4").tobytes())],
-            "coded": [encode_block(ids)],
-        }
-    )
+def _block(part, number, keys, lengths, held):
+    ids, keys = np.concatenate(held), pa.concat_arrays(keys)
+    columns = {
+        "part": pa.array([part], pa.int32()),
+        "block": pa.array([number], pa.int32()),
+        "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+        "lengths": pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
+        "n_ids": pa.array([len(ids)], pa.int64()),
+        "ids_crc32": pa.array([zlib.crc32(ids.astype("<u4").tobytes())], pa.int64()),
+        "coded": pa.array([encode_block(ids)], pa.binary()),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def write_token_files(docs, path, tokenizer, key="doc_id", text="text", end=END_ID):
@@ -315,7 +462,7 @@ def write_token_files(docs, path, tokenizer, key="doc_id", text="text", end=END_
         F.col(text).alias("text"),
     )
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "key", "tie")
-    ordered.sortWithinPartitions("key", "tie", "text").select("key", "text").mapInPandas(
+    ordered.sortWithinPartitions("key", "tie", "text").select("key", "text").mapInArrow(
         _write_blocks(shared, end),
         f"part int, block int, keys array<{kind}>, lengths array<int>, n_ids long, "
         "ids_crc32 long, coded binary",

@@ -4,6 +4,7 @@ import base64
 import glob
 import gzip
 import hashlib
+import json
 import math
 import random
 import re
@@ -11,10 +12,12 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
 import corpus_pipeline
@@ -268,3 +271,99 @@ def test_too_many_different_ids_in_a_block():
     assert token_files.decode_block(token_files.encode_block(ids)).tolist() == ids.tolist()
     with pytest.raises(ValueError, match="65537 different ids"):
         token_files.encode_block(np.arange((1 << 16) + 1))
+
+
+def _same_as_the_library(tokens, exact, texts, kind=pa.string()):
+    ids, sizes = tokens(pa.array(texts, kind))
+    at = 0
+    for text, size in zip(texts, sizes.tolist()):
+        assert ids[at : at + size].tolist() == exact.encode(text or "", add_special_tokens=False).ids
+        at += size
+    assert at == len(ids)
+
+
+def test_words_are_cut_as_the_tokenizer_does():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        source = file.read()
+    tokens, exact = token_files.WordTokens(source), Tokenizer.from_str(source)
+    _same_as_the_library(tokens, exact, [None, "", "  \n", " a  b\x0b", "a\xa0b \xa0 c"])
+    # Every plain character and those around them, in letters, behind quotes, digits and signs.
+    signs = [chr(n) for n in range(0x400)]
+    texts = [f"a{c}b Q{c} {c}s'S {c}{c} 9{c}9!{c}! don{c}T x'{c} 'LL{c}" for c in signs]
+    _same_as_the_library(tokens, exact, texts)
+    _same_as_the_library(tokens, exact, texts[::7], pa.large_string())
+    draw = random.Random(8)
+    marks = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|", "|>", "'ve", "'S"]
+    parts = [*marks, *"aZ9 .,\n\t\x1f\xa0ßŸİžΩς中́😀\xad²"]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(40))) for _ in range(2000)]
+    _same_as_the_library(tokens, exact, texts)
+    changed = json.loads(source)
+    changed["normalizer"]["normalizers"].pop()
+    changed = json.dumps(changed)
+    _same_as_the_library(
+        token_files.WordTokens(changed), Tokenizer.from_str(changed), texts[:200]
+    )
+
+
+def test_a_piece_is_encoded_once(monkeypatch):
+    """Words that differ by case and signs only were each encoded by the whole tokenizer."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        source = file.read()
+    tokens, exact = token_files.WordTokens(source), Tokenizer.from_str(source)
+    forms = ["{}", "{}.", "({})", "{}***", "'{}'", "{}-{}"]
+    words = [w for n in ("alpha", "öl", "zyzzyva") for w in (n, n.title(), n.upper())]
+    texts = [" ".join(form.format(word, word) for word in words) for form in forms]
+    _same_as_the_library(tokens, exact, texts)
+    assert sorted(tokens.known) == sorted(
+        ["", "alpha", "öl", "zyzzyva", ".", "(", ")", "***", "'", "-"]
+    )
+    monkeypatch.setattr(token_files, "_KNOWN", 4)
+    _same_as_the_library(tokens, exact, texts)
+
+
+def test_coder_with_ranges_of_all_sizes():
+    rng = np.random.default_rng(8)
+    every = np.arange(1 << 16)
+    rare = np.where(rng.random(100_000) < 0.9999, 7, rng.integers(0, 49_000, 100_000))
+    for ids in (np.concatenate([every, rng.integers(0, 1 << 16, 50_000)]), rare, every[:1]):
+        assert token_files.decode_block(token_files.encode_block(ids)).tolist() == ids.tolist()
+    # A range that lies across two words is cut to the lower one, and a wide one stays.
+    low = np.array([(5 << 32) - 3, 5 << 32, 9], dtype=np.uint64)
+    width = np.array([1 << 20, 1 << 20, 1 << 40], dtype=np.uint64)
+    go, words = token_files._shift(low, width)
+    assert go.tolist() == [0, 1] and words.tolist() == [4, 5]
+    assert width.tolist() == [3 << 32, 1 << 52, 1 << 40]
+
+
+def test_blocks_end_with_the_document_that_fills_them(monkeypatch):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        source = file.read()
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 10)
+    monkeypatch.setattr(token_files, "_TEXT_BYTES", 8)
+    counts = [0, 9, 1, 0, 30, 0, 3, 3, 3, 25, 2]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "key": pa.array([None, *range(1, len(counts))], pa.int64()),
+            "text": pa.array([" ".join(["a"] * n) if n else None for n in counts]),
+        }
+    )
+
+    class Shared:
+        value = source
+
+    class Context:
+        def get():
+            return Context
+
+        def partitionId():
+            return 3
+
+    monkeypatch.setattr(token_files, "TaskContext", Context)
+    blocks = pa.Table.from_batches(token_files._write_blocks(Shared, 1)([batch, batch]))
+    lengths = blocks["lengths"].to_pylist()
+    assert sum(blocks["keys"].to_pylist(), []) == 2 * [None, *range(1, len(counts))]
+    assert sum(lengths, []) == 2 * [n + 1 for n in counts]
+    assert blocks["block"].to_pylist() == list(range(len(lengths)))
+    for one, n in zip(lengths, blocks["n_ids"].to_pylist()):
+        assert sum(one) == n and sum(one[:-1]) < 10
+    assert all(n >= 10 for n in blocks["n_ids"].to_pylist()[:-1])
